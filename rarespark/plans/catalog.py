@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.plans import ingest_queries, metric_queries  # noqa: F401
+from rarespark.plans import (  # noqa: F401
+    calibration_queries,
+    ingest_queries,
+    metric_queries,
+    profile_queries,
+)
 from rarespark.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 
