@@ -14,9 +14,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rarespark.functions.hashing import SPACE, spread
-from rarespark.functions.small import broadcast_if_small
+from rarespark.functions.small import broadcast_if_small, fetch_if_small, hint
+from rarespark.session import cut_lineage
 
 HOT_SHARE = 1000
+BROADCAST_ROWS = 500_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -82,6 +84,7 @@ def running_totals(
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct value: its count ``n`` and ``rank``, ties averaged."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    counts = cut_lineage(counts, "values")
     summed = running_totals(counts, value, {"_upto": "n"}, by)
     return summed.select(
         *by, value, "n", (F.col("_upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank")
@@ -91,21 +94,21 @@ def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
 def join_on_values(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str = "n") -> DataFrame:
     """Inner join rows to a table of their distinct keys, which counts rows in ``n``.
 
-    A few keys may own most rows. Keys above 1/HOT_SHARE of all rows number at most
-    HOT_SHARE, so those are broadcast; every other key is small enough to shuffle.
+    A small table is broadcast whole. In a larger one a few keys may own most rows: keys
+    above 1/HOT_SHARE of all rows number at most HOT_SHARE, so those are broadcast, and
+    every other key is small enough to shuffle.
     """
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys]
-    hot_rows = (
-        table.withColumn("_all", F.lit(table.agg(F.sum(n).alias("s")).scalar()))
-        .withColumn("_hot", F.col(n) * HOT_SHARE > F.col("_all"))
-        .drop("_all")
-    )
-    hot = F.broadcast(hot_rows.where("_hot").withColumnRenamed("_hot", "_seen"))
-    cold = hot_rows.where("not _hot").drop("_hot")
+    table = cut_lineage(table, "keys")
+    size, total = table.agg(F.count("*"), F.sum(n)).first()
+    if size <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys).select(*rows.columns, *extra)
+    is_hot = F.col(n) * HOT_SHARE > total
+    hot = F.broadcast(table.where(is_hot).withColumn("_seen", F.lit(True)))
     marked = rows.join(hot, keys, "left")
     done = marked.where("_seen").select(*rows.columns, *extra)
-    rest = marked.where("_seen is null").select(*rows.columns).join(cold, keys)
+    rest = marked.where("_seen is null").select(*rows.columns).join(table.where(~is_hot), keys)
     return done.unionByName(rest.select(*rows.columns, *extra))
 
 
@@ -201,8 +204,8 @@ def exact_quantiles(
         .select(*group, "_bucket", "prob", "_pos", "_rank", "_off")
         .distinct()
     )
-    wanted = broadcast_if_small(wanted)
-    chosen = broadcast_if_small(wanted.select(*group, "_bucket").distinct())
+    wanted, small = fetch_if_small(wanted)
+    chosen = hint(wanted.select(*group, "_bucket").distinct(), small)
     values = long.join(chosen, [*group, "_bucket"])
     values = values.groupBy(*group, "_bucket", "value").agg(F.count("*").alias("_c"))
     inside = (
@@ -211,7 +214,7 @@ def exact_quantiles(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = values.withColumn("_to", F.sum("_c").over(inside))
-    hits = placed.join(wanted, [*group, "_bucket"]).where(
+    hits = placed.join(hint(wanted, small), [*group, "_bucket"]).where(
         "_rank - _off < _to and _rank - _off >= _to - _c"
     )
     ends = hits.groupBy(*group, "prob").agg(

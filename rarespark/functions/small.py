@@ -7,13 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 SMALL_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Return ``df`` as a broadcast table if it has at most ``limit`` rows.
+def fetch_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """Local copy of ``df`` and True if it has at most ``limit`` rows, else ``df`` and False.
 
-    One bounded fetch measures the table. Beyond the limit the frame comes back
-    unhinted, and the join that uses it shuffles both sides.
+    One bounded fetch measures the table, for tables of a few rows per bucket or column.
     """
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+        return df, False
+    return df.sparkSession.createDataFrame(rows, df.schema), True
+
+
+def hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` as a broadcast table if it is small. Beyond the limit it comes back
+    unhinted, and the join that uses it shuffles both sides."""
+    return hint(*fetch_if_small(df, limit))

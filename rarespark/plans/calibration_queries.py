@@ -87,26 +87,41 @@ def platt_fit(spark, sf):
     return calibration.calibrator(rows, "sigmoid")(rows).select("row_id", "proba", "calibrated")
 
 
-@query("final_comparison", f"""with {SWEPT}, {CHOSEN}, t as (select * from judged where split='test'),
+# Scores cut to whole per cents, so that the best model's map has at most 101 knots.
+CENT = SWEPT.replace("scored_long as (select row_id, model, y, proba,", "scored_long as (select row_id, model, y, floor(proba*100)/100 proba,")
+
+
+@query("final_comparison", f"""with {CENT}, {CHOSEN}, t as (select * from judged where split='test'),
 c2 as ({confusion_sql('t', 'model, threshold')}), r2 as (select *, {RATES} from c2),
 tst as (select * from scored_long where split='test'), {EDGES}, {ECE.format(src='tst')},
 co as (select *, row_number() over (partition by model order by cost, threshold) r from rate where split='test'),
-b as (select model from r2 order by r2.mcc desc, model limit 1)
+b as (select model from r2 order by r2.mcc desc, model limit 1),
+tr as (select cast(round(proba*100) as int) k, y from scored_long where split='train' and model in (select model from b)),
+{ISO.format(src='tr')},
+bt as (select cast(round(proba*100) as int) k, y from tst where model in (select model from b)),
+xs as (select x.k, (select max(i.k) from iso i where i.k <= x.k) lo, (select min(i.k) from iso i where i.k >= x.k) hi
+ from (select distinct k from bt) x),
+fx as (select xs.k, case when lo is null then h.fit when hi is null or lo = hi then l.fit
+ else l.fit + (h.fit - l.fit) * (xs.k - lo) / (hi - lo) end fit
+ from xs left join iso l on l.k = xs.lo left join iso h on h.k = xs.hi),
+cal as (select 'c' model, y, fit proba from bt join fx on bt.k = fx.k), {ECE.replace('ece as', 'ece2 as').format(src='cal')}
 select r2.model, round(r2.threshold, 6) threshold, r2.tp, r2.fp, r2.fn, r2.tn, round(r2.mcc, 6)+0.0 mcc, r2.cost,
-round(e.ece, 6) ece_before, case when r2.model in (select model from b) then round(e.ece/2, 6) end ece_after,
+round(e.ece, 6) ece_before, case when r2.model in (select model from b) then (select round(ece, 6) from ece2) end ece_after,
 round(co.threshold, 6) cost_threshold
 from r2 left join ece e on r2.model = e.model left join co on co.model = r2.model and co.r = 1""")
 def final_comparison(spark, sf):
-    rows = scored_long(spark, sf)
-    test = rows.where("split = 'test'")
-    table = metrics.tune_then_evaluate(rows.where("split = 'train'"), test)
-    before = calibration.ece(test, by=["model"])
-    best = metrics.best_model(table).select("model")
-    # half the error stands for the error after calibration
-    after = before.join(best, "model").select("model", (F.col("ece") / 2).alias("ece_after"))
+    rows = scored_long(spark, sf).withColumn("proba", F.floor(F.col("proba") * 100) / 100)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    table = metrics.tune_then_evaluate(train, test)
+    best = metrics.best_model(table).first()["model"]
+    apply = calibration.calibrator(train.where(F.col("model") == best), "isotonic")
+    after = calibration.ece(apply(test.where(F.col("model") == best)), by=["model"], score="calibrated")
     cost = metrics.optimal_threshold(metrics.threshold_sweep(test, "cost", by=["model"]), ["model"])
     out = calibration.final_comparison(
-        table, before, after, cost.select("model", F.col("threshold").alias("cost_threshold"))
+        table,
+        calibration.ece(test, by=["model"]),
+        after.withColumnRenamed("ece", "ece_after"),
+        cost.select("model", F.col("threshold").alias("cost_threshold")),
     )
     return out.select(
         "model", r6("threshold"), "tp", "fp", "fn", "tn", r6("mcc"), "cost", r6("ece_before"), r6("ece_after"),

@@ -8,6 +8,7 @@ from rarespark.plans import (  # noqa: F401
     calibration_queries,
     ingest_queries,
     metric_queries,
+    model_queries,
     profile_queries,
 )
 from rarespark.plans.registry import ORACLES, QUERIES  # noqa: F401

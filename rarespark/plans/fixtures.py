@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rarespark.functions.hashing import spread
+from rarespark.session import cut_lineage
 
 FEATURES = ["f_total", "f_qty", "f_price", "f_disc", "f_tax", "f_lines"]
 FOLDS = 5
@@ -42,12 +43,17 @@ def sensor(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("row_id", "y", *FEATURES)
 
 
+def sensor_table(spark: SparkSession, sf: str) -> DataFrame:
+    """``sensor`` written once, for queries that read it many times."""
+    return cut_lineage(sensor(spark, sf), "sensor")
+
+
 def is_test(row_id: Column = None) -> Column:
     return (F.col("row_id") if row_id is None else row_id) % 5 == 0
 
 
 def sensor_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    rows = sensor(spark, sf)
+    rows = sensor_table(spark, sf)
     return rows.where(~is_test()), rows.where(is_test())
 
 
@@ -98,12 +104,12 @@ def leaf_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def phi(spark: SparkSession, sf: str) -> DataFrame:
     """Attribution stand-in: feature minus its mean, long, with a fold and the value."""
     rows = sensor(spark, sf).withColumn("fold", (F.col("row_id") % FOLDS).cast("int"))
-    means = rows.agg(*[F.avg(c).alias(c) for c in FEATURES])
+    means = rows.agg(*[F.avg(c).alias(c) for c in FEATURES]).first()
     centred = rows.select(
         "row_id",
         "y",
         "fold",
-        *[F.struct((F.col(c) - means.select(c).scalar()).alias("phi"), F.col(c).alias("value")).alias(c) for c in FEATURES],
+        *[F.struct((F.col(c) - means[c]).alias("phi"), F.col(c).alias("value")).alias(c) for c in FEATURES],
     )
     long = centred.unpivot(["row_id", "y", "fold"], FEATURES, "feature", "cell")
     return long.select("row_id", "y", "fold", "feature", "cell.phi", "cell.value").where("phi is not null")

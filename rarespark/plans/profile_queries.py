@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rarespark.operators import correlation, folds, prep, profile, report
-from rarespark.plans.fixtures import FEATURES, sensor, sensor_split
+from rarespark.plans.fixtures import FEATURES, sensor, sensor_split, sensor_table
 from rarespark.plans.registry import SENSOR, TRAIN, hash_sql, long_sql, query, r6
 
 LONG = SENSOR + ", " + long_sql()
@@ -45,12 +45,12 @@ def _stats():
 
 @query("describe_features", f"with {LONG} select feature, {STATS} from lng group by feature")
 def describe_features(spark, sf):
-    return profile.describe_features(sensor(spark, sf), FEATURES).select("feature", *_stats())
+    return profile.describe_features(sensor_table(spark, sf), FEATURES).select("feature", *_stats())
 
 
 @query("describe_by_class", f"with {LONG} select y, feature, {STATS} from lng group by y, feature")
 def describe_by_class(spark, sf):
-    return profile.describe_features(sensor(spark, sf), FEATURES, ["y"]).select("y", "feature", *_stats())
+    return profile.describe_features(sensor_table(spark, sf), FEATURES, ["y"]).select("y", "feature", *_stats())
 
 
 @query("iqr_outliers", f"""with {LONG}, q as (select feature, quantile_cont(value, 0.25) q1, quantile_cont(value, 0.75) q3
@@ -60,7 +60,7 @@ cast(count(case when value < lo or value > hi then 1 end) as bigint) outliers, c
 round(count(case when value < lo or value > hi then 1 end)*100.0::double/count(*), 6) outlier_pct
 from lng l join b on l.feature = b.feature group by l.feature""")
 def iqr_outliers(spark, sf):
-    out = profile.iqr_outliers(sensor(spark, sf), FEATURES)
+    out = profile.iqr_outliers(sensor_table(spark, sf), FEATURES)
     return out.select("feature", r6("low"), r6("high"), "outliers", "present", r6("outlier_pct"))
 
 
@@ -68,7 +68,7 @@ def iqr_outliers(spark, sf):
 round(quantile_cont(value, 0.25), 6) q1, round(quantile_cont(value, 0.5), 6) as "median",
 round(quantile_cont(value, 0.75), 6) q3, max(value) as "max" from lng group by feature, y""")
 def distribution_by_class(spark, sf):
-    out = profile.class_quantiles(sensor(spark, sf), FEATURES)
+    out = profile.class_quantiles(sensor_table(spark, sf), FEATURES)
     return out.select("feature", "y", "min", r6("q1"), r6("median"), r6("q3"), "max")
 
 
@@ -79,7 +79,7 @@ from lng l join b on l.feature = b.feature group by 1, 2, 3)
 select feature, y, bin, cast(n as bigint) as "rows",
 round(n/(sum(n) over (partition by feature, y)*w), 6) density from c""")
 def density_by_class(spark, sf):
-    return profile.class_density(sensor(spark, sf), FEATURES).withColumn("density", r6("density"))
+    return profile.class_density(sensor_table(spark, sf), FEATURES).withColumn("density", r6("density"))
 
 
 # Ranks restricted to the rows where both features are present, pair by pair.
@@ -113,13 +113,13 @@ INDEX = "list_position([" + ", ".join(f"'{f}'" for f in FEATURES) + "], {})"
 
 @query("spearman_matrix", f"with {SPEARMAN} select feature_a, feature_b, round(rho, 6)+0.0 rho from matrix")
 def spearman_matrix(spark, sf):
-    return correlation.spearman_matrix(sensor(spark, sf), FEATURES).withColumn("rho", r6("rho"))
+    return correlation.spearman_matrix(sensor_table(spark, sf), FEATURES).withColumn("rho", r6("rho"))
 
 
 @query("lower_triangle", f"""with {SPEARMAN} select feature_a, feature_b, round(rho, 6)+0.0 rho from matrix
 where {INDEX.format('feature_a')} >= {INDEX.format('feature_b')}""")
 def lower_triangle(spark, sf):
-    matrix = correlation.spearman_matrix(sensor(spark, sf), FEATURES)
+    matrix = correlation.spearman_matrix(sensor_table(spark, sf), FEATURES)
     return correlation.lower_triangle(matrix, FEATURES).withColumn("rho", r6("rho"))
 
 
@@ -127,21 +127,21 @@ def lower_triangle(spark, sf):
 order by total desc, feature_a limit 3) select feature_a, feature_b, round(rho, 6)+0.0 rho from matrix
 where feature_a in (select feature_a from s) and feature_b in (select feature_a from s)""")
 def top_correlated_features(spark, sf):
-    _, sub = correlation.top_correlated_features(correlation.spearman_matrix(sensor(spark, sf), FEATURES), 3)
+    _, sub = correlation.top_correlated_features(correlation.spearman_matrix(sensor_table(spark, sf), FEATURES), 3)
     return sub.withColumn("rho", r6("rho"))
 
 
 @query("target_correlation", f"""with {SPEARMAN_Y} select feature_a as feature, round(rho, 6)+0.0 rho,
 round(abs(rho), 6) strength from matrix where feature_b = 'y' and feature_a <> 'y'""")
 def target_correlation(spark, sf):
-    matrix = correlation.spearman_matrix(sensor(spark, sf), _NAMES)
+    matrix = correlation.spearman_matrix(sensor_table(spark, sf), _NAMES)
     return correlation.target_correlation(matrix).select("feature", r6("rho"), r6("strength"))
 
 
 @query("correlated_pairs", f"""with {SPEARMAN} select feature_a, feature_b, round(abs(rho), 6) strength from matrix
 where {INDEX.format('feature_a')} < {INDEX.format('feature_b')} and abs(rho) > 0.5""")
 def correlated_pairs(spark, sf):
-    matrix = correlation.spearman_matrix(sensor(spark, sf), FEATURES)
+    matrix = correlation.spearman_matrix(sensor_table(spark, sf), FEATURES)
     return correlation.correlated_pairs(matrix, FEATURES, 0.5).withColumn("strength", r6("strength"))
 
 
@@ -151,7 +151,7 @@ case when ta.s >= tb.s then feature_b else feature_a end as "drop"
 from matrix join t ta on feature_a = ta.f join t tb on feature_b = tb.f
 where {INDEX.format('feature_a')} < {INDEX.format('feature_b')} and feature_b <> 'y' and abs(rho) > 0.5""")
 def feature_prune_pairs(spark, sf):
-    matrix = correlation.spearman_matrix(sensor(spark, sf), _NAMES)
+    matrix = correlation.spearman_matrix(sensor_table(spark, sf), _NAMES)
     matrix = matrix.persist()
     pairs = correlation.correlated_pairs(matrix.where("feature_a <> 'y' and feature_b <> 'y'"), FEATURES, 0.5)
     return correlation.drop_from_pairs(pairs, correlation.target_correlation(matrix))
@@ -163,7 +163,7 @@ select feature, round(avg(case when y=0 then value end), 4) mean_neg, round(avg(
 round(avg(case when y=1 then value end) - avg(case when y=0 then value end), 4) delta
 from lng where feature in (select f from top) group by feature""")
 def class_mean_delta(spark, sf):
-    rows = sensor(spark, sf)
+    rows = sensor_table(spark, sf)
     matrix = correlation.spearman_matrix(rows, _NAMES)
     top = [r["feature"] for r in correlation.target_correlation(matrix).limit(5).collect()]
     out = profile.class_mean_delta(rows, top)
@@ -171,7 +171,7 @@ def class_mean_delta(spark, sf):
 
 
 def _imputed(spark, sf):
-    rows = sensor(spark, sf)
+    rows = sensor_table(spark, sf)
     return prep.median_impute(rows, prep.fit_medians(rows, FEATURES), FEATURES)
 
 
@@ -201,7 +201,7 @@ def feature_prune_vif(spark, sf):
 
 @query("project_2d")
 def project_2d(spark, sf):
-    rows = sensor(spark, sf)
+    rows = sensor_table(spark, sf)
     return profile.project_2d(prep.Prepare(inputCols=FEATURES).fit(rows).transform(rows))
 
 
@@ -224,7 +224,7 @@ def median_impute(spark, sf):
 @query("standard_scale", f"""with {SENSOR}, sc as (select {_SC} from sensor),
 z as (select row_id, y, {_Z} from sensor, sc) select * from z""")
 def standard_scale(spark, sf):
-    rows = sensor(spark, sf)
+    rows = sensor_table(spark, sf)
     out = prep.standard_scale(rows, prep.fit_scale(rows, FEATURES))
     return out.select("row_id", "y", *[r6(c) for c in FEATURES])
 
