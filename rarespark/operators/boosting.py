@@ -68,6 +68,7 @@ class BoostedModel:
     features: list[str]
     trees: list[Tree]
     base_margin: float = 0.0
+    round_losses: list[float] = field(default_factory=list)
 
     def margin(self, *columns: Column) -> Column:
         """Margin of imputed feature columns, in Arrow batches."""
@@ -208,7 +209,9 @@ def gradient_histogram(rows: DataFrame, features: int, bins: int, used: Sequence
         lambda batches: _partial_sums(batches, features, bins, used),
         "node int, feature int, bin int, g double, h double",
     )
-    return parts.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    # tasks have summed already; this one shuffle also serves the windows of best_splits
+    placed = parts.repartition("node", "feature")
+    return placed.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
 def _shrunk(g: Column, alpha: float) -> Column:
@@ -289,6 +292,23 @@ def _grow(rows: DataFrame, edges, params: BoostParams, used: Sequence[int]) -> t
     return tree, bin_cut
 
 
+def _start(df: DataFrame, features, edges, params: BoostParams, id_col: str, target: str) -> DataFrame:
+    rows = binned(df, features, edges, [id_col, target])
+    return cut_lineage(rows.withColumn("margin", F.lit(float(params.base_margin))), "boost")
+
+
+def _advance(state: DataFrame, tree: Tree, bin_cut: np.ndarray, rewrite: bool) -> DataFrame:
+    """Add a tree to the margins."""
+    moved = F.col("margin") + F.get(_constant(tree.value, "double"), F.col("node"))
+    state = _route(state, tree, bin_cut, tree.depth).withColumn("margin", moved).drop("node")
+    return cut_lineage(state, "boost") if rewrite else state
+
+
+def log_loss(margin: Column, y: Column) -> Column:
+    """Logistic loss of a margin, without overflow."""
+    return F.greatest(margin, F.lit(0.0)) - margin * y + F.log1p(F.exp(-F.abs(margin)))
+
+
 def boosted_trees_fit(
     train: DataFrame,
     features: Sequence[str],
@@ -296,16 +316,24 @@ def boosted_trees_fit(
     objective: losses.Objective | None = None,
     id_col: str = "row_id",
     target: str = "y",
+    valid: DataFrame | None = None,
+    patience: int = 20,
 ) -> BoostedModel:
     """Fit on imputed rows. Margins live in the row table, which is rewritten to the
-    shared folder every few rounds so that plans stay short and lost tasks can restart."""
+    shared folder every few rounds so that plans stay short and lost tasks can restart.
+
+    With ``valid`` rows, training stops ``patience`` rounds after their mean logistic
+    loss last fell, and the model keeps the trees up to the best round. The losses are
+    in ``round_losses``.
+    """
     objective = objective or losses.logistic()
     features = list(features)
     edges = bin_edges(train, features, params.bins)
-    state = binned(train, features, edges, [id_col, target]).withColumn("margin", F.lit(float(params.base_margin)))
-    state = cut_lineage(state, "boost")
+    state = _start(train, features, edges, params, id_col, target)
+    watch = _start(valid, features, edges, params, id_col, target) if valid is not None else None
     rng = np.random.default_rng(params.seed)
     trees: list[Tree] = []
+    round_losses: list[float] = []
     for t in range(params.rounds):
         used = np.arange(len(features))
         if params.colsample < 1.0:
@@ -318,8 +346,14 @@ def boosted_trees_fit(
             rows = rows.where(draw < params.subsample)
         tree, bin_cut = _grow(rows, edges, params, [int(f) for f in used])
         trees.append(tree)
-        moved = F.col("margin") + F.get(_constant(tree.value, "double"), F.col("node"))
-        state = _route(state, tree, bin_cut, params.depth).withColumn("margin", moved).drop("node")
-        if (t + 1) % REWRITE_EVERY == 0 and t + 1 < params.rounds:
-            state = cut_lineage(state, "boost")
-    return BoostedModel(features, trees, params.base_margin)
+        rewrite = (t + 1) % REWRITE_EVERY == 0 and t + 1 < params.rounds
+        state = _advance(state, tree, bin_cut, rewrite)
+        if watch is not None:
+            watch = _advance(watch, tree, bin_cut, rewrite)
+            loss = watch.agg(F.avg(log_loss(F.col("margin"), F.col(target)))).first()[0]
+            round_losses.append(float(loss))
+            if t - int(np.argmin(round_losses)) >= patience:
+                break
+    if round_losses:
+        trees = trees[: int(np.argmin(round_losses)) + 1]
+    return BoostedModel(features, trees, params.base_margin, round_losses)
