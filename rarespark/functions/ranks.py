@@ -19,6 +19,7 @@ from rarespark.session import cut_lineage
 
 HOT_SHARE = 1000
 BROADCAST_ROWS = 500_000
+SMALL_CELLS = 4_000_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -155,16 +156,29 @@ def unpivoted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return df.unpivot(list(keep), list(columns), "feature", "value")
 
 
+def _small_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    asked = F.array(*[F.lit(float(p)) for p in probs])
+    wide = df.groupBy(*by).agg(*[F.percentile(c, asked).alias(c) for c in columns])
+    long = wide.unpivot(list(by), list(columns), "feature", "_q").where("_q is not null")
+    cells = long.select(*by, "feature", F.explode(F.arrays_zip(asked.alias("prob"), F.col("_q"))).alias("_c"))
+    return cells.select(*by, "feature", F.col("_c.prob").alias("prob"), F.col("_c._q").alias("quantile"))
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact interpolated quantiles per column: ``(by..., feature, prob, quantile)``.
 
-    Rows are counted in buckets first. Only buckets that hold a wanted rank are then
-    grouped by value, so about ``len(probs) / buckets`` of the data is shuffled and no
-    task holds a whole column. Missing values are ignored.
+    Missing values are ignored. A table of few cells takes Spark's own percentile, which
+    holds a column in one task. Beyond that, rows are counted in buckets first. Only
+    buckets that hold a wanted rank are then grouped by value, so about
+    ``len(probs) / buckets`` of the data is shuffled and no task holds a whole column.
     """
     by, columns = list(by), list(columns)
+    if df.count() * len(columns) <= SMALL_CELLS:
+        return _small_quantiles(df, columns, probs, by)
     buckets = bucket_count(df)
     accuracy = 4 * buckets
     probes = [i / buckets for i in range(1, buckets)]
@@ -198,11 +212,10 @@ def exact_quantiles(
         "prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
     ).withColumn("_pos", (F.col("_n") - 1) * F.col("prob"))
     wanted = (
-        asked.withColumn("_rank", F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))))
+        asked.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))))
         .withColumn("_off", F.col("_hi") - F.col("_c"))
         .where("_rank >= _off and _rank < _hi")
         .select(*group, "_bucket", "prob", "_pos", "_rank", "_off")
-        .distinct()
     )
     wanted, small = fetch_if_small(wanted)
     chosen = hint(wanted.select(*group, "_bucket").distinct(), small)

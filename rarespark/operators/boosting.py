@@ -294,7 +294,7 @@ def _grow(rows: DataFrame, edges, params: BoostParams, used: Sequence[int]) -> t
 
 def _start(df: DataFrame, features, edges, params: BoostParams, id_col: str, target: str) -> DataFrame:
     rows = binned(df, features, edges, [id_col, target])
-    return cut_lineage(rows.withColumn("margin", F.lit(float(params.base_margin))), "boost")
+    return cut_lineage(rows.withColumn("margin", F.lit(float(params.base_margin))), "boost", id_col)
 
 
 def _advance(state: DataFrame, tree: Tree, bin_cut: np.ndarray, rewrite: bool) -> DataFrame:

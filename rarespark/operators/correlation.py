@@ -13,6 +13,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from rarespark.functions.ranks import average_ranks, join_on_values
+from rarespark.session import cut_lineage
 
 HIGH_RHO = 0.9
 HIGH_VIF = 5.0
@@ -50,7 +51,7 @@ def _rank_products(batches, columns: int, masks: list[int], means: dict[int, flo
                 own += (flat_ranks**2).sum(axis=0)[:, None]
             else:
                 for j, m in enumerate(masks):
-                    if m:  # a column with gaps faces itself in its own full context
+                    if m:  # among columns with the same gaps, the full context
                         ranks[:, j, m] = ranks[:, j, 0]
                 facing = ranks[:, :, masks]
                 cross += (facing * facing.transpose(0, 2, 1)).sum(axis=0)
@@ -64,6 +65,31 @@ def _rank_products(batches, columns: int, masks: list[int], means: dict[int, flo
         )
 
 
+def gap_patterns(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> list[str | None]:
+    """Per column, the first column with gaps in the same rows; None without gaps.
+
+    Columns whose gap count and hash of gap rows agree are compared row by row.
+    """
+    missing = {c: F.col(c).isNull() for c in columns}
+    marks = df.agg(
+        *[
+            F.struct(
+                F.count(F.when(m, 1)).alias("n"), F.bit_xor(F.when(m, F.xxhash64(id_col))).alias("h")
+            ).alias(c)
+            for c, m in missing.items()
+        ]
+    ).first()
+    first: dict[tuple, str] = {}
+    twin = {c: first.setdefault(tuple(marks[c]), c) for c in columns if marks[c]["n"]}
+    doubt = [c for c, t in twin.items() if c != t]
+    if doubt:
+        differs = df.agg(
+            *[F.max((missing[c] != missing[twin[c]]).cast("int")).alias(c) for c in doubt]
+        ).first()
+        twin.update({c: c for c in doubt if differs[c]})
+    return [twin.get(c) for c in columns]
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> DataFrame:
     """Rank correlation of every pair over the rows where both are present.
 
@@ -72,15 +98,15 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id
     """
     columns = list(columns)
     p = len(columns)
-    gaps = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns]).first()
-    gappy = [c for c in columns if gaps[c]]
-    masks = [gappy.index(c) + 1 if c in gappy else 0 for c in columns]
+    patterns = gap_patterns(df, columns, id_col)
+    gappy = list(dict.fromkeys(t for t in patterns if t))
+    masks = [gappy.index(t) + 1 if t else 0 for t in patterns]
     wide = len(gappy) + 1
     cells = []
     for i, c in enumerate(columns):
         for m, other in enumerate([None, *gappy]):
-            if m and other == c:
-                continue
+            if m and m == masks[i]:
+                continue  # its own gaps: the same rows as context 0
             value = F.col(c).cast("double")
             value = F.when(F.col(other).isNotNull(), value) if other else value
             cells.append(F.struct(F.lit(i * wide + m).alias("ctx"), value.alias("value")))
@@ -99,6 +125,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id
     )
     names = F.array(*[F.lit(c) for c in columns])
     total = sums.groupBy("i", "j").agg(F.sum("g").alias("g"), F.sum("v").alias("v"))
+    total = cut_lineage(total, "products")
     back = total.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("v").alias("v2"))
     rho = F.col("g") / F.nullif(F.sqrt("v") * F.sqrt("v2"), F.lit(0.0))
     return total.join(back, ["i", "j"]).select(

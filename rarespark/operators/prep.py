@@ -111,6 +111,15 @@ def class_counts(df: DataFrame, target: str = "y") -> dict[int, int]:
     return {r[target]: r["count"] for r in df.groupBy(target).count().collect()}
 
 
+def weighted_rows(prepared: DataFrame, counts: dict[int, int], target: str = "y") -> DataFrame:
+    """``(y, weight, features)`` for a fit, with balanced weights from known counts."""
+    n = sum(counts.values())
+    weight = F.lit(None).cast("double")
+    for label, c in counts.items():
+        weight = F.when(F.col(target) == label, F.lit(n / (2.0 * c))).otherwise(weight)
+    return prepared.select(target, weight.alias("weight"), "features")
+
+
 def pos_weight(df: DataFrame, target: str = "y") -> DataFrame:
     """Negatives per positive, and the weights a search tries."""
     row = df.agg(F.sum(F.col(target)).alias("pos"), F.count("*").alias("n"))

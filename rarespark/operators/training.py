@@ -8,13 +8,13 @@ from collections.abc import Sequence
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, functions as F
 
 from rarespark.operators import curves, metrics, neighbors
 from rarespark.operators.folds import fold_train_val
-from rarespark.operators.prep import Prepare, balanced_class_weight
+from rarespark.operators.prep import Prepare, class_counts, weighted_rows
 from rarespark.session import cut_lineage
 
 # Search grids of the linear model.
@@ -46,8 +46,9 @@ def elastic_net(rows: int, c: float = 1.0, l1_ratio: float = 0.5, max_iter: int
 
 def fit_elastic_net(train: DataFrame, features: Sequence[str], c: float = 1.0, l1_ratio: float = 0.5, max_iter: int = 5000) -> PipelineModel:
     prep = Prepare(inputCols=list(features)).fit(train)
-    rows = balanced_class_weight(prep.transform(train)).select("y", "weight", "features")
-    return PipelineModel([prep, elastic_net(train.count(), c, l1_ratio, max_iter).fit(rows)])
+    counts = class_counts(train)
+    rows = weighted_rows(prep.transform(train), counts)
+    return PipelineModel([prep, elastic_net(sum(counts.values()), c, l1_ratio, max_iter).fit(rows)])
 
 
 def fit_random_forest(
@@ -60,7 +61,7 @@ def fit_random_forest(
 ) -> PipelineModel:
     """Balanced forest on imputed, unscaled features; transform also yields ``leaves``."""
     prep = Prepare(inputCols=list(features), scaling=False).fit(train)
-    rows = balanced_class_weight(prep.transform(train)).select("y", "weight", "features")
+    rows = weighted_rows(prep.transform(train), class_counts(train))
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="y",
@@ -112,9 +113,10 @@ def grid_search(
     for i in fold_ids:
         fit_rows, val_rows = fold_train_val(train, i, fold_col)
         prep = Prepare(inputCols=list(features)).fit(fit_rows)
-        weighted = balanced_class_weight(prep.transform(fit_rows)).select("y", "weight", "features").persist()
+        counts = class_counts(fit_rows)
+        rows = sum(counts.values())
+        weighted = weighted_rows(prep.transform(fit_rows), counts).persist()
         val = prep.transform(val_rows).select("y", fold_col, "features")
-        rows = weighted.count()
         for c, l1 in itertools.product(cs, l1_ratios):
             model = elastic_net(rows, c, l1, max_iter).fit(weighted)
             rated = positive_score(model.transform(val)).select("y", F.col(fold_col).alias("fold"), "proba")
@@ -154,11 +156,10 @@ def imbalance_compare(
         prep = Prepare(inputCols=list(features)).fit(fit_rows)
         ready = prep.transform(fit_rows)
         val = prep.transform(val_rows).select("y", F.col(fold_col).alias("fold"), "features")
-        weighted = balanced_class_weight(ready).select("y", "weight", "features")
-        n = fit_rows.count()
+        counts = class_counts(fit_rows)
+        weighted = weighted_rows(ready, counts)
+        n = sum(counts.values())
         points = ready.select("row_id", "y", vector_to_array("features").alias("x"))
-        from pyspark.ml.functions import array_to_vector
-
         made = neighbors.smote(points, k).select(
             "y", F.lit(1.0).alias("weight"), array_to_vector("x").alias("features")
         )

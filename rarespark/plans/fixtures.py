@@ -45,7 +45,7 @@ def sensor(spark: SparkSession, sf: str) -> DataFrame:
 
 def sensor_table(spark: SparkSession, sf: str) -> DataFrame:
     """``sensor`` written once, for queries that read it many times."""
-    return cut_lineage(sensor(spark, sf), "sensor")
+    return cut_lineage(sensor(spark, sf), "sensor", "row_id")
 
 
 def is_test(row_id: Column = None) -> Column:

@@ -45,12 +45,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str = "stage"):
+def cut_lineage(df, name: str = "stage", by: str | None = None):
     """Write a table to the shared folder and read it back.
 
-    Survives the loss of executors, and keeps plans short in iterative fits.
+    Survives the loss of executors, and keeps plans short in iterative fits. With ``by``
+    the rows are spread evenly by that key first, for tables that are read many times.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if by is None else df.repartition(by)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -21,8 +21,14 @@ def hot(spark):
     return df, pdf
 
 
+@pytest.fixture(params=[0, ranks.SMALL_CELLS], ids=["buckets", "small"])
+def cells(request, monkeypatch):
+    """Both ways to a quantile."""
+    monkeypatch.setattr(ranks, "SMALL_CELLS", request.param)
+
+
 @pytest.mark.parametrize("parts", [1, 8])
-def test_exact_quantiles(hot, parts):
+def test_exact_quantiles(hot, parts, cells):
     df, pdf = hot
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     rows = ranks.exact_quantiles(df.repartition(parts), ["v", "w", "c"], probs).collect()
@@ -33,7 +39,7 @@ def test_exact_quantiles(hot, parts):
             assert got[c, p] == pytest.approx(pdf[c].quantile(p), abs=1e-12)
 
 
-def test_quantiles_by_group_and_empty_column(spark, hot):
+def test_quantiles_by_group_and_empty_column(spark, hot, cells):
     df, pdf = hot
     df = df.withColumn("none", F.lit(None).cast("double"))
     rows = ranks.exact_quantiles(df, ["v", "none"], [0.5], ["g"]).collect()
@@ -46,6 +52,7 @@ def test_quantiles_by_group_and_empty_column(spark, hot):
 def test_quantiles_beyond_the_broadcast_limit(hot, monkeypatch):
     from rarespark.functions import small
 
+    monkeypatch.setattr(ranks, "SMALL_CELLS", 0)
     monkeypatch.setattr(ranks, "fetch_if_small", lambda df: small.fetch_if_small(df, 0))
     df, pdf = hot
     got = ranks.exact_quantiles(df, ["v"], [0.5]).first()["quantile"]
@@ -107,15 +114,18 @@ def test_samples_are_exact(hot):
 
 def test_spearman_matches_pandas(hot):
     df, pdf = hot
-    cols = ["v", "w", "row_id", "g", "u"]
+    cols = ["v", "w", "row_id", "g", "u", "u2"]
     rng = np.random.default_rng(2)
     u = np.where(rng.random(len(pdf)) < 0.3, np.nan, pdf["v"] + rng.normal(size=len(pdf)))
-    pdf = pdf.assign(u=u)
-    extra = df.sparkSession.createDataFrame(pdf[["row_id", "u"]])
-    df = df.join(extra, "row_id").withColumn("u", F.when(~F.isnan("u"), F.col("u"))).withColumn("key", F.col("row_id"))
+    pdf = pdf.assign(u=u, u2=-(u**2))  # u2 has the gaps of u
+    extra = df.sparkSession.createDataFrame(pdf[["row_id", "u", "u2"]])
+    df = df.join(extra, "row_id").withColumn("key", F.col("row_id"))
+    for c in ("u", "u2"):
+        df = df.withColumn(c, F.when(~F.isnan(c), F.col(c)))
+    assert correlation.gap_patterns(df, cols) == [None, "w", None, None, "u", "u"]
     got = {(r["feature_a"], r["feature_b"]): r["rho"] for r in correlation.spearman_matrix(df, cols, "key").collect()}
     want = pdf[cols].corr(method="spearman")
-    assert len(got) == 25
+    assert len(got) == 36
     for a in cols:
         for b in cols:
             assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
