@@ -56,13 +56,16 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums along ``key``, which is unique within ``by``.
 
-    ``values`` maps a new column name to the column summed.
+    ``values`` maps a new column name to the column summed; the whole group's sum is
+    added as ``<name>_all``. It comes with the bucket offsets, so no join on ``by``
+    alone, whose groups may be huge, is needed.
     """
     by = list(by)
     cuts = cut_points(df, key, bucket_count(df)) if cuts is None else cuts
     cut = bucketed(df, key, cuts)
     direction = F.desc if descending else F.asc
     before = _running(by, direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*(by or [F.lit(0)]))
     totals = cut.groupBy(*by, "_bucket").agg(
         *[F.sum(src).alias(f"_t_{out}") for out, src in values.items()]
     )
@@ -70,6 +73,7 @@ def running_totals(
         *by,
         "_bucket",
         *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in values],
+        *[F.sum(f"_t_{o}").over(whole).alias(f"{o}_all") for o in values],
     )
     here = (
         Window.partitionBy(*by, "_bucket")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rarespark.functions.ranks import bucket_count, cut_points, running_totals
 
@@ -16,12 +16,7 @@ def _cumulative(scored: DataFrame, by: Sequence[str], score: str) -> DataFrame:
     cuts = cut_points(rows, "score", bucket_count(rows))
     groups = rows.groupBy(*by, "score").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
     summed = running_totals(groups, "score", {"tp": "pos", "m": "n"}, by, descending=True, cuts=cuts)
-    totals = rows.groupBy(*by).agg(F.sum("y").alias("p_all"), F.count("*").alias("n_all"))
-    if by:
-        return summed.join(totals, by)
-    return summed.withColumn("p_all", F.lit(totals.select("p_all").scalar())).withColumn(
-        "n_all", F.lit(totals.select("n_all").scalar())
-    )
+    return summed.withColumnsRenamed({"tp_all": "p_all", "m_all": "n_all"})
 
 
 def _d(name: str):
@@ -37,50 +32,39 @@ def average_precision(scored: DataFrame, by: Sequence[str] = (), score: str = "p
 
 
 def pr_curve(scored: DataFrame, by: Sequence[str] = (), score: str = "proba") -> DataFrame:
-    """Precision and recall at each distinct score, and the end point (1, 0)."""
-    base = _cumulative(scored, by, score)
-    points = base.select(
-        *by,
+    """Precision and recall at each distinct score, and the end point (1, 0).
+
+    The lowest score of a group, which covers all its rows, also emits the end point.
+    """
+    point = F.struct(
         F.col("score").alias("threshold"),
         (_d("tp") / _d("m")).alias("precision"),
         F.when(F.col("p_all") > 0, _d("tp") / _d("p_all")).otherwise(1.0).alias("recall"),
-        (_d("p_all") / _d("n_all")).alias("baseline"),
     )
-    totals = scored.where(F.col(score).isNotNull()).groupBy(*by).agg(F.avg("y").alias("baseline"))
-    end = totals.select(
-        *by,
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"),
-        F.lit(0.0).alias("recall"),
-        "baseline",
+    end = F.struct(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
-    return points.unionByName(end)
+    last = F.col("m") == F.col("n_all")
+    points = F.explode(F.when(last, F.array(point, end)).otherwise(F.array(point)))
+    baseline = (_d("p_all") / _d("n_all")).alias("baseline")
+    return _cumulative(scored, by, score).select(*by, points.alias("_c"), baseline).select(*by, "_c.*", "baseline")
 
 
 def roc_curve(scored: DataFrame, by: Sequence[str] = (), score: str = "proba") -> DataFrame:
-    """False and true positive rates at each distinct score, starting from (0, 0)."""
-    base = _cumulative(scored, by, score)
-    points = base.select(
-        *by,
+    """False and true positive rates at each distinct score, starting from (0, 0).
+
+    The highest score of a group also emits the starting point.
+    """
+    negatives, positives = _d("n_all") - _d("p_all"), _d("p_all")
+    point = F.struct(
         F.col("score").alias("threshold"),
-        (_d("m") - _d("tp")).alias("_fp"),
-        _d("tp").alias("_tp"),
-        (_d("n_all") - _d("p_all")).alias("_neg"),
-        _d("p_all").alias("_pos"),
-    ).select(
-        *by,
-        "threshold",
-        (F.col("_fp") / F.nullif(F.col("_neg"), F.lit(0.0))).alias("fpr"),
-        (F.col("_tp") / F.nullif(F.col("_pos"), F.lit(0.0))).alias("tpr"),
-    )
-    totals = scored.where(F.col(score).isNotNull()).groupBy(*by).agg(F.count("*").alias("_n"))
-    start = totals.select(
-        *by,
-        F.lit(float("inf")).alias("threshold"),
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
+        ((_d("m") - _d("tp")) / F.nullif(negatives, F.lit(0.0))).alias("fpr"),
+        (_d("tp") / F.nullif(positives, F.lit(0.0))).alias("tpr"),
     )
-    return points.unionByName(start)
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    first = F.col("m") == F.col("n")
+    points = F.explode(F.when(first, F.array(point, start)).otherwise(F.array(point)))
+    return _cumulative(scored, by, score).select(*by, points.alias("_c")).select(*by, "_c.*")
 
 
 def roc_auc(scored: DataFrame, by: Sequence[str] = (), score: str = "proba") -> DataFrame:

@@ -8,6 +8,7 @@ from math import factorial
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rarespark.functions.small import broadcast_if_small
 from rarespark.operators.boosting import BoostedModel, Tree
 
 TOP_BARS = 15
@@ -129,7 +130,7 @@ def shap_waterfall(
 ) -> DataFrame:
     """Contributions of each example row, largest first, the rest in one line, and the
     running margin from ``base``."""
-    rows = phi.join(F.broadcast(examples.select(id_col).distinct()), id_col)
+    rows = phi.join(broadcast_if_small(examples.select(id_col).distinct()), id_col)
     order = Window.partitionBy(id_col).orderBy(F.desc(F.abs("phi")), "feature")
     ranked = rows.withColumn("_r", F.row_number().over(order))
     step = F.least(F.col("_r"), F.lit(top + 1)).alias("step")

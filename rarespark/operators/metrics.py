@@ -13,6 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rarespark.functions import rates
+from rarespark.functions.small import broadcast_if_small
 
 # The two threshold grids.
 SWEEP_GRID = [float(t) for t in np.arange(0.01, 1.0, 0.01)]
@@ -72,8 +73,9 @@ def threshold_counts(
 ) -> DataFrame:
     """Confusion counts at every threshold from one pass over the scores.
 
-    Rows are counted by the number of thresholds they reach. A bucket then adds to all
-    thresholds at or below it; bucket 0 carries the totals.
+    Rows are counted by the number of thresholds they reach, at most one count per grid
+    value and group. A count then adds to all thresholds at or below it; threshold 0
+    stands for the totals.
     """
     by, grid = list(by), sorted(float(t) for t in grid)
     splits = [-np.inf, *grid, np.inf] if len(grid) > 1 else [-np.inf, grid[0], np.inf]
@@ -83,19 +85,19 @@ def threshold_counts(
     counts = cut.groupBy(*by, F.col("_b").cast("int").alias("_b")).agg(
         F.count(F.when(F.col("y") == 1, 1)).alias("pos"), F.count("*").alias("n")
     )
-    groups = counts.select(*by).distinct() if by else scored.sparkSession.range(1)
-    none = F.lit(0).cast("bigint")
-    edge = groups.select(*by, F.lit(len(grid)).alias("_b"), none.alias("pos"), none.alias("n"))
-    reached = (
-        counts.unionByName(edge)
-        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_b"))))
+    reached = F.col("_b") >= F.col("_i")
+    sums = (
+        counts.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(len(grid)))))
         .groupBy(*by, "_i")
-        .agg(F.sum("pos").alias("tp"), F.sum("n").alias("m"))
+        .agg(
+            F.sum(F.when(reached, F.col("pos")).otherwise(0)).alias("tp"),
+            F.sum(F.when(reached, F.col("n")).otherwise(0)).alias("m"),
+        )
     )
     whole = Window.partitionBy(*(by or [F.lit(0)]))
     values = F.array(*[F.lit(t) for t in grid])
     return (
-        reached.withColumn("_p", F.max(F.when(F.col("_i") == 0, F.col("tp"))).over(whole))
+        sums.withColumn("_p", F.max(F.when(F.col("_i") == 0, F.col("tp"))).over(whole))
         .withColumn("_n", F.max(F.when(F.col("_i") == 0, F.col("m"))).over(whole))
         .where("_i > 0")
         .select(
@@ -161,7 +163,8 @@ def tune_then_evaluate(
 ) -> DataFrame:
     """Choose the threshold of each model on one table, measure it on another."""
     chosen = optimal_threshold(threshold_sweep(tune, metric, by=by), by).select(*by, "threshold")
-    judged = apply_threshold(evaluate.join(chosen, list(by)), F.col("threshold"))
+    # one row per model; the evaluated rows of a model must not meet in one task
+    judged = apply_threshold(evaluate.join(broadcast_if_small(chosen), list(by)), F.col("threshold"))
     return classification_metrics(judged, [*by, "threshold"])
 
 
@@ -171,7 +174,8 @@ def train_test_comparison(
     """One row per model; each split's metrics side by side, threshold from ``splits[0]``."""
     tuned = scored.where(F.col("split") == splits[0])
     chosen = optimal_threshold(threshold_sweep(tuned, metric, by=["model"]), ["model"])
-    judged = apply_threshold(scored.join(chosen.drop("score"), "model"), F.col("threshold"))
+    chosen = broadcast_if_small(chosen.drop("score"))
+    judged = apply_threshold(scored.join(chosen, "model"), F.col("threshold"))
     rows = classification_metrics(judged, ["model", "split"])
     return rows.groupBy("model").pivot("split", list(splits)).agg(
         F.first("f1_macro").alias("f1_macro"), F.first("mcc").alias("mcc"), F.first("cost").alias("cost")

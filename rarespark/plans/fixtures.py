@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rarespark.functions.hashing import spread
 from rarespark.session import cut_lineage
@@ -116,17 +116,16 @@ def phi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trial_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Trial log stand-in: one study per customer nation, one trial per customer."""
-    order = Window.partitionBy("study").orderBy("c_custkey")
+    """Trial log stand-in: one trial per customer, two studies of 50 trials per experiment."""
+    key = F.col("c_custkey")
     return (
         table(spark, sf, "customer")
         .select(
-            F.concat(F.lit("study_"), F.col("c_nationkey")).alias("study"),
-            "c_custkey",
+            F.floor(key / 100).alias("experiment"),
+            F.when(F.floor(key / 50) % 2 == 0, "weighted").otherwise("focal").alias("study"),
+            (key % 50).cast("int").alias("trial"),
             ((spread(F.col("c_custkey"), 5) % 1000) / F.lit(1000.0)).alias("value"),
             (F.lit(3) + spread(F.col("c_custkey"), 6) % 8).cast("int").alias("max_depth"),
             (F.lit(0.01) + (spread(F.col("c_custkey"), 7) % 290) / F.lit(1000.0)).alias("learning_rate"),
         )
-        .withColumn("trial", F.row_number().over(order))
-        .drop("c_custkey")
     )

@@ -203,39 +203,44 @@ def hyperparam_trials(spark, sf):
     )
 
 
-TRIAL = f"""tl as (select 'study_' || c_nationkey study, row_number() over (partition by c_nationkey order by c_custkey) trial,
-({hash_sql('c_custkey', 5)}) % 1000/1000.0::double as value, cast(3 + ({hash_sql('c_custkey', 6)}) % 8 as int) max_depth,
+TRIAL = f"""tl as (select cast(floor(c_custkey/100) as bigint) experiment,
+case when cast(floor(c_custkey/50) as bigint) % 2 = 0 then 'weighted' else 'focal' end study,
+cast(c_custkey % 50 as int) trial, ({hash_sql('c_custkey', 5)}) % 1000/1000.0::double as value,
+cast(3 + ({hash_sql('c_custkey', 6)}) % 8 as int) max_depth,
 0.01::double + ({hash_sql('c_custkey', 7)}) % 290/1000.0::double learning_rate from customer)"""
+RUN = ["experiment", "study"]
 
 
-@query("trial_history", f"""with {TRIAL} select study, cast(trial as int) trial, value,
-max(value) over (partition by study order by trial) best from tl""")
+@query("trial_history", f"""with {TRIAL} select experiment, study, trial, value,
+max(value) over (partition by experiment, study order by trial) best from tl""")
 def trial_history(spark, sf):
-    return search.trial_history(trial_log(spark, sf))
+    return search.trial_history(trial_log(spark, sf), RUN)
 
 
-@query("trial_slice", f"""with {TRIAL} select study, cast(trial as int) trial, value, 'max_depth' param, cast(max_depth as double) setting from tl
-union all select study, cast(trial as int), value, 'learning_rate', learning_rate from tl""")
+@query("trial_slice", f"""with {TRIAL} select experiment, study, trial, value, 'max_depth' param, cast(max_depth as double) setting from tl
+union all select experiment, study, trial, value, 'learning_rate', learning_rate from tl""")
 def trial_slice(spark, sf):
-    return search.trial_slice(trial_log(spark, sf))
+    return search.trial_slice(trial_log(spark, sf), by=RUN)
 
 
-@query("strategy_select", f"""with {TRIAL}, b as (select study, max(value) as value from tl group by study)
-select study, value from b order by b.value desc, study = 'study_7' desc, study desc limit 1""")
+@query("strategy_select", f"""with {TRIAL}, b as (select experiment, study, max(value) as value from tl group by 1, 2),
+r as (select *, row_number() over (partition by experiment order by value desc, study desc) rn from b)
+select experiment, study, value from r where rn = 1""")
 def strategy_select(spark, sf):
-    return search.strategy_select(trial_log(spark, sf), "study_7")
+    return search.strategy_select(trial_log(spark, sf), by=["experiment"])
 
 
-@query("early_stopping", f"""with {TRIAL}, g as (select study, trial, value loss,
-case when value < coalesce(min(value) over (partition by study order by trial rows between unbounded preceding and 1 preceding), 2)
+@query("early_stopping", f"""with {TRIAL}, g as (select experiment, study, trial, value loss,
+case when value < coalesce(min(value) over (partition by experiment, study order by trial rows between unbounded preceding and 1 preceding), 2)
  then trial end gain from tl),
-s as (select *, max(gain) over (partition by study order by trial) lastg from g),
-st as (select study, min(case when trial - lastg >= 8 then trial end) stop, max(trial) fin from s group by study)
-select s.study, cast(max(s.trial) as int) best_round, min(loss) best_loss, cast(max(coalesce(stop, fin)) as int) stop_round
-from s join st on s.study = st.study where gain is not null and s.trial <= coalesce(stop, fin) group by s.study""")
+s as (select *, max(gain) over (partition by experiment, study order by trial) lastg from g),
+st as (select experiment, study, min(case when trial - lastg >= 8 then trial end) stop, max(trial) fin from s group by 1, 2)
+select s.experiment, s.study, max(s.trial) best_round, min(loss) best_loss, max(coalesce(stop, fin)) stop_round
+from s join st on s.experiment = st.experiment and s.study = st.study
+where gain is not null and s.trial <= coalesce(stop, fin) group by 1, 2""")
 def early_stopping(spark, sf):
-    rounds = trial_log(spark, sf).select("study", F.col("trial").alias("round"), F.col("value").alias("loss"))
-    return search.early_stopping(rounds, 8)
+    rounds = trial_log(spark, sf).select(*RUN, F.col("trial").alias("round"), F.col("value").alias("loss"))
+    return search.early_stopping(rounds, 8, RUN)
 
 
 # --- proximity and outliers ----------------------------------------------------------
