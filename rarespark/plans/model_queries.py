@@ -30,7 +30,7 @@ from rarespark.plans.fixtures import (
     trial_log,
     vectors,
 )
-from rarespark.plans.registry import SCORED_LONG, SENSOR, VECTORS, hash_sql, long_sql, query, r6
+from rarespark.plans.registry import SCORED_LONG, SENSOR, TRAIN, VECTORS, hash_sql, long_sql, query, r6
 from rarespark.session import cut_lineage, scratch_path
 from rarespark.sources import tables
 
@@ -118,12 +118,20 @@ def score_models(spark, sf):
     return rated.unionByName(last)
 
 
-@query("model_persist")
+@query("model_persist", f"""with {TRAIN} select 'Elastic Net' model, cast(count(*) as bigint) as "rows", 0.0::double max_change
+from test""")
 def model_persist(spark, sf):
+    """Change of the scores after saving and loading the model."""
     train, test = sensor_split(spark, sf)
     path = scratch_path(spark, "model")
-    tables.save_model(training.fit_elastic_net(train, FEATURES, 0.1, 0.5, 100), path)
-    return training.score_models({"Elastic Net": tables.load_model(path)}, test)
+    model = training.fit_elastic_net(train, FEATURES, 0.1, 0.5, 100)
+    tables.save_model(model, path)
+    before = training.score_models({"Elastic Net": model}, test).withColumnRenamed("proba", "was")
+    after = training.score_models({"Elastic Net": tables.load_model(path)}, test)
+    both = after.join(before, ["row_id", "model"])
+    return both.groupBy("model").agg(
+        F.count("*").alias("rows"), F.max(F.abs(F.col("proba") - F.col("was"))).alias("max_change")
+    )
 
 
 @query("cv_model_scores")
@@ -181,6 +189,34 @@ def boosted_trees_fit(spark, sf):
     return boosting.boosted_trees_fit(train, FEATURES, SMALL, losses.logistic(weight)).table(spark)
 
 
+STUMP = ["f_lines", "f_disc", "f_tax"]
+
+
+@query("boosted_stump", f"""with {SENSOR}, {', '.join(f"m_{f} as (select median({f}) v from sensor)" for f in STUMP)},
+x as ({' union all '.join(f"select '{f}' feature, {i} pos, case when f_qty > 150 then 1 else 0 end y, coalesce({f}, (select v from m_{f})) v from sensor" for i, f in enumerate(STUMP))}),
+c as (select feature, pos, v, sum(0.5::double - y) g, count(*)*0.25::double h from x group by 1, 2, 3),
+w as (select feature, pos, v, sum(g) over w - g gl, sum(h) over w - h hl,
+ sum(g) over (partition by feature) gt, sum(h) over (partition by feature) ht
+ from c window w as (partition by feature order by v)),
+k as (select *, round(0.5::double*(gl*gl/(hl+1) + (gt-gl)*(gt-gl)/(ht-hl+1) - gt*gt/(ht+1)), 6) gain from w
+ where hl >= 20 and ht - hl >= 20)
+select feature, v threshold, gain, round(-0.3::double*gl/(hl+1), 6) left_value,
+round(-0.3::double*(gt-gl)/(ht-hl+1), 6) right_value from k order by k.gain desc, pos, v limit 1""")
+def boosted_stump(spark, sf):
+    """First split on low-cardinality features, where every value is a bin."""
+    rows = sensor_table(spark, sf).withColumn("y", F.when(F.col("f_qty") > 150, 1).otherwise(0))
+    rows = prep.median_impute(rows, prep.fit_medians(rows, STUMP), STUMP)
+    params = boosting.BoostParams(rounds=1, depth=1, bins=1024, min_child_weight=20.0)
+    nodes = boosting.boosted_trees_fit(rows, STUMP, params).table(spark)
+    return nodes.agg(
+        F.max("feature").alias("feature"),
+        F.max("threshold").alias("threshold"),
+        r6(F.max("gain"), "gain"),
+        r6(F.max(F.when(F.col("node") == 2, F.col("value"))), "left_value"),
+        r6(F.max(F.when(F.col("node") == 3, F.col("value"))), "right_value"),
+    )
+
+
 @query("boosted_trees_focal")
 def boosted_trees_focal(spark, sf):
     train, test = _filled_split(spark, sf)
@@ -283,6 +319,16 @@ def forest_leaves(spark, sf):
     return training.leaf_table(_forest_leaves(spark, sf)[2])
 
 
+@query("forest_leaf_counts", f"""with {SENSOR} select cast(t as int) tree, cast(count(*) as bigint) as "rows",
+true as numbered from sensor cross join range(0, {FOREST['trees']}) r(t) group by t""")
+def forest_leaf_counts(spark, sf):
+    """Every row stands in one leaf of every tree."""
+    leaves = training.leaf_table(_forest_leaves(spark, sf)[2])
+    return leaves.groupBy("tree").agg(
+        F.count("*").alias("rows"), (F.min("leaf") >= 0).alias("numbered")
+    )
+
+
 @query("proximity_sample")
 def proximity_sample(spark, sf):
     rows, _, leaves = _forest_leaves(spark, sf)
@@ -344,6 +390,16 @@ def tree_shap(spark, sf):
     return explain.tree_shap(model, folds.simple_sample(test))
 
 
+@query("tree_shap_sums", f"""with {TRAIN} select row_id, 0.0::double gap from test""")
+def tree_shap_sums(spark, sf):
+    """Attributions and base against the margin, row by row."""
+    train, test = _filled_split(spark, sf)
+    model = boosting.boosted_trees_fit(train, FEATURES, SMALL)
+    total = explain.tree_shap(model, test).groupBy("row_id").agg(F.sum("phi").alias("phi"))
+    gap = F.col("phi") + explain.expected_margin(model) - F.col("margin")
+    return model.transform(test).join(total, "row_id").select("row_id", r6(gap, "gap"))
+
+
 @query("shap_importance", f"with {PHI} select feature, round(mean_abs, 4) mean_abs from imp order by imp.mean_abs desc, feature limit 10")
 def shap_importance(spark, sf):
     return explain.shap_importance(phi(spark, sf)).select("feature", F.round("mean_abs", 4).alias("mean_abs"))
