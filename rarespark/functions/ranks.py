@@ -10,8 +10,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rarespark.functions.hashing import SPACE, spread
 from rarespark.functions.small import broadcast_if_small, fetch_if_small, hint
@@ -160,6 +161,11 @@ def unpivoted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return df.unpivot(list(keep), list(columns), "feature", "value")
 
 
+def row_sample(df: DataFrame, total: int, rows: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, for bounds that need not be exact."""
+    return df if total <= rows else df.sample(rows / total, seed=17)
+
+
 def _small_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
 ) -> DataFrame:
@@ -170,6 +176,58 @@ def _small_quantiles(
     return cells.select(*by, "feature", F.col("_c.prob").alias("prob"), F.col("_c._q").alias("quantile"))
 
 
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
+def _count_cells(batches, by: Sequence[str], cuts: Sequence[np.ndarray]):
+    """Rows per (by, column, bucket) of each batch."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for i, cut in enumerate(cuts):
+            column = batch.column(len(by) + i)
+            here = column.is_valid()
+            bucket = np.searchsorted(cut, column.filter(here).to_numpy(), side="right")
+            if not len(bucket):
+                continue
+            table = pa.table(
+                [batch.column(j).filter(here) for j in range(len(by))] + [pa.array(bucket.astype("int32"))],
+                names=[*by, "_bucket"],
+            )
+            counts = table.group_by([*by, "_bucket"]).aggregate([([], "count_all")])
+            feature = pa.array(np.full(len(counts), i, dtype="int32"))
+            columns = [counts.column(k) for k in by]
+            columns += [feature, counts.column("_bucket"), counts.column("count_all")]
+            yield from pa.table(columns, names=[*by, "feature", "_bucket", "_c"]).combine_chunks().to_batches()
+
+
+def _pick_cells(batches, by: Sequence[str], cuts: Sequence[np.ndarray], keep: set | None):
+    """Cells whose (column, bucket) is wanted; all cells if ``keep`` is None."""
+    import pyarrow as pa
+
+    wanted = [
+        np.array([keep is None or (i, b) in keep for b in range(len(cut) + 1)]) for i, cut in enumerate(cuts)
+    ]
+    for batch in batches:
+        for i, cut in enumerate(cuts):
+            column = batch.column(len(by) + i)
+            if not wanted[i].any() or column.null_count == len(column):
+                continue
+            values = column.to_numpy(zero_copy_only=False)
+            bucket = np.searchsorted(cut, values, side="right")
+            mine = wanted[i][bucket] & column.is_valid().to_numpy(zero_copy_only=False)
+            rows = pa.array(np.flatnonzero(mine))
+            if len(rows):
+                columns = [batch.column(j).take(rows) for j in range(len(by))]
+                columns += [
+                    pa.array(np.full(len(rows), i, dtype="int32")),
+                    pa.array(bucket[mine].astype("int32")),
+                    pa.array(values[mine]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[*by, "feature", "_bucket", "value"])
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -181,34 +239,24 @@ def exact_quantiles(
     ``len(probs) / buckets`` of the data is shuffled and no task holds a whole column.
     """
     by, columns = list(by), list(columns)
-    if df.count() * len(columns) <= SMALL_CELLS:
+    total = df.count()
+    if total * len(columns) <= SMALL_CELLS:
         return _small_quantiles(df, columns, probs, by)
     buckets = bucket_count(df)
-    accuracy = 4 * buckets
-    probes = [i / buckets for i in range(1, buckets)]
-    found = df.agg(*[F.percentile_approx(c, probes, accuracy).alias(c) for c in columns]).first()
-    splits = [splits_of(sorted(set(found[c] or []))) for c in columns]
-    cut = Bucketizer(
-        splitsArray=splits,
-        inputCols=columns,
-        outputCols=[f"_b_{i}" for i in range(len(columns))],
-        handleInvalid="keep",
-    ).transform(df)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(c).cast("double").alias("value"),
-                F.col(f"_b_{i}").cast("int").alias("_bucket"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    long = cut.select(*by, F.explode(cells).alias("_cell")).select(*by, "_cell.*")
-    long = long.where(F.col("value").isNotNull())
+    probes = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    # the cuts decide how even the buckets are, not the result: a sample serves
+    part = row_sample(df.select(*columns), total, 150 * buckets)
+    found = part.agg(*[F.percentile(c, probes).alias(c) for c in columns]).first()
+    cuts = [np.array(sorted(set(found[c] or []))) for c in columns]
+    cells = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    keys = [f for f in cells.schema.fields if f.name in by]
 
     group = [*by, "feature"]
-    counts = long.groupBy(*group, "_bucket").agg(F.count("*").alias("_c"))
+    parts = cells.mapInArrow(
+        lambda batches: _count_cells(batches, by, cuts),
+        T.StructType([*keys, *_fields("feature int, _bucket int, _c bigint")]),
+    )
+    counts = parts.groupBy(*group, "_bucket").agg(F.sum("_c").alias("_c"))
     whole = Window.partitionBy(*group)
     upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     spans = counts.withColumn("_hi", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(whole))
@@ -222,6 +270,11 @@ def exact_quantiles(
         .select(*group, "_bucket", "prob", "_pos", "_rank", "_off")
     )
     wanted, small = fetch_if_small(wanted)
+    keep = {(r["feature"], r["_bucket"]) for r in wanted.collect()} if small else None
+    long = cells.mapInArrow(
+        lambda batches: _pick_cells(batches, by, cuts, keep),
+        T.StructType([*keys, *_fields("feature int, _bucket int, value double")]),
+    )
     chosen = hint(wanted.select(*group, "_bucket").distinct(), small)
     values = long.join(chosen, [*group, "_bucket"])
     values = values.groupBy(*group, "_bucket", "value").agg(F.count("*").alias("_c"))
@@ -237,8 +290,10 @@ def exact_quantiles(
     ends = hits.groupBy(*group, "prob").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_up"), F.max("_pos").alias("_pos")
     )
+    names = F.array(*[F.lit(c) for c in columns])
     return ends.select(
-        *group,
+        *by,
+        F.get(names, F.col("feature")).alias("feature"),
         "prob",
         (F.col("_lo") + (F.col("_up") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))).alias(
             "quantile"

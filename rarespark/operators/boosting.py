@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rarespark.functions import losses
 from rarespark.functions.hashing import uniform
-from rarespark.functions.ranks import splits_of
+from rarespark.functions.ranks import row_sample, splits_of
 from rarespark.session import cut_lineage
 
 MIN_GAIN = 1e-6
 REWRITE_EVERY = 10
+ROWS_PER_BIN = 40
 TREE_SCHEMA = (
     "tree int, node int, feature string, threshold double, value double, cover double, gain double"
 )
@@ -138,11 +139,17 @@ def tree_margins(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
 
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[list[float]]:
-    """Inner bin bounds per feature: approximate quantiles, ``bins - 1`` at most."""
+    """Inner bin bounds per feature, ``bins - 1`` at most: quantiles of a sample of rows
+    that grows with the number of bins."""
     probs = [i / bins for i in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(c, probs, 10 * bins).alias(c) for c in features]).first()
-    lows = df.agg(*[F.min(c).alias(c) for c in features]).first()
-    return [sorted(set(q for q in (row[c] or []) if q > lows[c])) for c in features]
+    part = row_sample(df.select(*features), df.count(), max(10_000, ROWS_PER_BIN * bins))
+    row = part.agg(
+        *[
+            F.struct(F.percentile_approx(c, probs, 10 * bins).alias("q"), F.min(c).alias("lo")).alias(c)
+            for c in features
+        ]
+    ).first()
+    return [sorted({q for q in (row[c]["q"] or []) if q > row[c]["lo"]}) for c in features]
 
 
 def binned(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], keep: Sequence[str]) -> DataFrame:

@@ -152,7 +152,6 @@ from matrix join t ta on feature_a = ta.f join t tb on feature_b = tb.f
 where {INDEX.format('feature_a')} < {INDEX.format('feature_b')} and feature_b <> 'y' and abs(rho) > 0.5""")
 def feature_prune_pairs(spark, sf):
     matrix = correlation.spearman_matrix(sensor_table(spark, sf), _NAMES)
-    matrix = matrix.persist()
     pairs = correlation.correlated_pairs(matrix.where("feature_a <> 'y' and feature_b <> 'y'"), FEATURES, 0.5)
     return correlation.drop_from_pairs(pairs, correlation.target_correlation(matrix))
 
