@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import substring_dedup
+from rarespark.llm import simhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +49,8 @@ WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 )
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.dedup_report(table(spark, sf, "documents"))
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_dedup.near_duplicate_classes(table(spark, sf, "documents"))

@@ -61,10 +61,6 @@ def _phrases(words: np.ndarray, first: np.ndarray):
     return least[starts], W.sequence_hash(words, starts, ends + WINDOW), row[starts], starts, ends
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy()
@@ -75,7 +71,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if found is not None:
                 anchor, phrase, row, _, _ = found
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(anchor), _signed(phrase), pa.array(ids[a:b][row])], ["anchor", "phrase", "id"]
+                    [W.signed(anchor), W.signed(phrase), pa.array(ids[a:b][row])], ["anchor", "phrase", "id"]
                 )
 
 
@@ -105,13 +101,13 @@ def _suspect_rows(shared: np.ndarray, contested: np.ndarray):
                 local = starts - first[row]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        _signed(anchor),
-                        _signed(phrase),
+                        W.signed(anchor),
+                        W.signed(phrase),
                         pa.array(ids[a:b][row]),
                         pa.array(keys[a:b][row]),
                         pa.array(local.astype(np.int32)),
                         pa.array((ends - starts + 1).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), _signed(windows)),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), W.signed(windows)),
                     ],
                     ["anchor", "phrase", "id", "key", "start", "size", "windows"],
                 )

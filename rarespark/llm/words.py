@@ -78,6 +78,11 @@ def _powers(step: int):
 _byte_power, _word_power = _powers(BYTE_STEP), _powers(WORD_STEP)
 
 
+def signed(x: np.ndarray) -> pa.Array:
+    """Unsigned hashes as Spark's longs."""
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> MIX_SHIFT)) * MIX_1
     x = (x ^ (x >> MIX_SHIFT)) * MIX_2
