@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import simhash_dedup, substring_dedup
+from rarespark.llm import packing, simhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_dedup.near_duplicate_classes(table(spark, sf, "documents"))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"))
