@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import packing, simhash_dedup, substring_dedup
+from rarespark.llm import packing, simhash_dedup, substring_dedup, token_histogram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +56,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_dedup.near_duplicate_classes(table(spark, sf, "documents"))
 
 
+@query("op2_token_length_histogram")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return token_histogram.limit_report(token_histogram.length_histogram(token_histogram.token_lengths(table(spark, sf, "documents"))))
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
