@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import packing, simhash_dedup, substring_dedup, token_histogram
+from rarespark.llm import decontaminate, packing, simhash_dedup, substring_dedup, token_histogram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +64,23 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+LOWER_WORDS_SQL = WORDS_SQL.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
+@query(
+    "op8_containment_decontamination",
+    f"""with d as (select doc_id, {LOWER_WORDS_SQL} as w from documents),
+    q as (select item_id, {LOWER_WORDS_SQL} as w from benchmark),
+    ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) as s
+           from d where len(w) > 0),
+    qs as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) as s
+           from q where len(w) > 0),
+    n as (select item_id, count(*) as n_shingles from qs group by item_id)
+    select doc_id, item_id, n_shingles, count(*) as n_shared
+    from ds join qs using (s) join n using (item_id)
+    group by doc_id, item_id, n_shingles having count(*) * 5 >= n_shingles * 4""",
+)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.containment_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
