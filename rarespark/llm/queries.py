@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, packing, simhash_dedup, substring_dedup, token_histogram
+from rarespark.llm import decontaminate, packing, simhash_dedup, substring_dedup, token_histogram, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,19 @@ LOWER_WORDS_SQL = WORDS_SQL.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQR
 )
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.containment_pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query(
+    "op1_warc_capture_index",
+    """with p as (select page_id, url, coalesce(html, '') as t, sha1(coalesce(html, '')) as h from pages),
+    r as (select *, max(page_id) over (partition by h) as holder from p)
+    select page_id, url, cast(octet_length(encode(t)) as bigint) as payload_bytes,
+      array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (
+        ((16 * (instr('0123456789abcdef', substr(h, 5 * i // 4 + 1, 1)) - 1) + instr('0123456789abcdef', substr(h, 5 * i // 4 + 2, 1)) - 1)
+          >> (3 - (5 * i) % 4)) & 31)::int + 1, 1)), '') as payload_digest,
+      case when page_id = holder then 'response' else 'revisit' end as record_type,
+      case when page_id <> holder then holder end as refers_to
+    from r""",
+)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf, "pages"))
