@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, packing, simhash_dedup, substring_dedup, token_histogram, warc
+from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +100,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf, "pages"))
+
+
+@query("op3_template_main_text")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return html_main.main_texts(table(spark, sf, "pages"))
