@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, warc
+from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, version_sketch, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_template_main_text")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return html_main.main_texts(table(spark, sf, "pages"))
+
+
+@query("op5_version_fingerprints")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return version_sketch.compare_with_next(table(spark, sf, "documents"))
