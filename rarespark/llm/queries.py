@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, version_sketch, warc
+from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_version_fingerprints")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return version_sketch.compare_with_next(table(spark, sf, "documents"))
+
+
+@query("op7_ngram_toxicity")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
