@@ -30,13 +30,17 @@ from rarespark.session import cut_lineage
 
 SHINGLE = 4
 DISTANCE = 4
+STAGE_SHINGLE = 5
+STAGE_KINDS = 4
 SEED = 42
 BLOCK = 4096
 CHUNK = 1 << 16
+SHORT_RUN = 32
 
 HALF = np.uint64(0xFFFFFFFF)
 ODD = np.uint64(0x5555555555555555)
 ONE = np.uint64(1)
+LOWER_TAG = np.uint64(1 << 32)
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -82,74 +86,75 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return texts.mapInArrow(_fingerprints(size), "doc_id bigint, key bigint, fp bigint")
 
 
-def _moves(counts: np.ndarray, fps: np.ndarray, tag: int):
-    """Own cell and the cells one step away. ``counts`` holds a bit count in every 2 bits."""
-    tag_bits = np.uint64(tag << 32)
-    yield counts | tag_bits, fps
+def _moves(cells: np.ndarray, at: np.ndarray):
+    """Own cell and the cells one step away, with the row of each. A cell holds a bit count
+    in every 2 of its lower 32 bits."""
+    yield cells, at
     for k in range(0, 32, 2):
         step = ONE << np.uint64(k)
-        here = counts >> np.uint64(k) & np.uint64(3)
+        here = cells >> np.uint64(k) & np.uint64(3)
         up, down = here < 2, here > 0
-        yield (counts[up] + step) | tag_bits, fps[up]
-        yield (counts[down] - step) | tag_bits, fps[down]
+        yield cells[up] + step, at[up]
+        yield cells[down] - step, at[down]
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grid cells of each fingerprint.
+    """Grid cells of each fingerprint; those of different kinds never share a cell.
 
     Upper half, range 2: both sides visit their neighbours and meet half-way. Lower half,
     range 1: of two neighbouring vectors one has an odd sum, and only that one visits.
     """
     for batch in batches:
         fps = batch.column(0).to_numpy().view(np.uint64)
+        nodes = batch.column(1).to_numpy()
+        kind = batch.column(2).to_numpy().astype(np.uint64) << np.uint64(33)
         counts = (fps & ODD) + (fps >> ONE & ODD)
-        upper, lower = counts >> np.uint64(32), counts & HALF
+        upper, lower = (counts >> np.uint64(32)) | kind, (counts & HALF) | LOWER_TAG | kind
         odd = np.bitwise_count(fps & HALF) % 2 == 1
-        parts = [*_moves(upper, fps, 0), *_moves(lower[odd], fps[odd], 1), (lower[~odd] | np.uint64(1 << 32), fps[~odd])]
-        for cell, fp in parts:
-            yield pa.RecordBatch.from_arrays([W.signed(cell), W.signed(fp)], ["cell", "fp"])
+        every = np.arange(len(fps))
+        parts = [*_moves(upper, every), *_moves(lower[odd], every[odd]), (lower[~odd], every[~odd])]
+        for cell, at in parts:
+            yield pa.RecordBatch.from_arrays([W.signed(cell), W.signed(fps[at]), pa.array(nodes[at])], ["cell", "fp", "node"])
 
 
-def _stars(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links ``(fp, root)`` of one cell: each group of linked fingerprints as a star."""
-    left, members, roots = fps, [], []
+def _stars(fps: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``(node, root)`` of one cell: each group of linked fingerprints as a star."""
+    left, members, roots = np.arange(len(fps)), [], []
     while len(left) > 1:
         root, left, queue = left[0], left[1:], [left[0]]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= DISTANCE
+            near = np.bitwise_count(fps[left] ^ fps[queue.pop()]) <= DISTANCE
             if near.any():
                 reached = left[near]
                 left = left[~near]
-                members.append(reached)
-                roots.append(np.full(len(reached), root))
+                members.append(nodes[reached])
+                roots.append(np.full(len(reached), nodes[root]))
                 queue.extend(reached)
     if not members:
-        return fps[:0], fps[:0]
+        return nodes[:0], nodes[:0]
     return np.concatenate(members), np.concatenate(roots)
 
 
-SMALL = 32
-
-
-def _group_links(group: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _group_links(group: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links inside the runs of equal ``group``. Short runs are compared side by side."""
-    edges = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(edges, len(group)))
-    a, b = [], []
-    for at in np.flatnonzero(sizes > SMALL):
-        x, y = _stars(fps[edges[at] : edges[at] + sizes[at]])
+    a, b = [nodes[:0]], [nodes[:0]]
+    for at in np.flatnonzero(sizes > SHORT_RUN):
+        run = slice(edges[at], edges[at] + sizes[at])
+        x, y = _stars(fps[run], nodes[run])
         a.append(x)
         b.append(y)
-    short = np.repeat(sizes <= SMALL, sizes)
-    group, fps = group[short], fps[short]
-    for step in range(1, SMALL):
+    short = np.repeat(sizes <= SHORT_RUN, sizes)
+    group, fps, nodes = group[short], fps[short], nodes[short]
+    for step in range(1, SHORT_RUN):
         same = np.flatnonzero(group[step:] == group[:-step])
         if not len(same):
             break
         near = same[np.bitwise_count(fps[same] ^ fps[same + step]) <= DISTANCE]
-        a.append(fps[near + step])
-        b.append(fps[near])
-    return (np.concatenate(a), np.concatenate(b)) if a else (fps[:0], fps[:0])
+        a.append(nodes[near + step])
+        b.append(nodes[near])
+    return np.concatenate(a), np.concatenate(b)
 
 
 def _contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,42 +177,44 @@ def _contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; a group that a batch cuts waits for the next one."""
-    group, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    group, fps, nodes = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def emit(g, f):
-        a, b = _group_links(g, f)
+    def emit(*rows):
+        a, b = _group_links(*rows)
         if len(a):
             a, b = _contracted(a, b)
-            yield pa.RecordBatch.from_arrays([W.signed(a), W.signed(b)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
         group = np.concatenate([group, batch.column(0).to_numpy()])
         fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
+        nodes = np.concatenate([nodes, batch.column(2).to_numpy()])
         cut = int(np.searchsorted(group, group[-1])) if len(group) else 0
-        yield from emit(group[:cut], fps[:cut])
-        group, fps = group[cut:], fps[cut:]
-    yield from emit(group, fps)
+        yield from emit(group[:cut], fps[:cut], nodes[:cut])
+        group, fps, nodes = group[cut:], fps[cut:], nodes[cut:]
+    yield from emit(group, fps, nodes)
 
 
 def _groups(cells: DataFrame) -> DataFrame:
-    """``(grp, fp)``: cells as groups; a hot cell as pairs of its blocks."""
+    """``(grp, fp, node)``: cells as groups; a hot cell as pairs of its blocks."""
     hot = cut_lineage(cells.groupBy("cell").count().where(F.col("count") > BLOCK), "hot")
     if hot.isEmpty():
-        return cells.select(F.col("cell").alias("grp"), "fp")
+        return cells.select(F.col("cell").alias("grp"), "fp", "node")
     split = cells.join(hot, "cell", "left")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     pairs = split.where("count is not null").select(
-        "cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        "cell", "fp", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     )
-    dealt = pairs.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("grp"), "fp")
-    return split.where("count is null").select(F.col("cell").alias("grp"), "fp").unionByName(dealt)
+    dealt = pairs.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("grp"), "fp", "node")
+    return split.where("count is null").select(F.col("cell").alias("grp"), "fp", "node").unionByName(dealt)
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """``(a, b)``: links between distinct fingerprints ``fp`` that connect exactly those
-    which differ in at most ``DISTANCE`` bits, directly or through others."""
-    cells = fps.select("fp").mapInArrow(_cells, "cell bigint, fp bigint")
+    """``(a, b)``: links between nodes of ``fps (fp, node, kind)`` that connect exactly
+    those with fingerprints of one kind at most ``DISTANCE`` bits apart, directly or
+    through others."""
+    cells = fps.select("fp", "node", "kind").mapInArrow(_cells, "cell bigint, fp bigint, node bigint")
     groups = _groups(cells)
     return groups.repartition("grp").sortWithinPartitions("grp").mapInArrow(_links, "a bigint, b bigint")
 
@@ -217,34 +224,98 @@ def _ranked(doc_id: str = "doc_id", key: str = "key"):
     return F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col(key).alias("key"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, key, fp, first)`` per row; ``first`` is the first row of its component."""
-    rows = cut_lineage(fingerprints(docs, id_col, text_col, size), "fingerprints")
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min(_ranked()).alias("first")), "distinct")
-    nodes = components(links(distinct))
+def _classes(rows: DataFrame, kinds: int) -> DataFrame:
+    """``(doc_id, key, node, first)`` from ``rows (doc_id, key, node, fps)``; ``first`` is the
+    first row of the component, of which each fingerprint alone may be a link."""
+    distinct = cut_lineage(rows.groupBy("node").agg(F.min(_ranked()).alias("first"), F.first("fps").alias("fps")), "distinct")
+    each = distinct.select("node", F.posexplode("fps").alias("kind", "fp")) if kinds > 1 else distinct.select(
+        "node", F.lit(0).alias("kind"), F.col("fps")[0].alias("fp")
+    )
+    roots = components(links(each)).withColumnRenamed("node", "linked")
     rooted = cut_lineage(
-        distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted"
+        distinct.join(roots, F.col("node") == F.col("linked"), "left").select("node", "first", F.coalesce("root", "node").alias("root")),
+        "rooted",
     )
     least = cut_lineage(rooted.groupBy("root").agg(F.min("first").alias("first")), "least")
-    named = cut_lineage(rooted.select("fp", "root").join(least, "root").drop("root"), "named")
-    return rows.join(named, "fp").select("doc_id", "key", "fp", "first")
+    named = cut_lineage(rooted.select("node", "root").join(least, "root").drop("root"), "named")
+    return rows.select("doc_id", "key", "node").join(named, "node").select("doc_id", "key", "node", "first")
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its fingerprint in hexadecimal and the smallest id it is linked to."""
-    found = near_duplicates(docs, id_col, text_col)
+    rows = fingerprints(docs, id_col, text_col).select("doc_id", "key", F.col("fp").alias("node"), F.array("fp").alias("fps"))
+    found = _classes(cut_lineage(rows, "fingerprints"), 1)
     return found.select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id")
+        "doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id")
     )
 
 
-def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+def _several(size: int, kinds: int):
+    """Fingerprints of different hash functions, from one pass over the words."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds = W.utf8_buffer(batch.column(1))
+            out = np.zeros((batch.num_rows, kinds), np.uint64)
+            for a, b in W.row_slices(bounds):
+                part = W.LOWERED[data[bounds[a] : bounds[b]]]
+                words, first = W.hashed_words(part, bounds[a : b + 1] - bounds[a])
+                out[a:b] = _slice_fingerprints(words, first, size, kinds)
+            node = W.mix(np.bitwise_xor.reduce(W.mix(out + np.arange(1, kinds + 1, dtype=np.uint64)), axis=1))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, kinds, dtype=np.int32)), W.signed(out.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), W.signed(node), flat], ["doc_id", "key", "node", "fps"])
 
-    Rows that repeat that id and text are kept once. Rows without id rank last.
+    return rows
+
+
+def _slice_fingerprints(words: np.ndarray, first: np.ndarray, size: int, kinds: int) -> np.ndarray:
+    out = np.zeros((len(first) - 1, kinds), np.uint64)
+    counts = np.diff(first)
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    shingles = np.maximum(counts - size + 1, 0)
+    shingles[short] = 1
+    full = np.flatnonzero(shingles)
+    if not len(full):
+        return out
+    begins = np.concatenate([[0], np.cumsum(shingles[full])])
+    at = np.repeat(first[full] - begins[:-1], shingles[full]) + np.arange(begins[-1])
+    grams = W.gram_hash(words, size)
+    hashes = np.empty(len(at), np.uint64)
+    whole = np.repeat(counts[full] < size, shingles[full])
+    hashes[~whole] = grams[at[~whole]]
+    hashes[whole] = W.sequence_hash(words, first[short], first[short + 1])
+    for kind in range(kinds):
+        own = W.mix(hashes ^ np.uint64((kind + 1) * W.BYTE_STEP & (1 << 64) - 1))
+        sums = np.zeros((len(full), 64), np.int64)
+        for a, b in W.row_slices(begins, CHUNK):
+            # Bits of whole rows, or of one long row a chunk at a time.
+            for c in range(begins[a], begins[b], 4 * CHUNK):
+                d = min(c + 4 * CHUNK, begins[b])
+                bits = np.unpackbits(own[c:d].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                sums[a:b] += np.add.reduceat(bits, begins[a:b] - c, axis=0, dtype=np.int32) if b - a > 1 else bits.sum(axis=0, dtype=np.int64)
+        out[full, kind] = np.packbits(2 * sums > shingles[full][:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+    return out
+
+
+def one_per_class(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = STAGE_SHINGLE, kinds: int = STAGE_KINDS
+) -> DataFrame:
+    """The document with the smallest id of each class, with all its columns.
+
+    Texts are linked if any of ``kinds`` fingerprints, over shingles of ``size`` words, is
+    at most ``DISTANCE`` bits away; several fingerprints find more of the texts that are
+    alike by 0.8 or more, and texts that are not hardly ever get so near. Rows that repeat
+    an id and text are kept once. Rows without id rank last.
     """
     names = docs.columns
-    found = cut_lineage(near_duplicates(docs, id_col, text_col, size).select("doc_id", "key", "first"), "classes")
+    W.bounded_batches(docs.sparkSession)
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), W.text_key(F.col(text_col)).alias("key")
+    )
+    rows = cut_lineage(
+        texts.mapInArrow(_several(size, kinds), "doc_id bigint, key bigint, node bigint, fps array<bigint>"), "fingerprints"
+    )
+    found = cut_lineage(_classes(rows, kinds).drop("node"), "classes")
     gone = found.where(_ranked() != F.col("first")).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     match = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (W.text_key(F.col(text_col)) == F.col("__key"))
     kept = docs.join(gone, match, "left_anti").select(*names)
