@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc
+from rarespark.llm import decontaminate, html_main, licenses, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_ngram_toxicity")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_license_digest_lookup", licenses.report_sql())
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf, "documents"))
