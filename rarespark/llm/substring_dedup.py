@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StringType, StructType
 
 from rarespark.llm import words as W
 from rarespark.session import cut_lineage
@@ -229,9 +230,10 @@ def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("__text"))
         spans = batch.column(batch.schema.get_field_index("__spans"))
-        out = []
+        out, changed = [], []
         for row, (own, starts, _, covered) in enumerate(_row_cuts(texts, spans)):
-            if not covered.any():
+            changed.append(bool(covered.any()))
+            if not changed[-1]:
                 out.append(texts[row].as_py())
                 continue
             # Each word goes with the white space behind it.
@@ -242,19 +244,23 @@ def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append(own[keep].tobytes().decode("utf-8").rstrip("\t\n\v\f\r "))
         columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n not in ("__text", "__spans")]
         names = [n for n in batch.schema.names if n not in ("__text", "__spans")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], [*names, "__cut"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string()), pa.array(changed)], [*names, "__cut", "__changed"])
 
 
-def remove_duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_duplicate_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None
+) -> DataFrame:
     """``docs`` with the duplicate words cut from the text; other texts stay as they are.
 
-    All columns are kept. A document whose words are all duplicates stays with an empty text.
+    All columns are kept; ``length_col``, if it is there, gets the code points of a cut
+    text. A document whose words are all duplicates stays with an empty text.
     """
-    from pyspark.sql.types import StringType, StructType
-
     names = docs.columns
     found = _with_spans(docs, id_col, text_col).withColumnRenamed(text_col, "__text")
     rest = [n for n in names if n != text_col]
-    schema = StructType([docs.schema[n] for n in rest]).add("__cut", StringType())
-    cut = found.select(*rest, "__text", "__spans").mapInArrow(_cut_text, schema)
-    return cut.withColumnRenamed("__cut", text_col).select(*names)
+    schema = StructType([docs.schema[n] for n in rest]).add("__cut", StringType()).add("__changed", BooleanType())
+    cut = found.select(*rest, "__text", "__spans").mapInArrow(_cut_text, schema).withColumnRenamed("__cut", text_col)
+    if length_col in rest:
+        length = F.when(F.col("__changed"), F.length(text_col)).otherwise(F.col(length_col))
+        cut = cut.withColumn(length_col, length.cast(docs.schema[length_col].dataType))
+    return cut.select(*names)
