@@ -215,16 +215,24 @@ class Page(HTMLParser):
         return "\n\n".join(blocks)
 
 
+def _complete(html: str) -> str:
+    """Without a last tag that never ends."""
+    last = html.rfind("<")
+    if last > html.rfind(">") and re.match(r"[a-zA-Z/!?]", html[last + 1 : last + 2]):
+        return html[:last]
+    return html
+
+
 def subtree_hashes(html: str) -> set[int]:
     page = Page()
-    page.feed(html)
+    page.feed(_complete(html))
     page.text()
     return page.hashes
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
     page = Page(template)
-    page.feed(html)
+    page.feed(_complete(html))
     return page.text()
 
 
