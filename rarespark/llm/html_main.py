@@ -8,7 +8,7 @@ page to page) is deleted by its element, role or class name. If the page marks i
 or main part, the text is taken from there.
 
 The hashes are counted and joined by host and hash, so a host that holds a third of all
-pages is spread like any other. A page's text is read twice and moved once.
+pages is spread like any other. Only pages that hold a template are moved, compressed.
 
 Nulls: a null page is empty and has an empty text; a null URL has a host of its own, the
 empty one. Rows that repeat an id and a page get equal texts. An empty table gives an
@@ -18,6 +18,7 @@ empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
@@ -263,16 +264,43 @@ def _host_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([host(u) for u in batch.column(0).to_pylist()], pa.string())], ["host"])
 
 
+def _text_batch(page_id: pa.Array, url: pa.Array, texts: list[str]) -> pa.RecordBatch:
+    sizes = pa.array([len(t) for t in texts], pa.int64())
+    return pa.RecordBatch.from_arrays([page_id, url, pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
+
+
+def _plain_rows(held: np.ndarray):
+    """Texts of the pages that hold no template; ``held`` marks the keys of the others."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.filter(pa.array(~W.in_bitmap(held, batch.column(3).to_numpy())))
+            yield _text_batch(own.column(0), own.column(1), [main_text(x.as_py() or "") for x in own.column(2)])
+
+    return rows
+
+
+def _packed_rows(held: np.ndarray):
+    """Pages that may hold a template, packed for the way to their template list."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.filter(pa.array(W.in_bitmap(held, batch.column(3).to_numpy())))
+            packed = [zlib.compress((x.as_py() or "").encode(), 1) for x in own.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [own.column(0), own.column(1), pa.array(packed, pa.binary()), own.column(3)], ["page_id", "url", "packed", "key"]
+            )
+
+    return rows
+
+
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for html, found in zip(batch.column(2), batch.column(3), strict=True):
+        for packed, found in zip(batch.column(2), batch.column(3), strict=True):
             hashes = found.values.to_numpy().view(np.uint64).tolist() if found.is_valid else ()
-            texts.append(main_text(html.as_py() or "", frozenset(hashes)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-            ["page_id", "url", "text", "n_chars"],
-        )
+            texts.append(main_text(zlib.decompress(packed.as_py()).decode(), frozenset(hashes)))
+        yield _text_batch(batch.column(0), batch.column(1), texts)
 
 
 def template_subtrees(subtrees: DataFrame, urls: DataFrame, pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
@@ -290,7 +318,13 @@ def main_texts(pages: DataFrame, template_pages: int = TEMPLATE_PAGES, share: fl
         rows.select("page_id", "key", "url", "html").mapInArrow(_hash_rows, "id bigint, key bigint, host string, hash bigint"), "subtrees"
     )
     template = cut_lineage(template_subtrees(subtrees, rows.select("url"), template_pages, share), "template")
-    found = subtrees.join(template, ["host", "hash"]).groupBy("id", "key").agg(F.collect_set("hash").alias("template"))
-    match = F.col("page_id").eqNullSafe(F.col("id")) & (rows["key"] == found["key"])
-    joined = rows.join(found, match, "left").select("page_id", "url", "html", "template")
-    return joined.mapInArrow(_text_rows, "page_id bigint, url string, text string, n_chars bigint")
+    found = cut_lineage(
+        subtrees.join(template, ["host", "hash"]).groupBy("id", "key").agg(F.collect_set("hash").alias("template")), "page-templates"
+    )
+    held = W.bitmap_of(found, "key")
+    schema = "page_id bigint, url string, text string, n_chars bigint"
+    plain = rows.mapInArrow(_plain_rows(held), schema)
+    packed = rows.mapInArrow(_packed_rows(held), "page_id bigint, url string, packed binary, key bigint").withColumnRenamed("key", "page_key")
+    match = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("page_key") == F.col("key"))
+    joined = packed.join(found, match, "left").select("page_id", "url", "packed", "template")
+    return plain.unionByName(joined.mapInArrow(_text_rows, schema))
