@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,23 +32,26 @@ from rarespark.llm import words as W
 
 HASHES = 3
 BASE_CELLS = 8
-GROWTH = 4
+GROWTH = 2
+ROOM = 1.6
 LONG = 64
 RUN = 8
-SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+ZERO, ONE, MINUS_ONE = np.uint64(0), np.uint64(1), np.uint64(2**64 - 1)
 
 
 def paragraph_digests(text: str) -> np.ndarray:
     """Distinct 64-bit digests; a paragraph that comes again counts as another one."""
     pieces = []
-    for sentence in SENTENCE.split(text):
-        if len(sentence) <= LONG:
-            if sentence:
+    for line in text.split("\n"):
+        for sentence in line.split(". "):
+            if len(sentence) > LONG:
+                found = sentence.split()
+                pieces.extend([" ".join(found[i : i + RUN]) for i in range(0, len(found), RUN)])
+            elif sentence:
                 pieces.append(sentence)
-        else:
-            found = sentence.split()
-            pieces.extend(" ".join(found[i : i + RUN]) for i in range(0, len(found), RUN))
     digest = xxhash.xxh64_intdigest
+    if len(set(pieces)) == len(pieces):
+        return np.array([digest(piece, 1) for piece in pieces], np.uint64)
     seen: Counter = Counter()
     out = []
     for piece in pieces:
@@ -59,63 +61,65 @@ def paragraph_digests(text: str) -> np.ndarray:
 
 
 class Sketch:
-    """Counts, digest sums and check sums of ``HASHES`` rows of cells."""
+    """Counts, digest sums and check sums of ``HASHES`` rows of cells, all modulo 2**64."""
 
-    __slots__ = ("cells", "level", "counts", "keys", "checks")
+    __slots__ = ("cells", "level", "sums")
 
-    def __init__(self, cells: int, level: int):
+    def __init__(self, cells: int, level: int, sums: np.ndarray | None = None):
         self.cells, self.level = cells, level
-        self.counts = np.zeros(HASHES * cells, np.int64)
-        self.keys = np.zeros(HASHES * cells, np.uint64)
-        self.checks = np.zeros(HASHES * cells, np.uint64)
-
-    def places(self, digests: np.ndarray) -> np.ndarray:
-        rows = np.arange(HASHES, dtype=np.uint64)[:, None]
-        salt = (rows + np.uint64(HASHES * self.level + 1)) * np.uint64(W.WORD_STEP)
-        return (W.mix(digests[None, :] ^ salt) % np.uint64(self.cells) + rows * np.uint64(self.cells)).astype(np.int64)
-
-    def add(self, digests: np.ndarray, sign) -> None:
-        """``sign`` is 1 or -1, or one of them for each digest."""
-        at = self.places(digests).ravel()
-        signs = np.tile(np.broadcast_to(np.asarray(sign, np.int64), digests.shape), HASHES)
-        np.add.at(self.counts, at, signs)
-        times = signs.astype(np.uint64)  # -1 wraps around, as the sums do
-        np.add.at(self.keys, at, np.tile(digests, HASHES) * times)
-        np.add.at(self.checks, at, np.tile(W.mix(digests), HASHES) * times)
+        self.sums = np.zeros(3 * HASHES * cells, np.uint64) if sums is None else sums
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = HASHES * self.cells
+        return self.sums[:n], self.sums[n : 2 * n], self.sums[2 * n :]
+
+    def add(self, digests: np.ndarray, signs: np.ndarray) -> None:
+        """Adds each digest ``signs`` times; minus one is 2**64 - 1."""
+        checks = W.mix(digests)
+        # Each row of cells takes other bits of the digest; a level takes other digests.
+        spread = W.mix(digests ^ np.uint64(self.level + 1))
+        at = np.concatenate([(spread >> np.uint64(20 * k)) % np.uint64(self.cells) + np.uint64(k * self.cells) for k in range(HASHES)])
+        n = np.uint64(HASHES * self.cells)
+        keys, checks = digests * signs, checks * signs
+        values = np.concatenate([signs] * HASHES + [keys] * HASHES + [checks] * HASHES)
+        np.add.at(self.sums, np.concatenate([at, at + n, at + n + n]).astype(np.int64), values)
 
     def minus(self, other: Sketch) -> Sketch:
-        out = Sketch(self.cells, self.level)
-        out.counts, out.keys, out.checks = self.counts - other.counts, self.keys - other.keys, self.checks - other.checks
-        return out
+        return Sketch(self.cells, self.level, self.sums - other.sums)
 
     def size(self) -> int:
-        return int(self.counts.sum()) // HASHES
+        return int(self.parts()[0].view(np.int64).sum()) // HASHES
+
+    def spread(self) -> int:
+        """About how many digests are in a difference: their counts' squares add up."""
+        counts = self.parts()[0].view(np.int64)
+        return int((counts * counts).sum()) // HASHES
 
     def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
         """Digests only in the first and only in the second table; None if it gets stuck."""
-        plus, minus = [], []
+        plus, minus = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        counts, keys, checks = self.parts()
         while True:
-            single = np.flatnonzero(np.abs(self.counts) == 1)
-            signs = self.counts[single]
-            keys = self.keys[single] * signs.astype(np.uint64)
-            checks = self.checks[single] * signs.astype(np.uint64)
-            pure = W.mix(keys) == checks
-            if not pure.any():
+            single = np.flatnonzero((counts == ONE) | (counts == MINUS_ONE))
+            signs = counts[single]
+            found = keys[single] * signs
+            pure = np.flatnonzero(W.mix(found) == checks[single] * signs)
+            if not len(pure):
                 break
-            found, first = np.unique(keys[pure], return_index=True)
-            signs = signs[pure][first]
-            self.add(found, -signs)
-            plus.append(found[signs > 0])
-            minus.append(found[signs < 0])
-        if self.counts.any() or self.keys.any() or self.checks.any():
+            found, first = np.unique(found[pure], return_index=True)
+            signs = signs[pure[first]]
+            self.add(found, ZERO - signs)
+            plus.append(found[signs == ONE])
+            minus.append(found[signs == MINUS_ONE])
+        if self.sums.any():
             return None
-        none = np.zeros(0, np.uint64)
-        return np.concatenate([none, *plus]), np.concatenate([none, *minus])
+        return np.concatenate(plus), np.concatenate(minus)
 
     def text(self) -> str:
         """Cells as base64: 16-bit counts (they wrap), digest sums, 32 bits of the check sums."""
-        low = (self.checks & np.uint64(0xFFFFFFFF)).astype("<u4")
-        return base64.b64encode(self.counts.astype("<i2").tobytes() + self.keys.astype("<u8").tobytes() + low.tobytes()).decode()
+        counts, keys, checks = self.parts()
+        raw = counts.astype("<u2").tobytes() + keys.astype("<u8").tobytes() + checks.astype("<u4").tobytes()
+        return base64.b64encode(raw).decode()
 
 
 class Fingerprint:
@@ -130,7 +134,7 @@ class Fingerprint:
     def sketch(self, level: int = 0) -> Sketch:
         if level not in self.made:
             self.made[level] = Sketch(BASE_CELLS * GROWTH**level, level)
-            self.made[level].add(self.digests, 1)
+            self.made[level].add(self.digests, np.ones(len(self.digests), np.uint64))
         return self.made[level]
 
     def text(self) -> str:
@@ -138,13 +142,21 @@ class Fingerprint:
 
 
 def differing(a: Fingerprint, b: Fingerprint) -> tuple[np.ndarray, np.ndarray]:
-    """Digests only in ``a`` and only in ``b``, retried larger until peeling succeeds."""
+    """Digests only in ``a`` and only in ``b``, retried larger until peeling succeeds.
+
+    The stuck table's counts say about how many differ, and so which size to try next.
+    """
     level = 0
     while True:
-        found = a.sketch(level).minus(b.sketch(level)).peel()
-        if found is not None:
-            return found
+        rest = a.sketch(level).minus(b.sketch(level))
+        about = rest.spread()
+        if about <= HASHES * rest.cells:
+            found = rest.peel()
+            if found is not None:
+                return found
         level += 1
+        while HASHES * BASE_CELLS * GROWTH**level < ROOM * about:
+            level += 1
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
