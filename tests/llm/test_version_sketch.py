@@ -70,5 +70,5 @@ def test_peeling_recovers_the_digests():
 def test_a_small_table_fails_and_says_so():
     digests = np.arange(1, 200, dtype=np.uint64)
     small = V.Sketch(V.BASE_CELLS, 0)
-    small.add(digests, 1)
+    small.add(digests, np.ones(len(digests), np.uint64))
     assert small.minus(V.Sketch(V.BASE_CELLS, 0)).peel() is None
