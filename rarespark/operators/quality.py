@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rarespark.session import cut_lineage
+
 # Widest allowed positive rates.
 MAX_POSITIVE_RATE = 0.05
 MAX_TEST_RATE = 0.1
 
 
-def _one_row(spark, rule: str, ok: bool, detail: str) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(rule).alias("rule"), F.lit(bool(ok)).alias("ok"), F.lit(detail).alias("detail")
-    )
-
-
 def _rule(name: str, ok: Column, detail: Column) -> Column:
     return F.struct(F.lit(name).alias("rule"), ok.alias("ok"), detail.cast("string").alias("detail"))
 
@@ -25,16 +22,23 @@ def _rules(row: DataFrame, *rules: Column) -> DataFrame:
     return row.select(F.explode(F.array(*rules)).alias("_r")).select("_r.*")
 
 
-def schema_rules(train: DataFrame, test: DataFrame, target: str = "y", width: int = 171) -> DataFrame:
-    """Target present, declared width, same width on both sides; reads schemas only."""
-    spark = train.sparkSession
+def schema_rules(train: DataFrame, test: DataFrame, target: str = "y", width: int = 171, id_col: str = "row_id") -> DataFrame:
+    """Target present, declared width, same width on both sides, and no row of either side
+    without any feature. The first three read schemas only."""
     a, b = len(train.columns), len(test.columns)
-    parts = [
-        _one_row(spark, "target_present", target in train.columns, target),
-        _one_row(spark, "same_width", a == b, f"train={a} test={b}"),
-        _one_row(spark, "expected_width", a == width, f"width={a} expected={width}"),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    features = [c for c in train.columns if c not in (target, id_col) and c in test.columns]
+
+    def blank(df: DataFrame) -> DataFrame:
+        return df.select(F.when(F.coalesce(*[F.col(c).cast("string") for c in features]).isNull(), 1).alias("_blank"))
+
+    row = blank(train).unionByName(blank(test)).agg(F.count("_blank").alias("blank"), F.count("*").alias("n"))
+    return _rules(
+        row,
+        _rule("target_present", F.lit(target in train.columns), F.lit(target)),
+        _rule("same_width", F.lit(a == b), F.lit(f"train={a} test={b}")),
+        _rule("expected_width", F.lit(a == width), F.lit(f"width={a} expected={width}")),
+        _rule("rows_filled", F.col("blank") == 0, F.format_string("blank=%d of %d", "blank", "n")),
+    )
 
 
 def label_domain_rule(df: DataFrame, target: str = "y") -> DataFrame:
@@ -90,12 +94,15 @@ def split_leak_check(train: DataFrame, test: DataFrame, target: str = "y", limit
 def row_overlap(train: DataFrame, test: DataFrame, features: Sequence[str], id_col: str = "row_id") -> DataFrame:
     """Test rows whose features all occur in one train row; NULL equals NULL.
 
-    Train rows are first reduced to their distinct feature tuples, so a tuple shared by
-    many rows meets each test row once.
+    Both sides are first reduced to their distinct feature tuples, so a tuple shared by
+    many rows is compared once. The shared tuples are written before the test rows are
+    joined to them, so that the join can split a tuple that very many test rows have.
     """
-    keys = train.select(*features).distinct()
-    same = None
-    for c in features:
-        part = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-        same = part if same is None else same & part
-    return test.alias("a").join(keys.alias("b"), same, "left_semi").select(id_col)
+
+    def same(a: str, b: str) -> Column:
+        parts = [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in features]
+        return reduce(lambda x, y: x & y, parts)
+
+    seen, asked = train.select(*features).distinct(), test.select(*features).distinct()
+    shared = cut_lineage(asked.alias("a").join(seen.alias("b"), same("a", "b"), "left_semi"), "tuples")
+    return test.alias("a").join(shared.alias("b"), same("a", "b"), "left_semi").select(id_col)

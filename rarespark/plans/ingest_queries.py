@@ -14,20 +14,26 @@ PREAMBLE = [f"This file is free text, line {i}, with commas, and more" for i in
 COLUMNS = ["row_id", *FEATURES]
 
 
-def raw_csv(spark, rows, name="raw"):
-    """Write rows as preamble files with label texts, and return the folder."""
+def raw_csv(spark, rows, name="raw", short=None):
+    """Write rows as preamble files with label texts, and return the folder. ``short``
+    tells how many fields are left out at a line's end."""
     path = scratch_path(spark, name)
     text = rows.select(F.when(F.col("y") == 1, "pos").otherwise("neg").alias("class"), *COLUMNS)
-    tables.write_preamble_csv(text, path, PREAMBLE)
+    if short is not None:
+        text = text.withColumn("_short", short)
+    tables.write_preamble_csv(text, path, PREAMBLE, short="_short" if short is not None else None)
     return path
 
 
 SENSOR_CSV = f"with {SENSOR} select y as class, cast(row_id as double) row_id, f_total, f_qty, f_price, f_disc, f_tax, f_lines from sensor"
 
 
+FEATURE_NAMES = "f_total, f_qty, f_price, f_disc, f_tax, f_lines"
+
+
 @query("preamble_csv_read", f"""with {SENSOR} select case when y=1 then 'pos' else 'neg' end as class,
 cast(row_id as varchar) row_id, cast(f_qty is null as boolean) qty_missing,
-cast(f_tax is null as boolean) tax_missing, f_price, f_lines from sensor""")
+cast(f_tax is null as boolean) tax_missing, {FEATURE_NAMES} from sensor""")
 def preamble_csv_read(spark, sf):
     rows, _ = preamble_csv.read_preamble_csv(spark, raw_csv(spark, sensor(spark, sf)))
     return rows.select(
@@ -35,8 +41,7 @@ def preamble_csv_read(spark, sf):
         "row_id",
         (F.col("f_qty") == "na").alias("qty_missing"),
         (F.col("f_tax") == "na").alias("tax_missing"),
-        F.col("f_price").try_cast("double").alias("f_price"),
-        F.col("f_lines").try_cast("double").alias("f_lines"),
+        *[F.col(c).try_cast("double").alias(c) for c in FEATURES],
     )
 
 
@@ -78,11 +83,16 @@ def unknown_labels(spark, sf):
 
 
 @query("load_split_pair", f"""with {SENSOR} select y as class, cast(row_id as double) row_id,
-f_total, f_qty, f_price, f_disc, f_tax, f_lines,
+f_total, f_qty, f_price, f_disc, case when row_id % 7 > 0 then f_tax end f_tax,
+case when row_id % 7 > 1 then f_lines end f_lines,
 case when row_id % 5 = 0 then 'test' else 'train' end as split from sensor""")
 def load_split_pair(spark, sf):
+    """Some lines are short: their last fields are not there and become gaps."""
+    short = F.when(F.col("row_id") % 7 > 1, 0).otherwise(2 - F.col("row_id") % 7).cast("int")
     train, test = sensor_split(spark, sf)
-    return preamble_csv.load_split_pair(spark, raw_csv(spark, train, "train"), raw_csv(spark, test, "test"))
+    return preamble_csv.load_split_pair(
+        spark, raw_csv(spark, train, "train", short), raw_csv(spark, test, "test", short)
+    )
 
 
 @query("split_features_target", f"""with {SENSOR} select row_id, f_total, f_qty, f_price, f_disc, f_tax, f_lines,
@@ -116,10 +126,14 @@ def result_table_export(spark, sf):
     return tables.read_csv(spark, path, report.schema)
 
 
-@query("schema_rules", """select * from (values ('target_present', true, 'y'),
-('same_width', true, 'train=8 test=8'), ('expected_width', true, 'width=8 expected=8')) v(rule, ok, detail)""")
+@query("schema_rules", f"""with {SENSOR} select * from (values ('target_present', true, 'y'),
+('same_width', true, 'train=8 test=8'), ('expected_width', true, 'width=8 expected=8')) v(rule, ok, detail)
+union all select 'rows_filled', count(case when coalesce(f_total, f_qty, f_price, f_disc, f_tax, f_lines) is null then 1 end) = 0,
+'blank=' || cast(count(case when coalesce(f_total, f_qty, f_price, f_disc, f_tax, f_lines) is null then 1 end) as varchar)
+|| ' of ' || cast(count(*) as varchar) from sensor""")
 def schema_rules(spark, sf):
-    train, test = sensor_split(spark, sf)
+    rows = sensor(spark, sf)
+    train, test = rows.where(~is_test()), rows.where(is_test())
     return quality.schema_rules(train, test, "y", width=8)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -28,18 +30,42 @@ def local_session(cores: str = "8", name: str = "rarespark") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, a fresh local folder is made and recorded for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, whose driver
+    and tasks share one disk, may do without: a fresh local folder is made and recorded
+    for the session. On a cluster such a folder would lose rows, so that is an error.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder is None:
         folder = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if folder is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors of {master} share")
         folder = "file://" + tempfile.mkdtemp(prefix="rarespark-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, folder)
     return folder
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the workers, once per application.
+
+    Tasks import them by name, and a worker started elsewhere has no path to them.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="rarespark-code-")) / "rarespark.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New, unused path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -50,8 +76,20 @@ def cut_lineage(df, name: str = "stage", by: str | None = None):
 
     Survives the loss of executors, and keeps plans short in iterative fits. With ``by``
     the rows are spread evenly by that key first, for tables that are read many times.
+    ``drop_stage`` removes the files of a stage that nothing reads any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     (df if by is None else df.repartition(by)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stage = spark.read.schema(df.schema).parquet(path)
+    stage.stage_path = path
+    return stage
+
+
+def drop_stage(stage) -> None:
+    """Delete a table that ``cut_lineage`` wrote, once its successor is written."""
+    path = getattr(stage, "stage_path", None)
+    if path is not None:
+        spark = stage.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

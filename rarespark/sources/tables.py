@@ -28,11 +28,17 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_preamble_csv(df: DataFrame, path: str, preamble: list[str], na: str = "na") -> None:
-    """Write text files that each start with ``preamble`` and a header line."""
-    header = ",".join(df.columns)
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in df.columns]
-    lines = df.select(F.concat_ws(",", *cells).alias("value"))
+def write_preamble_csv(
+    df: DataFrame, path: str, preamble: list[str], na: str = "na", short: str | None = None
+) -> None:
+    """Write text files that each start with ``preamble`` and a header line. The column
+    ``short`` tells how many of a row's last fields are left out."""
+    names = [c for c in df.columns if c != short]
+    header = ",".join(names)
+    cells = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in names])
+    if short is not None:
+        cells = F.slice(cells, 1, F.lit(len(names)) - F.col(short))
+    lines = df.select(F.array_join(cells, ",").alias("value"))
 
     def with_head(batches):
         import pandas as pd
