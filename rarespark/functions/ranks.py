@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rarespark.functions.hashing import SPACE, spread
 from rarespark.functions.small import broadcast_if_small, fetch_if_small, hint
-from rarespark.session import cut_lineage
+from rarespark.session import cut_lineage, stage_bytes
 
 HOT_SHARE = 1000
-BROADCAST_ROWS = 500_000
-SMALL_CELLS = 4_000_000
+#: Size on disk up to which a table of keys is broadcast; in memory it may be ten times that.
+BROADCAST_BYTES = 4 << 20
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -107,9 +107,9 @@ def join_on_values(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: st
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys]
     table = cut_lineage(table, "keys")
-    size, total = table.agg(F.count("*"), F.sum(n)).first()
-    if size <= BROADCAST_ROWS:
+    if stage_bytes(table) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys).select(*rows.columns, *extra)
+    total = table.agg(F.sum(n)).first()[0]
     is_hot = F.col(n) * HOT_SHARE > total
     hot = F.broadcast(table.where(is_hot).withColumn("_seen", F.lit(True)))
     marked = rows.join(hot, keys, "left")
@@ -166,16 +166,6 @@ def row_sample(df: DataFrame, total: int, rows: int) -> DataFrame:
     return df if total <= rows else df.sample(rows / total, seed=17)
 
 
-def _small_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
-) -> DataFrame:
-    asked = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(c, asked).alias(c) for c in columns])
-    long = wide.unpivot(list(by), list(columns), "feature", "_q").where("_q is not null")
-    cells = long.select(*by, "feature", F.explode(F.arrays_zip(asked.alias("prob"), F.col("_q"))).alias("_c"))
-    return cells.select(*by, "feature", F.col("_c.prob").alias("prob"), F.col("_c._q").alias("quantile"))
-
-
 def _fields(ddl: str) -> list[T.StructField]:
     return T.StructType.fromDDL(ddl).fields
 
@@ -233,15 +223,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per column: ``(by..., feature, prob, quantile)``.
 
-    Missing values are ignored. A table of few cells takes Spark's own percentile, which
-    holds a column in one task. Beyond that, rows are counted in buckets first. Only
-    buckets that hold a wanted rank are then grouped by value, so about
-    ``len(probs) / buckets`` of the data is shuffled and no task holds a whole column.
+    Missing values are ignored. Rows are counted in buckets first. Only buckets that hold
+    a wanted rank are then grouped by value, so about ``len(probs) / buckets`` of the data
+    is shuffled and no task holds a whole column.
     """
     by, columns = list(by), list(columns)
     total = df.count()
-    if total * len(columns) <= SMALL_CELLS:
-        return _small_quantiles(df, columns, probs, by)
     buckets = bucket_count(df)
     probes = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     # the cuts decide how even the buckets are, not the result: a sample serves

@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rarespark.functions import losses
 from rarespark.functions.hashing import uniform
-from rarespark.functions.ranks import row_sample, splits_of
-from rarespark.session import cut_lineage
+from rarespark.functions.ranks import splits_of
+from rarespark.session import cut_lineage, drop_stage
 
 MIN_GAIN = 1e-6
 REWRITE_EVERY = 10
-ROWS_PER_BIN = 40
+CELLS = 1024
+SPLIT = 32
+REFINEMENTS = 5
 TREE_SCHEMA = (
     "tree int, node int, feature string, threshold double, value double, cover double, gain double"
 )
@@ -138,18 +140,75 @@ def tree_margins(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
     return total
 
 
+def _count_cells(batches, cells: Sequence[np.ndarray]):
+    """Rows, least and greatest value of one partition per (feature, cell)."""
+    import pyarrow as pa
+
+    sums = [(np.zeros(len(c) + 1, np.int64), np.full(len(c) + 1, np.inf), np.full(len(c) + 1, -np.inf)) for c in cells]
+    for batch in batches:
+        for j, (n, least, most) in enumerate(sums):
+            values = batch.column(j).drop_null().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(cells[j], values, side="right")
+            n += np.bincount(at, minlength=len(n))
+            np.minimum.at(least, at, values)
+            np.maximum.at(most, at, values)
+    for j, (n, least, most) in enumerate(sums):
+        held = np.flatnonzero(n)
+        columns = [np.full(len(held), j, "int32"), held.astype("int32"), n[held], least[held], most[held]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["feature", "cell", "n", "least", "most"])
+
+
+def value_cells(df: DataFrame, features: Sequence[str], bins: int) -> list[np.ndarray]:
+    """Per feature ``(n, least, most)`` of fine cells of its values, in order.
+
+    All rows are counted, in cells of equal width; cells that hold more than half a bin
+    are split and counted again. Counts, least and greatest values are the same however
+    the rows are partitioned. Only cells reach the driver.
+    """
+    cells_df = df.select(*[F.col(c).cast("double").alias(c) for c in features])
+    row = cells_df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in features]).first()
+    bounds = []
+    for c in features:
+        lo, hi = row[c]["lo"], row[c]["hi"]
+        bounds.append(np.unique(np.linspace(lo, hi, CELLS + 1)[1:-1]) if lo is not None and lo < hi else np.zeros(0))
+    for _ in range(REFINEMENTS):
+        parts = cells_df.mapInArrow(
+            lambda batches, bounds=bounds: _count_cells(batches, bounds),
+            "feature int, cell int, n bigint, least double, most double",
+        )
+        found = (
+            parts.groupBy("feature", "cell")
+            .agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+            .toArrow()
+            .sort_by([("feature", "ascending"), ("cell", "ascending")])
+        )
+        feature = found["feature"].to_numpy()
+        counted = np.stack([found[c].to_numpy().astype(float) for c in ("n", "least", "most")], axis=1)
+        counted = [counted[feature == j] for j in range(len(features))]
+        finer = []
+        for own, old in zip(counted, bounds, strict=True):
+            heavy = own[(own[:, 0] > own[:, 0].sum() / (2 * bins)) & (own[:, 1] < own[:, 2])]
+            more = [np.linspace(lo, hi, SPLIT + 1)[:-1] for _, lo, hi in heavy]
+            finer.append(np.unique(np.concatenate([old, *more])))
+        if all(len(a) == len(b) for a, b in zip(finer, bounds, strict=True)):
+            break
+        bounds = finer
+    return counted
+
+
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[list[float]]:
-    """Inner bin bounds per feature, ``bins - 1`` at most: quantiles of a sample of rows
-    that grows with the number of bins."""
-    probs = [i / bins for i in range(1, bins)]
-    part = row_sample(df.select(*features), df.count(), max(10_000, ROWS_PER_BIN * bins))
-    row = part.agg(
-        *[
-            F.struct(F.percentile_approx(c, probs, 10 * bins).alias("q"), F.min(c).alias("lo")).alias(c)
-            for c in features
-        ]
-    ).first()
-    return [sorted({q for q in (row[c]["q"] or []) if q > row[c]["lo"]}) for c in features]
+    """Inner bin bounds per feature, ``bins - 1`` at most, from all rows: every value of a
+    feature with few of them, else values that cut the rows into about equal parts."""
+    edges = []
+    for cells in value_cells(df, features, bins):
+        n, least = cells[:, 0], cells[:, 1]
+        if len(cells) > bins:
+            share = np.floor((np.cumsum(n) - n) * bins / n.sum())
+            least = least[np.append(False, share[1:] > share[:-1])]
+        else:
+            least = least[1:]
+        edges.append([float(v) for v in least])
+    return edges
 
 
 def binned(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], keep: Sequence[str]) -> DataFrame:
@@ -336,6 +395,7 @@ def boosted_trees_fit(
     edges = bin_edges(train, features, params.bins)
     state = _start(train, features, edges, params, id_col, target)
     watch = _start(valid, features, edges, params, id_col, target) if valid is not None else None
+    stages = {"state": state, "watch": watch}
     rng = np.random.default_rng(params.seed)
     trees: list[Tree] = []
     round_losses: list[float] = []
@@ -353,8 +413,14 @@ def boosted_trees_fit(
         trees.append(tree)
         rewrite = (t + 1) % REWRITE_EVERY == 0 and t + 1 < params.rounds
         state = _advance(state, tree, bin_cut, rewrite)
+        if rewrite:
+            drop_stage(stages.pop("state"))
+            stages["state"] = state
         if watch is not None:
             watch = _advance(watch, tree, bin_cut, rewrite)
+            if rewrite:
+                drop_stage(stages.pop("watch"))
+                stages["watch"] = watch
             loss = watch.agg(F.avg(log_loss(F.col("margin"), F.col(target)))).first()[0]
             round_losses.append(float(loss))
             if t - int(np.argmin(round_losses)) >= patience:

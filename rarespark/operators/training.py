@@ -163,8 +163,10 @@ def imbalance_compare(
         made = neighbors.smote(points, k).select(
             "y", F.lit(1.0).alias("weight"), array_to_vector("x").alias("features")
         )
-        for name, rows in (("class_weight", weighted), ("smote", cut_lineage(made, "smote"))):
-            model = elastic_net(n, 1.0, 0.0, max_iter).fit(rows)
+        made = cut_lineage(made, "smote")
+        # the penalty is 1 / (C * rows), and oversampling makes rows
+        for name, rows, size in (("class_weight", weighted, n), ("smote", made, made.count())):
+            model = elastic_net(size, 1.0, 0.0, max_iter).fit(rows)
             parts.append(positive_score(model.transform(val)).select("y", "fold", F.lit(name).alias("model"), "proba"))
     table = parts[0]
     for part in parts[1:]:

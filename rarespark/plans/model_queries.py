@@ -34,6 +34,7 @@ from rarespark.session import cut_lineage, scratch_path
 from rarespark.sources import tables
 
 # Small model sizes: a query shows the operator, the data decide its work.
+SMALL_CHUNK = 16  # several cells at the tested sizes
 SMALL = boosting.BoostParams(rounds=4, depth=3, bins=32, eta=0.3)
 FOREST = {"trees": 20, "depth": 6}
 
@@ -59,12 +60,28 @@ r as (select *, row_number() over (partition by row_id order by distance, nbr) r
 select row_id, nbr, cast(rk as int) as "rank", round(distance, 6) distance from r where rk <= 5""")
 def knn_topk(spark, sf):
     minority = vectors(spark, sf).where("y = 1")
-    return neighbors.knn_topk(minority).select("row_id", "nbr", "rank", r6("distance"))
+    return neighbors.knn_topk(minority, chunk_rows=SMALL_CHUNK).select("row_id", "nbr", "rank", r6("distance"))
 
 
-@query("smote")
+SMOTE_SQL = f"""with {VECTORS}, m as (select * from vectors where y = 1),
+d as (select a.row_id, b.row_id nbr, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+ lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double)))) distance
+ from m a join m b on a.row_id <> b.row_id),
+nn as (select row_id, nbr, row_number() over (partition by row_id order by distance, nbr) rk from d),
+c as (select sum(y)::bigint n1, (count(*) - sum(y))::bigint n0 from vectors),
+q as (select row_id, row_number() over (order by {hash_sql('row_id', 42)}, row_id) rn from m),
+g as (select row_id, unnest(range(1, (n0 - n1) // n1 + (case when rn <= (n0 - n1) % n1 then 2 else 1 end))) copy from q, c),
+p as (select row_id, copy,
+ cast(floor({hash_sql('(row_id * 7919 + copy * 104729)', 42)} / 4294967296.0::double * 5) as bigint) + 1 as pick,
+ {hash_sql('(row_id * 6101 + copy * 90001)', 43)} / 4294967296.0::double as u from g)"""
+
+
+@query("smote", f"""{SMOTE_SQL} select p.row_id, cast(copy as int) as copy, 1 as y, nbr as base_nbr, round(u, 6) as u
+from p join nn on nn.row_id = p.row_id and nn.rk = p.pick
+union all select row_id, 0, y, null, null from vectors""")
 def smote(spark, sf):
-    return neighbors.smote(vectors(spark, sf)).select("row_id", "copy", "y", "base_nbr", F.round("u", 6).alias("u"))
+    out = neighbors.smote(vectors(spark, sf), chunk_rows=SMALL_CHUNK)
+    return out.select("row_id", "copy", "y", "base_nbr", F.round("u", 6).alias("u"))
 
 
 @query("smote_balance", f"""with {VECTORS}, c as (select y, count(*) n from vectors group by y)

@@ -86,10 +86,20 @@ def cut_lineage(df, name: str = "stage", by: str | None = None):
     return stage
 
 
+def _file_system(stage):
+    spark = stage.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(stage.stage_path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def stage_bytes(stage) -> int:
+    """Size on disk of a table that ``cut_lineage`` wrote."""
+    system, target = _file_system(stage)
+    return system.getContentSummary(target).getLength()
+
+
 def drop_stage(stage) -> None:
     """Delete a table that ``cut_lineage`` wrote, once its successor is written."""
-    path = getattr(stage, "stage_path", None)
-    if path is not None:
-        spark = stage.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if getattr(stage, "stage_path", None) is not None:
+        system, target = _file_system(stage)
+        system.delete(target, True)

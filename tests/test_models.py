@@ -180,6 +180,21 @@ def test_boosting_does_not_depend_on_partitions(spark, small):
     assert boosting.tree_margins(a.trees, x) == pytest.approx(boosting.tree_margins(b.trees, x))
 
 
+def test_bin_bounds_of_many_rows_do_not_depend_on_partitions(spark):
+    df = spark.range(70_000).selectExpr(
+        "exp(rand(3) * 12) as wide", "cast(id % 7 as double) as few", "if(id % 3 = 0, 5.0D, randn(4)) as hot", "1.0D as one"
+    )
+    pdf = df.toPandas()
+    df = spark.createDataFrame(pdf)
+    names = ["wide", "few", "hot", "one"]
+    a = boosting.bin_edges(df.repartition(1), names, 64)
+    assert a == boosting.bin_edges(df.repartition(11), names, 64)
+    assert a[1] == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0] and a[3] == []
+    counts = np.histogram(pdf["wide"], [-np.inf, *a[0], np.inf])[0]
+    assert len(a[0]) > 55 and counts.max() < 2.5 * len(pdf) / 64
+    assert set(a[0]) <= set(pdf["wide"])
+
+
 def test_loss_falls_and_table_round_trips(spark, small, tmp_path):
     df, x, y = small
     last = np.log(2)

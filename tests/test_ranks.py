@@ -21,14 +21,8 @@ def hot(spark):
     return df, pdf
 
 
-@pytest.fixture(params=[0, ranks.SMALL_CELLS], ids=["buckets", "small"])
-def cells(request, monkeypatch):
-    """Both ways to a quantile."""
-    monkeypatch.setattr(ranks, "SMALL_CELLS", request.param)
-
-
 @pytest.mark.parametrize("parts", [1, 8])
-def test_exact_quantiles(hot, parts, cells):
+def test_exact_quantiles(hot, parts):
     df, pdf = hot
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     rows = ranks.exact_quantiles(df.repartition(parts), ["v", "w", "c"], probs).collect()
@@ -39,7 +33,7 @@ def test_exact_quantiles(hot, parts, cells):
             assert got[c, p] == pytest.approx(pdf[c].quantile(p), abs=1e-12)
 
 
-def test_quantiles_by_group_and_empty_column(spark, hot, cells):
+def test_quantiles_by_group_and_empty_column(spark, hot):
     df, pdf = hot
     df = df.withColumn("none", F.lit(None).cast("double"))
     rows = ranks.exact_quantiles(df, ["v", "none"], [0.5], ["g"]).collect()
@@ -52,7 +46,6 @@ def test_quantiles_by_group_and_empty_column(spark, hot, cells):
 def test_quantiles_beyond_the_broadcast_limit(hot, monkeypatch):
     from rarespark.functions import small
 
-    monkeypatch.setattr(ranks, "SMALL_CELLS", 0)
     monkeypatch.setattr(ranks, "fetch_if_small", lambda df: small.fetch_if_small(df, 0))
     df, pdf = hot
     got = ranks.exact_quantiles(df, ["v"], [0.5]).first()["quantile"]
@@ -68,7 +61,7 @@ def test_average_ranks(hot):
 
 def test_join_on_hot_values(hot, monkeypatch):
     df, pdf = hot
-    monkeypatch.setattr(ranks, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ranks, "BROADCAST_BYTES", 0)
     table = ranks.average_ranks(df, "v")
     out = ranks.join_on_values(df.select("row_id", "v"), table, ["v"])
     assert out.count() == len(pdf)
