@@ -113,17 +113,32 @@ def platt_apply(scored: DataFrame, model, score: str = "proba", out: str = "cali
 Apply = Callable[[DataFrame], DataFrame]
 
 
-def calibrator(tune: DataFrame, method: str, score: str = "proba") -> Apply:
+def log_odds(score: Column) -> Column:
+    """Margin of a probability; a linear model's own score before the logistic map."""
+    p = F.greatest(F.least(score, F.lit(1 - 1e-12)), F.lit(1e-12))
+    return F.log(p / (1 - p))
+
+
+def calibrator(tune: DataFrame, method: str, score: str = "proba", on_margin: bool = False) -> Apply:
+    """Map fitted on ``tune``. With ``on_margin`` the sigmoid takes the log-odds, as the
+    score of a linear model is one."""
     if method == "isotonic":
         model = isotonic_fit(tune, score)
         return lambda df: isotonic_apply(df, model, score)
+    if method == "sigmoid" and on_margin:
+        model = platt_fit(tune.withColumn("_margin", log_odds(F.col(score))), "_margin")
+        return lambda df: platt_apply(df.withColumn("_margin", log_odds(F.col(score))), model, "_margin").drop("_margin")
     if method == "sigmoid":
         model = platt_fit(tune, score)
         return lambda df: platt_apply(df, model, score)
     raise ValueError(f"unknown method {method!r}")
 
 
-def method_for(model: str, linear: Sequence[str] = ("Elastic Net",)) -> str:
+LINEAR = ("Elastic Net",)
+FORESTS = ("Random Forest",)
+
+
+def method_for(model: str, linear: Sequence[str] = LINEAR) -> str:
     """Platt for linear models, isotonic for forests and boosted trees."""
     return "sigmoid" if model in linear else "isotonic"
 
@@ -137,12 +152,15 @@ def cv_calibration(
     fold_col: str = "fold",
     id_col: str = "row_id",
     score: str = "proba",
+    on_margin: bool | None = None,
 ) -> DataFrame:
     """Average of ``k`` calibrated models: fit off the fold, calibrate on the fold.
 
     ``fit_and_score(fit_rows, rows)`` returns ``rows`` with a score; one call per fold
-    scores the fold and the rows to evaluate together.
+    scores the fold and the rows to evaluate together. The sigmoid takes log-odds unless
+    ``on_margin`` is false.
     """
+    margin = method == "sigmoid" if on_margin is None else on_margin
     parts = []
     for i in range(k):
         fit_rows = train.where(F.col(fold_col) != i)
@@ -151,7 +169,7 @@ def cv_calibration(
             evaluate.drop(fold_col).withColumn("_tune", F.lit(False))
         )
         rated = fit_and_score(fit_rows, both).select(id_col, "y", "_tune", score)
-        apply = calibrator(rated.where("_tune"), method, score)
+        apply = calibrator(rated.where("_tune"), method, score, margin)
         parts.append(apply(rated.where("not _tune")).select(id_col, "y", "calibrated"))
     table = parts[0]
     for part in parts[1:]:
@@ -160,15 +178,30 @@ def cv_calibration(
 
 
 def calibrate_if_needed(
-    tune: DataFrame, evaluate: DataFrame, model: str, limit: float = MAX_ECE, score: str = "proba"
+    tune: DataFrame,
+    evaluate: DataFrame,
+    model: str,
+    limit: float = MAX_ECE,
+    score: str = "proba",
+    cross: Callable[[str, DataFrame], DataFrame] | None = None,
+    id_col: str = "row_id",
 ) -> tuple[DataFrame, DataFrame, bool]:
     """Calibrated tune and evaluation rows if the error on ``evaluate`` is above
-    ``limit``, else the scores as they are."""
+    ``limit``, else the scores as they are.
+
+    Linear models and forests are calibrated across folds: ``cross(method, rows)`` gives
+    ``(id, calibrated)`` of rows, as ``cv_calibration`` does. Boosted trees, and any model
+    without ``cross``, take a map of their scores on ``tune``.
+    """
     before = ece(evaluate, score=score).first()["ece"]
     if before <= limit:
         same = F.col(score).alias("calibrated")
         return tune.select("*", same), evaluate.select("*", same), False
-    apply = calibrator(tune, method_for(model), score)
+    method = method_for(model)
+    if cross is not None and model in (*LINEAR, *FORESTS):
+        rated = [df.join(cross(method, df).select(id_col, "calibrated"), id_col) for df in (tune, evaluate)]
+        return rated[0], rated[1], True
+    apply = calibrator(tune, method, score, on_margin=model in LINEAR)
     return apply(tune), apply(evaluate), True
 
 

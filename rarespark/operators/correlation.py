@@ -186,8 +186,10 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
 
 
 def inflation(corr: np.ndarray) -> np.ndarray:
-    """Variance inflation of each column from the correlation matrix; infinite where a
-    column is a combination of others."""
+    """Variance inflation of each column from the correlation matrix: the diagonal of its
+    inverse. Infinite where a column is a combination of others."""
+    if np.linalg.cond(corr) < 1e10:
+        return np.diag(np.linalg.inv(corr)).copy()
     out = np.empty(len(corr))
     for j in range(len(corr)):
         rest = np.delete(np.arange(len(corr)), j)

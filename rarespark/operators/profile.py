@@ -127,9 +127,15 @@ def class_density(df: DataFrame, features: Sequence[str], target: str = "y", bin
 
 
 def project_2d(prepared: DataFrame, id_col: str = "row_id", target: str = "y", features: str = "features") -> DataFrame:
-    """Two principal components per row. ``prepared`` has a scaled feature vector."""
+    """Two principal components per row. ``prepared`` has a scaled feature vector. Each
+    component points to where its largest loading (the first on a tie) is positive."""
     from pyspark.ml.functions import vector_to_array
 
     model = PCA(k=2, inputCol=features, outputCol="_pc").fit(prepared)
+    loadings = model.pc.toArray()
     xy = vector_to_array("_pc")
-    return model.transform(prepared).select(id_col, target, xy[0].alias("x1"), xy[1].alias("x2"))
+    axes = []
+    for k in range(2):
+        largest = loadings[abs(loadings[:, k]).round(9).argmax(), k]
+        axes.append((xy[k] if largest >= 0 else -xy[k]).alias(f"x{k + 1}"))
+    return model.transform(prepared).select(id_col, target, *axes)

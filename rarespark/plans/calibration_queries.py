@@ -72,19 +72,64 @@ def recalibrated_threshold(spark, sf):
     )
 
 
-@query("calibrate_if_needed")
-def calibrate_if_needed(spark, sf):
-    rows = scored_long(spark, sf).where("model = 'A'")
-    _, test, _ = calibration.calibrate_if_needed(
-        rows.where("split = 'train'"), rows.where("split = 'test'"), "Random Forest"
-    )
-    return test.select("row_id", "proba", "calibrated")
+# Linear between the knots of ISO, constant beyond them: (model, row_id, p, fit).
+INTERPOLATED = """xs as (select x.k, (select max(i.k) from iso i where i.k <= x.k) lo, (select min(i.k) from iso i where i.k >= x.k) hi
+ from (select distinct k from bt) x),
+fx as (select xs.k, case when lo is null then h.fit when hi is null or lo = hi then l.fit
+ else l.fit + (h.fit - l.fit) * (xs.k - lo) / (hi - lo) end fit
+ from xs left join iso l on l.k = xs.lo left join iso h on h.k = xs.hi)"""
 
 
-@query("platt_fit")
+def _calibrated_sql(model: str) -> str:
+    return f"""(with tr as (select cast(round(proba*100) as int) k, y from cents where split='train' and model='{model}'),
+bt as (select row_id, proba, cast(round(proba*100) as int) k from cents where split='test' and model='{model}'),
+{ISO.format(src='tr')}, {INTERPOLATED}, tst as (select * from cents where split='test' and model='{model}'), {EDGES}, {ECE.format(src='tst')}
+select '{model}' model, row_id, proba, round(case when (select ece from ece) <= 0.05 then proba else fit end, 6) calibrated
+from bt join fx on bt.k = fx.k)"""
+
+
+@query("calibrate_if_needed", f"""with {SCORED_LONG}, cents as (select row_id, model, y, split, floor(proba*100)/100 proba from scored_long)
+select * from {_calibrated_sql('A')} union all select * from {_calibrated_sql('B')}""")
+def calibrate_if_needed(spark, sf):
+    """Both models, as boosted ones: a map of the train scores if the test error asks for it."""
+    rows = scored_long(spark, sf).withColumn("proba", F.floor(F.col("proba") * 100) / 100)
+    parts = []
+    for model in ("A", "B"):
+        own = rows.where(F.col("model") == model)
+        _, test, _ = calibration.calibrate_if_needed(own.where("split = 'train'"), own.where("split = 'test'"), model)
+        parts.append(test.select("model", "row_id", "proba", r6("calibrated")))
+    return parts[0].unionByName(parts[1])
+
+
+# Platt's map by Newton steps over the scores pooled with their smoothed targets.
+PLATT = """n as (select sum(y)::double np, (count(*) - sum(y))::double nn from {src}),
+q as (select list(struct_pack(x := proba, t := case when y=1 then (np+1)/(np+2) else 1/(nn+2) end, w := w)) as e
+ from (select proba, y, count(*)::double w from {src} group by 1, 2), n),
+newton as (select 0 as it, 0.0::double a, 0.0::double b union all
+select it + 1, a - (h22*g1 - h12*g2)/(h11*h22 - h12*h12), b - (h11*g2 - h12*g1)/(h11*h22 - h12*h12) from (
+select it, a, b,
+ list_sum(list_transform(z, lambda r: r.w*(r.p - r.t)*r.x)) g1, list_sum(list_transform(z, lambda r: r.w*(r.p - r.t))) g2,
+ list_sum(list_transform(z, lambda r: r.w*r.p*(1 - r.p)*r.x*r.x)) h11, list_sum(list_transform(z, lambda r: r.w*r.p*(1 - r.p)*r.x)) h12,
+ list_sum(list_transform(z, lambda r: r.w*r.p*(1 - r.p))) h22 from (
+select it, a, b, list_transform(e, lambda r: struct_pack(x := r.x, t := r.t, w := r.w, p := 1/(1 + exp(-(a*r.x + b))))) z
+from newton, q where it < 40))),
+ab as (select a, b from newton where it = 40)"""
+
+
+def _platt_sql(model: str) -> str:
+    return f"""(with recursive src as (select * from scored_long where model = '{model}'), {PLATT.format(src='src')}
+select model, row_id, proba, round(1/(1 + exp(-(a*proba + b))), 4) calibrated from src, ab)"""
+
+
+@query("platt_fit", f"with {SCORED_LONG} select * from {_platt_sql('A')} union all select * from {_platt_sql('B')}")
 def platt_fit(spark, sf):
-    rows = scored_long(spark, sf).where("model = 'B'")
-    return calibration.calibrator(rows, "sigmoid")(rows).select("row_id", "proba", "calibrated")
+    rows = scored_long(spark, sf)
+    parts = []
+    for model in ("A", "B"):
+        own = rows.where(F.col("model") == model)
+        out = calibration.calibrator(own, "sigmoid")(own)
+        parts.append(out.select("model", "row_id", "proba", F.round("calibrated", 4).alias("calibrated")))
+    return parts[0].unionByName(parts[1])
 
 
 # Scores cut to whole per cents, so that the best model's map has at most 101 knots.
@@ -94,8 +139,9 @@ CENT = SWEPT.replace("scored_long as (select row_id, model, y, proba,", "scored_
 @query("final_comparison", f"""with {CENT}, {CHOSEN}, t as (select * from judged where split='test'),
 c2 as ({confusion_sql('t', 'model, threshold')}), r2 as (select *, {RATES} from c2),
 tst as (select * from scored_long where split='test'), {EDGES}, {ECE.format(src='tst')},
-co as (select *, row_number() over (partition by model order by cost, threshold) r from rate where split='test'),
-b as (select model from r2 order by r2.mcc desc, model limit 1),
+co as (select *, row_number() over (partition by model order by cost, threshold) r from rate where split='train'),
+jt as (select * from judged where split='train'), c3 as ({confusion_sql('jt', 'model, threshold')}), r3 as (select *, {RATES} from c3),
+b as (select model from r3 order by r3.mcc desc, model limit 1),
 tr as (select cast(round(proba*100) as int) k, y from scored_long where split='train' and model in (select model from b)),
 {ISO.format(src='tr')},
 bt as (select cast(round(proba*100) as int) k, y from tst where model in (select model from b)),
@@ -113,10 +159,11 @@ def final_comparison(spark, sf):
     rows = scored_long(spark, sf).withColumn("proba", F.floor(F.col("proba") * 100) / 100)
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     table = metrics.tune_then_evaluate(train, test)
-    best = metrics.best_model(table).first()["model"]
+    # the best model and the cost threshold come from train rows, as every threshold does
+    best = metrics.best_model(metrics.tune_then_evaluate(train, train)).first()["model"]
     apply = calibration.calibrator(train.where(F.col("model") == best), "isotonic")
     after = calibration.ece(apply(test.where(F.col("model") == best)), by=["model"], score="calibrated")
-    cost = metrics.optimal_threshold(metrics.threshold_sweep(test, "cost", by=["model"]), ["model"])
+    cost = metrics.optimal_threshold(metrics.threshold_sweep(train, "cost", by=["model"]), ["model"])
     out = calibration.final_comparison(
         table,
         calibration.ece(test, by=["model"]),

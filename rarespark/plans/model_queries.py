@@ -247,12 +247,29 @@ def boosted_cv_mcc(spark, sf):
     return search.boosted_cv_mcc(_folded(spark, sf, 2), FEATURES, params, losses.logistic(10))
 
 
-@query("hyperparam_trials")
+TRIAL_SPACE = {**search.SPACE, "max_depth": (2, 3), "n_estimators": (2, 3)}
+
+
+def _setting_sql(name: str, lo, hi) -> str:
+    u = f"(('0x' || substr(sha256('42|' || study || '|' || trial || '|{name}'), 1, 13))::bigint / 4503599627370496.0::double)"
+    if isinstance(lo, int):
+        return f"cast({lo} + floor({u} * {hi - lo + 1}) as int) \"{name}\""
+    if name in ("learning_rate", "lambda", "alpha"):
+        return f"round({lo}::double * pow({hi / lo!r}::double, {u}), 6) \"{name}\""
+    return f"round({lo}::double + {u} * {hi - lo!r}::double, 6) \"{name}\""
+
+
+@query("hyperparam_trials", f"""with t as (select study, 0 as trial from (values ('weighted'), ('focal')) v(study)), {SENSOR},
+c as (select [10, 30, cast(round((count(*) - sum(y))::double / sum(y)) as int), 77] as w from sensor)
+select study, trial, {', '.join(_setting_sql(k, lo, hi) for k, (lo, hi) in TRIAL_SPACE.items())},
+case when study = 'weighted' then w[cast(floor(('0x' || substr(sha256('42|' || study || '|' || trial || '|scale_pos_weight'), 1, 13))::bigint
+ / 4503599627370496.0::double * 4) as int) + 1]::double else 1.0::double end scale_pos_weight, true as scored from t, c""")
 def hyperparam_trials(spark, sf):
-    space = {**search.SPACE, "max_depth": (2, 3), "n_estimators": (2, 3)}
-    return search.hyperparam_trials(
-        _folded(spark, sf, 2), FEATURES, scratch_path(spark, "trials"), trials=1, space=space, bins=16
+    out = search.hyperparam_trials(
+        _folded(spark, sf, 2), FEATURES, scratch_path(spark, "trials"), trials=1, space=TRIAL_SPACE, bins=16
     )
+    rounded = {k: F.round(k, 6) for k, (lo, _) in TRIAL_SPACE.items() if not isinstance(lo, int)}
+    return out.withColumns(rounded).withColumn("scored", F.col("value").between(-1, 1)).drop("value")
 
 
 TRIAL = f"""tl as (select cast(floor(c_custkey/100) as bigint) experiment,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rarespark.operators import correlation, folds, prep, profile, report
 from rarespark.plans.fixtures import FEATURES, sensor, sensor_split, sensor_table
-from rarespark.plans.registry import SENSOR, TRAIN, hash_sql, long_sql, query, r6
+from rarespark.plans.registry import SENSOR, TRAIN, hash_sql, long_sql, query, r6, sweep_sql
 
 LONG = SENSOR + ", " + long_sql()
 ALL = "(select count(*) from sensor)"
@@ -174,9 +174,18 @@ def _imputed(spark, sf):
     return prep.median_impute(rows, prep.fit_medians(rows, FEATURES), FEATURES)
 
 
-@query("vif")
+N = len(FEATURES)
+_IMP = ", ".join(f"coalesce({f}, (select median({f}) from sensor)) {f}" for f in FEATURES)
+_CORR = ", ".join("1.0::double" if a == b else f"corr({a}, {b})" for a in FEATURES for b in FEATURES)
+CORR = f"{SENSOR}, imp as (select {_IMP} from sensor), cm as (select [{_CORR}] as m from imp)"
+NAMES = "[" + ", ".join(f"'{f}'" for f in FEATURES) + "]"
+VIF = f"""{CORR}, {sweep_sql('cm', 'ci', N)},
+vifs as (select {NAMES}[j] feature, inv[(j - 1) * {N} + j] vif from ci, range(1, {N + 1}) r(j))"""
+
+
+@query("vif", f"with recursive {VIF} select feature, round(vif, 4) vif from vifs")
 def vif(spark, sf):
-    return correlation.vif(_imputed(spark, sf), FEATURES)
+    return correlation.vif(_imputed(spark, sf), FEATURES).withColumn("vif", F.round("vif", 4))
 
 
 @query("vif_pair", f"""with {SENSOR}, two as (select coalesce(f_qty, (select median(f_qty) from sensor)) a,
@@ -187,21 +196,64 @@ def vif_pair(spark, sf):
     return correlation.vif(_imputed(spark, sf), ["f_qty", "f_lines"]).withColumn("vif", r6("vif"))
 
 
-@query("vif_summary")
+@query("vif_summary", f"""with recursive {VIF} select feature, round(vif, 4) vif,
+(select cast(count(*) as bigint) from vifs where vif > 5) features_high from vifs order by vifs.vif desc, feature limit 10""")
 def vif_summary(spark, sf):
     high, top = correlation.vif_summary(correlation.vif(_imputed(spark, sf), FEATURES))
-    return top.withColumn("features_high", high.scalar())
+    return top.withColumn("features_high", high.scalar()).withColumn("vif", F.round("vif", 4))
+
+
+PRUNE_LIMIT = 1.05
+
 
+def _prune_sql() -> str:
+    """Each step inverts the matrix, finds the most inflated column and cuts its ties."""
+    parts, source = [CORR], "cm"
+    for step in range(1, N):
+        parts.append(sweep_sql(source, f"c{step}", N))
+        parts.append(
+            f"w{step} as (select j, inv[(j - 1) * {N} + j] vif from c{step}, range(1, {N + 1}) r(j) "
+            f"where inv[(j - 1) * {N} + j] >= {PRUNE_LIMIT} order by vif desc, j limit 1)"
+        )
+        cut = f"case when (t - 1) // {N} = (t - 1) % {N} then 1.0::double when (t - 1) // {N} + 1 = w or (t - 1) % {N} + 1 = w then 0 else m[t] end"
+        parts.append(
+            f"m{step} as (select list_transform(range(1, {N * N + 1}), lambda t: {cut}) as m "
+            f"from {source}, (select coalesce(max(j), 0) w from w{step}))"
+        )
+        source = f"m{step}"
+    steps = " union all ".join(f"select {s} as step, {NAMES}[j] feature, round(vif, 4) vif from w{s}" for s in range(1, N))
+    return f"with recursive {', '.join(parts)} {steps}"
 
-@query("feature_prune_vif")
+
+@query("feature_prune_vif", _prune_sql())
 def feature_prune_vif(spark, sf):
-    return correlation.prune_by_vif(_imputed(spark, sf), FEATURES, 2.0)
+    return correlation.prune_by_vif(_imputed(spark, sf), FEATURES, PRUNE_LIMIT).withColumn("vif", F.round("vif", 4))
+
+
+def _axis_sql(matrix: str, out: str) -> str:
+    """First principal axis by power iteration, signed by its largest loading."""
+    times = f"list_transform(range(1, {N + 1}), lambda i: list_sum(list_transform(range(1, {N + 1}), lambda j: m[(i - 1) * {N} + j] * v[j])))"
+    return f"""{out}_p as (select 0 as it, [{', '.join(f'{1 + k / 7}::double' for k in range(N))}] as v union all
+select it + 1, list_transform(w, lambda x: x / sqrt(list_sum(list_transform(w, lambda y: y * y)))) from (
+select it, {times} as w from {out}_p, {matrix} where it < 3000)),
+{out}_u as (select v, list_sum(list_transform(range(1, {N + 1}), lambda i: v[i] * ({times})[i])) as lam
+from {out}_p, {matrix} where it = 3000),
+{out} as (select list_transform(v, lambda x: x * sign(v[list_position(list_transform(v, lambda z: round(abs(z), 9)),
+list_max(list_transform(v, lambda z: round(abs(z), 9))))])) as v, lam from {out}_u)"""
+
+
+_STD = ", ".join(f"avg({f}) a_{f}, stddev_pop({f}) s_{f}" for f in FEATURES)
+_DOT = [" + ".join(f"({f} - a_{f}) / s_{f} * {x}.v[{i + 1}]" for i, f in enumerate(FEATURES)) for x in ("e1", "e2")]
 
 
-@query("project_2d")
+@query("project_2d", f"""with recursive {CORR.replace('imp as (select ', 'imp as (select row_id, y, ')}, {_axis_sql('cm', 'e1')},
+cm2 as (select list_transform(range(1, {N * N + 1}), lambda t: m[t] - lam * v[(t - 1) // {N} + 1] * v[(t - 1) % {N} + 1]) as m from cm, e1),
+{_axis_sql('cm2', 'e2')}, st as (select {_STD} from imp)
+select row_id, y, round({_DOT[0]}, 4) + 0.0 x1, round({_DOT[1]}, 4) + 0.0 x2 from imp, st, e1, e2""")
 def project_2d(spark, sf):
     rows = sensor_table(spark, sf)
-    return profile.project_2d(prep.Prepare(inputCols=FEATURES).fit(rows).transform(rows))
+    out = profile.project_2d(prep.Prepare(inputCols=FEATURES).fit(rows).transform(rows))
+    return out.select("row_id", "y", (F.round("x1", 4) + 0.0).alias("x1"), (F.round("x2", 4) + 0.0).alias("x2"))
 
 
 # --- preparation -------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -103,3 +104,18 @@ cast(count(case when y=0 and {pred}=0 then 1 end) as bigint) tn from {src}{group
 def grid_sql(grid: list[float], name: str = "grid") -> str:
     values = ", ".join(f"({t!r}::double)" for t in grid)
     return f"{name}(threshold) as (values {values})"
+
+
+def sweep_sql(matrix: str, out: str, size: int) -> str:
+    """Recursive tables that invert a symmetric matrix, a list of size x size numbers, by
+    sweeping every column: ``out`` has one row with the list ``inv``."""
+    n = size
+    cell = (
+        f"case when i = k + 1 and j = k + 1 then -1 / p when i = k + 1 or j = k + 1 then a[t] / p "
+        f"else a[t] - a[(i - 1) * {n} + k + 1] * a[k * {n} + j] / p end"
+    )
+    for name, value in (("i", f"((t - 1) // {n} + 1)"), ("j", f"((t - 1) % {n} + 1)"), ("p", f"a[k * {n} + k + 1]")):
+        cell = re.sub(rf"\b{name}\b", value, cell)
+    return f"""{out}_s as (select 0 as k, m as a from {matrix} union all
+select k + 1, list_transform(range(1, {n * n + 1}), lambda t: {cell}) from {out}_s where k < {n}),
+{out} as (select list_transform(a, lambda x: -x) as inv from {out}_s where k = {n})"""
