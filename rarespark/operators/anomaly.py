@@ -80,6 +80,31 @@ def dissimilarity(pairs: DataFrame) -> DataFrame:
     return pairs.select("id_a", "id_b", (F.lit(1.0) - F.coalesce("prox", F.lit(0.0))).alias("dissimilarity"))
 
 
+def dissimilarity_histogram(sample: DataFrame, id_col: str = "row_id") -> DataFrame:
+    """``(dissimilarity, pairs)`` over all pairs of a sample of checked size, those that
+    share no leaf included. Pairs are counted where they are compared, never written."""
+    import pyarrow as pa
+
+    ids, marks = _landmark_arrays(sample, id_col)
+    trees = marks.shape[1] if len(ids) else 1
+
+    def count(batches):
+        total = np.zeros(trees + 1, np.int64)
+        step = max(1, BLOCK_CELLS // max(1, len(ids)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, matrix = batch.column(0).to_numpy(), _leaf_matrix(batch.column(1))
+            for lo in range(0, batch.num_rows, step):
+                hits = _shared(matrix[lo : lo + step], marks)
+                total += np.bincount(hits[own[lo : lo + step, None] < ids[None, :]], minlength=trees + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(trees + 1)), pa.array(total)], names=["shared", "pairs"])
+
+    parts = sample.select(F.col(id_col).cast("bigint"), "leaves").mapInArrow(count, "shared bigint, pairs bigint")
+    counts = parts.groupBy("shared").agg(F.sum("pairs").alias("pairs")).where("pairs > 0")
+    return counts.select((F.lit(1.0) - F.col("shared") / trees).alias("dissimilarity"), "pairs")
+
+
 def proximity_embed_2d(
     leaves: DataFrame, landmarks: int = LANDMARKS, id_col: str = "row_id", seed: int = 42
 ) -> DataFrame:

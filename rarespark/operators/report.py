@@ -45,3 +45,11 @@ def run_summary(train: DataFrame, test: DataFrame, features: Sequence[str], targ
         F.round(mean * 100, 2).alias("mean_missing_pct"),
         many.alias("features_with_missing_gt50pct"),
     )
+
+
+def full_summary(summary: DataFrame, vif: DataFrame, models: DataFrame, limit: float = 5.0) -> DataFrame:
+    """``run_summary``'s row with the number of inflated features and the models' metrics,
+    ``models`` being ``(model, f1_macro, auprc, mcc)``: an array in the order of names."""
+    high = vif.agg(F.count(F.when(F.col("vif") > limit, 1)).alias("features_high_vif"))
+    rows = models.agg(F.sort_array(F.collect_list(F.struct("model", "f1_macro", "auprc", "mcc"))).alias("model_metrics"))
+    return summary.withColumn("features_high_vif", high.scalar()).withColumn("model_metrics", rows.scalar())

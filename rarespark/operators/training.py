@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -131,6 +133,24 @@ def grid_search(
     return metrics.cv_summary(table, ap, keys).orderBy(F.desc("mcc_mean"), *keys)
 
 
+def refit_best(train: DataFrame, features: Sequence[str], grid: DataFrame, max_iter: int = 5000) -> PipelineModel:
+    """Model of all train rows at the best point of ``grid_search``'s result."""
+    best = grid.orderBy(F.desc("mcc_mean"), "c", "l1_ratio").first()
+    return fit_elastic_net(train, features, best["c"], best["l1_ratio"], max_iter)
+
+
+def cv_comparison(train: DataFrame, fits: dict[str, Callable[[DataFrame], Model]], fold_col: str = "fold") -> DataFrame:
+    """Fold means and deviations per model, and the seconds its fits and scores took."""
+    parts = []
+    for name, fit in fits.items():
+        start = time.perf_counter()
+        judged = metrics.apply_threshold(cross_validated_scores(train, fit, name, fold_col), 0.5)
+        seconds = time.perf_counter() - start
+        summary = metrics.cv_summary(judged, curves.average_precision(judged, ["model", "fold"]))
+        parts.append(summary.withColumn("seconds", F.lit(seconds)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cross_validated_scores(
     train: DataFrame, fit, model: str, fold_col: str = "fold", keep: Sequence[str] = ("row_id", "y")
 ) -> DataFrame:

@@ -9,10 +9,8 @@ from rarespark.operators import (
     anomaly,
     boosting,
     calibration,
-    curves,
     explain,
     folds,
-    metrics,
     neighbors,
     prep,
     search,
@@ -113,6 +111,15 @@ def grid_search(spark, sf):
     return training.grid_search(_folded(spark, sf, 2), FEATURES, (0.01, 1.0), (0.0, 0.5), max_iter=100)
 
 
+@query("best_refit")
+def best_refit(spark, sf):
+    """Test scores of the best grid point, fitted again on all train rows."""
+    rows = _folded(spark, sf, 2)
+    train, test = rows.where("row_id % 5 <> 0"), rows.where("row_id % 5 = 0")
+    grid = training.grid_search(train, FEATURES, (0.01, 1.0), (0.0, 0.5), max_iter=100)
+    return training.score_models({"Elastic Net": training.refit_best(train, FEATURES, grid, 100)}, test)
+
+
 @query("random_forest_fit")
 def random_forest_fit(spark, sf):
     train, test = sensor_split(spark, sf)
@@ -152,12 +159,11 @@ def model_persist(spark, sf):
 
 @query("cv_model_scores")
 def cv_model_scores(spark, sf):
-    rows = _folded(spark, sf)
-    scores = training.cross_validated_scores(
-        rows, lambda r: training.fit_elastic_net(r, FEATURES, 0.1, 0.5, 100), "Elastic Net"
-    )
-    judged = metrics.apply_threshold(scores, 0.5)
-    return metrics.cv_summary(judged, curves.average_precision(judged, ["model", "fold"]))
+    fits = {
+        "Elastic Net": lambda r: training.fit_elastic_net(r, FEATURES, 0.1, 0.5, 100),
+        "Random Forest": lambda r: training.fit_random_forest(r, FEATURES, **FOREST),
+    }
+    return training.cv_comparison(_folded(spark, sf), fits).drop("seconds")
 
 
 @query("cv_calibration")
@@ -362,11 +368,18 @@ def forest_leaf_counts(spark, sf):
     )
 
 
-@query("proximity_sample")
+SAMPLE_PAIRS = 1000
+
+
+@query("proximity_sample", f"""with o as (select o_orderkey row_id from orders),
+s as (select row_id from o order by {hash_sql('row_id', folds.SEED)}, row_id limit {SAMPLE_PAIRS}),
+p as (select {' + '.join(f'(((a.row_id*{2 * t + 3}) % 97 % 7) = ((b.row_id*{2 * t + 3}) % 97 % 7))::int' for t in range(N_TREES))} as shared
+from s a join s b on a.row_id < b.row_id)
+select round(1 - shared/{float(N_TREES)}::double, 6) dissimilarity, cast(count(*) as bigint) pairs from p group by shared""")
 def proximity_sample(spark, sf):
-    rows, _, leaves = _forest_leaves(spark, sf)
-    sample = folds.stratified_sample(rows).select("row_id")
-    return anomaly.dissimilarity(anomaly.proximity(leaves.join(sample, "row_id")))
+    """How far the pairs of a sample are from each other, pairs without a common leaf included."""
+    sample = folds.simple_sample(leaf_vectors(spark, sf), SAMPLE_PAIRS)
+    return anomaly.dissimilarity_histogram(sample).select(r6("dissimilarity"), "pairs")
 
 
 @query("proximity_embed_2d")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rarespark.operators import correlation, folds, prep, profile, report
-from rarespark.plans.fixtures import FEATURES, sensor, sensor_split, sensor_table
-from rarespark.plans.registry import SENSOR, TRAIN, hash_sql, long_sql, query, r6, sweep_sql
+from rarespark.operators import correlation, curves, folds, metrics, prep, profile, report
+from rarespark.plans.fixtures import FEATURES, scored_long, sensor, sensor_split, sensor_table
+from rarespark.plans.registry import RATES, SCORED_LONG, SENSOR, TRAIN, confusion_sql, hash_sql, long_sql, query, r6, sweep_sql
+from rarespark.session import scratch_path
+from rarespark.sources import tables
 
 LONG = SENSOR + ", " + long_sql()
 ALL = "(select count(*) from sensor)"
@@ -339,3 +341,27 @@ round(({' + '.join(f'm_{f}' for f in FEATURES)})/6*100, 2) mean_missing_pct,
 {' + '.join(f'(m_{f} > 0.5)::int' for f in FEATURES)} features_with_missing_gt50pct from m""")
 def run_summary(spark, sf):
     return report.run_summary(*sensor_split(spark, sf), FEATURES)
+
+
+_TRAIN_VIF = VIF.replace("imp as (select ", "train as (select * from sensor where row_id % 5 <> 0), imp as (select ", 1).replace(
+    "from sensor)", "from train)"
+)
+
+
+@query("run_summary_json", f"""with recursive {_TRAIN_VIF}, {SCORED_LONG},
+pred as (select model, y, case when proba >= 0.5 then 1 else 0 end pred from scored_long), c2 as ({confusion_sql('pred', 'model')}),
+r2 as (select *, {RATES} from c2)
+select (select count(*) from train) train_rows, (select sum(y)::bigint from train) n_pos,
+(select cast(count(*) as bigint) from vifs where vif > 5) features_high_vif, model, round(f1_macro, 6) f1_macro, round(mcc, 6) + 0.0 mcc from r2""")
+def run_summary_json(spark, sf):
+    """The whole summary written as JSON and read back, one row per model."""
+    train, test = sensor_split(spark, sf)
+    filled = prep.median_impute(train, prep.fit_medians(train, FEATURES), FEATURES)
+    scores = scored_long(spark, sf)
+    judged = metrics.classification_metrics(metrics.apply_threshold(scores, 0.5), ["model"])
+    models = judged.join(curves.average_precision(scores, ["model"]), "model")
+    out = report.full_summary(report.run_summary(train, test, FEATURES), correlation.vif(filled, FEATURES), models)
+    path = scratch_path(spark, "summary")
+    tables.export_json(out, path)
+    back = spark.read.schema(out.schema).json(path).withColumn("m", F.explode("model_metrics"))
+    return back.select("train_rows", "n_pos", "features_high_vif", "m.model", r6("m.f1_macro", "f1_macro"), r6("m.mcc", "mcc"))
