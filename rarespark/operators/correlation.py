@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rarespark.functions.ranks import average_ranks, join_on_values
+from rarespark.functions.ranks import bucket_count, join_on_values, splits_of
 from rarespark.session import cut_lineage
 
 HIGH_RHO = 0.9
@@ -90,11 +90,37 @@ def gap_patterns(df: DataFrame, columns: Sequence[str], id_col: str = "row_id")
     return [twin.get(c) for c in columns]
 
 
+def _value_ranks(long: DataFrame, wide: int) -> tuple[DataFrame, dict[int, float]]:
+    """Average ranks ``(i, value, n, ranks)`` of each column's distinct values in every gap
+    context, and the mean rank of each (column, context).
+
+    One count per value and context; ranks are running sums of the counts, inside buckets
+    of the column's own values and over the buckets' totals.
+    """
+    counts = long.groupBy("i", "bucket", "value").agg(
+        *[F.count(F.when(F.col("seen")[m], 1)).alias(f"n{m}") for m in range(wide)]
+    )
+    counts = cut_lineage(counts, "values")
+    totals = counts.groupBy("i", "bucket").agg(*[F.sum(f"n{m}").alias(f"t{m}") for m in range(wide)])
+    before = Window.partitionBy("i").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "i", "bucket", *[F.coalesce(F.sum(f"t{m}").over(before), F.lit(0)).alias(f"o{m}") for m in range(wide)]
+    )
+    sizes = totals.groupBy("i").agg(*[F.sum(f"t{m}").alias(f"t{m}") for m in range(wide)]).collect()
+    means = {r["i"] * wide + m: (r[f"t{m}"] + 1) / 2 for r in sizes for m in range(wide)}
+    inside = Window.partitionBy("i", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = [F.sum(f"n{m}").over(inside) + F.col(f"o{m}") - (F.col(f"n{m}") - 1) / F.lit(2.0) for m in range(wide)]
+    ranked = counts.join(offsets, ["i", "bucket"]).select("i", "value", F.col("n0").alias("n"), F.array(*ranks).alias("ranks"))
+    return ranked, means
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> DataFrame:
     """Rank correlation of every pair over the rows where both are present.
 
-    Ranks depend on the rows a partner leaves. A column without gaps leaves all rows, so
-    ranks are taken once per (column, distinct gap pattern) and not once per pair.
+    Ranks depend on the rows a partner leaves: the context of its gap pattern. Each value
+    is one row with the ranks of all contexts, so a table of n rows and p columns is
+    shuffled as n p rows whatever the number of patterns. Buckets follow each column's
+    own quantiles, so no column ends up in one task.
     """
     columns = list(columns)
     p = len(columns)
@@ -102,24 +128,33 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id
     gappy = list(dict.fromkeys(t for t in patterns if t))
     masks = [gappy.index(t) + 1 if t else 0 for t in patterns]
     wide = len(gappy) + 1
-    cells = []
-    for i, c in enumerate(columns):
-        for m, other in enumerate([None, *gappy]):
-            if m and m == masks[i]:
-                continue  # its own gaps: the same rows as context 0
-            value = F.col(c).cast("double")
-            value = F.when(F.col(other).isNotNull(), value) if other else value
-            cells.append(F.struct(F.lit(i * wide + m).alias("ctx"), value.alias("value")))
+    values, marks = [f"_v{i}" for i in range(p)], [f"_b{i}" for i in range(p)]
+    base = df.select(
+        F.col(id_col).alias("id"),
+        F.array(F.lit(True), *[F.col(c).isNotNull() for c in gappy]).alias("seen"),
+        *[F.col(c).cast("double").alias(v) for c, v in zip(columns, values, strict=True)],
+    )
+    buckets = bucket_count(df)
+    cuts = base.approxQuantile(values, [k / buckets for k in range(1, buckets)], 1.0 / (4 * buckets))
+    cut = Bucketizer(
+        inputCols=values, outputCols=marks, splitsArray=[splits_of(sorted(set(c))) for c in cuts], handleInvalid="keep"
+    ).transform(base)
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.col(v).alias("value"), F.col(m).alias("bucket"))
+        for i, (v, m) in enumerate(zip(values, marks, strict=True))
+    ]
     long = (
-        df.select(id_col, F.explode(F.array(*cells)).alias("_c"))
-        .select(id_col, "_c.ctx", "_c.value")
+        cut.select("id", "seen", F.explode(F.array(*cells)).alias("c"))
+        .select("id", "seen", "c.i", "c.value", "c.bucket")
         .where("value is not null")
     )
-    sizes = {r["ctx"]: r["n"] for r in long.groupBy("ctx").agg(F.count("*").alias("n")).collect()}
-    means = {c: (n + 1) / 2 for c, n in sizes.items()}
-    ranks = average_ranks(long, "value", ["ctx"]).select("ctx", "value", "n", "rank")
-    ranked = join_on_values(long, ranks, ["ctx", "value"])
-    rows = ranked.groupBy(id_col).agg(F.collect_list(F.struct("ctx", "rank")).alias("cells")).select("cells")
+    ranks, means = _value_ranks(long, wide)
+    ranked = join_on_values(long.select("id", "seen", "i", "value"), ranks, ["i", "value"])
+    contexts = F.filter(F.sequence(F.lit(0), F.lit(wide - 1)), lambda m: F.get("seen", m))
+    own = F.transform(
+        contexts, lambda m: F.struct((F.col("i") * wide + m).alias("ctx"), F.get("ranks", m).alias("rank"))
+    )
+    rows = ranked.select("id", own.alias("own")).groupBy("id").agg(F.flatten(F.collect_list("own")).alias("cells")).select("cells")
     sums = rows.mapInArrow(
         lambda batches: _rank_products(batches, p, masks, means), "i int, j int, g double, v double"
     )

@@ -160,15 +160,15 @@ def feature_prune_pairs(spark, sf):
 
 @query("class_mean_delta", f"""with {SPEARMAN_Y}, top as (select feature_a f from matrix where feature_b = 'y' and feature_a <> 'y'
 order by abs(rho) desc, feature_a limit 5), {long_sql()}
-select feature, round(avg(case when y=0 then value end), 4) mean_neg, round(avg(case when y=1 then value end), 4) mean_pos,
-round(avg(case when y=1 then value end) - avg(case when y=0 then value end), 4) delta
+select feature, round(avg(case when y=0 then value end), 6) mean_neg, round(avg(case when y=1 then value end), 6) mean_pos,
+round(avg(case when y=1 then value end) - avg(case when y=0 then value end), 6) delta
 from lng where feature in (select f from top) group by feature""")
 def class_mean_delta(spark, sf):
     rows = sensor_table(spark, sf)
     matrix = correlation.spearman_matrix(rows, _NAMES)
     top = [r["feature"] for r in correlation.target_correlation(matrix).limit(5).collect()]
     out = profile.class_mean_delta(rows, top)
-    return out.select("feature", *[F.round(c, 4).alias(c) for c in ("mean_neg", "mean_pos", "delta")])
+    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("mean_neg", "mean_pos", "delta")])
 
 
 def _imputed(spark, sf):
