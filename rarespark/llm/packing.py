@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
