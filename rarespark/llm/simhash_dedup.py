@@ -36,6 +36,7 @@ SEED = 42
 BLOCK = 4096
 CHUNK = 1 << 16
 SHORT_RUN = 32
+COUNT_BUCKETS = 1 << 16
 
 HALF = np.uint64(0xFFFFFFFF)
 ODD = np.uint64(0x5555555555555555)
@@ -195,10 +196,26 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emit(group, fps, nodes)
 
 
+def _hot_cells(cells: DataFrame) -> DataFrame | None:
+    """``(cell, count)`` of the cells with more than ``BLOCK`` rows, or None.
+
+    Rows are counted by a hash of their cell first, so that a task sends few counts; only
+    the cells behind large counts are counted one by one.
+    """
+    bucket = F.pmod(F.xxhash64("cell"), F.lit(COUNT_BUCKETS))
+    large = cells.groupBy(bucket.alias("bucket")).count().where(F.col("count") > BLOCK).select("bucket")
+    large = cut_lineage(large, "large")  # COUNT_BUCKETS rows at most
+    if large.isEmpty():
+        return None
+    some = cells.withColumn("bucket", bucket).join(F.broadcast(large), "bucket", "left_semi")
+    hot = cut_lineage(some.groupBy("cell").count().where(F.col("count") > BLOCK), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def _groups(cells: DataFrame) -> DataFrame:
     """``(grp, fp, node)``: cells as groups; a hot cell as pairs of its blocks."""
-    hot = cut_lineage(cells.groupBy("cell").count().where(F.col("count") > BLOCK), "hot")
-    if hot.isEmpty():
+    hot = _hot_cells(cells)
+    if hot is None:
         return cells.select(F.col("cell").alias("grp"), "fp", "node")
     split = cells.join(hot, "cell", "left")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
@@ -214,7 +231,9 @@ def links(fps: DataFrame) -> DataFrame:
     """``(a, b)``: links between nodes of ``fps (fp, node, kind)`` that connect exactly
     those with fingerprints of one kind at most ``DISTANCE`` bits apart, directly or
     through others."""
-    cells = fps.select("fp", "node", "kind").mapInArrow(_cells, "cell bigint, fp bigint, node bigint")
+    # A fingerprint makes some 40 rows: the short table is spread over all tasks first.
+    tasks = 2 * int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = fps.select("fp", "node", "kind").repartition(tasks).mapInArrow(_cells, "cell bigint, fp bigint, node bigint")
     groups = _groups(cells)
     return groups.repartition("grp").sortWithinPartitions("grp").mapInArrow(_links, "a bigint, b bigint")
 
@@ -251,18 +270,23 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _several(size: int, kinds: int):
-    """Fingerprints of different hash functions, from one pass over the words."""
+    """``fingerprint`` of each text, and ``kinds`` more of other shingles and hash functions,
+    from one pass over the words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = W.utf8_buffer(batch.column(1))
-            out = np.zeros((batch.num_rows, kinds), np.uint64)
+            out = np.zeros((batch.num_rows, 1 + kinds), np.uint64)
             for a, b in W.row_slices(bounds):
-                part = W.LOWERED[data[bounds[a] : bounds[b]]]
-                words, first = W.hashed_words(part, bounds[a : b + 1] - bounds[a])
-                out[a:b] = _slice_fingerprints(words, first, size, kinds)
-            node = W.mix(np.bitwise_xor.reduce(W.mix(out + np.arange(1, kinds + 1, dtype=np.uint64)), axis=1))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, kinds, dtype=np.int32)), W.signed(out.ravel()))
+                part = data[bounds[a] : bounds[b]]
+                ends = (bounds[a : b + 1] - bounds[a]).tolist()
+                raw = part.tobytes()
+                out[a:b, 0] = [fingerprint(raw[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                words, first = W.hashed_words(W.LOWERED[part], bounds[a : b + 1] - bounds[a])
+                out[a:b, 1:] = _slice_fingerprints(words, first, size, kinds)
+            every = np.arange(1, kinds + 2, dtype=np.uint64)
+            node = W.mix(np.bitwise_xor.reduce(W.mix(out + every), axis=1))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, kinds + 1, dtype=np.int32)), W.signed(out.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), W.signed(node), flat], ["doc_id", "key", "node", "fps"])
 
     return rows
@@ -302,10 +326,11 @@ def one_per_class(
 ) -> DataFrame:
     """The document with the smallest id of each class, with all its columns.
 
-    Texts are linked if any of ``kinds`` fingerprints, over shingles of ``size`` words, is
-    at most ``DISTANCE`` bits away; several fingerprints find more of the texts that are
-    alike by 0.8 or more, and texts that are not hardly ever get so near. Rows that repeat
-    an id and text are kept once. Rows without id rank last.
+    Texts are linked as in ``near_duplicate_classes``, or if any of ``kinds`` more
+    fingerprints, over shingles of ``size`` words, is at most ``DISTANCE`` bits away.
+    Several fingerprints find more of the texts that are alike by 0.8 or more, and texts
+    that are not hardly ever get so near. Rows that repeat an id and text are kept once.
+    Rows without id rank last.
     """
     names = docs.columns
     W.bounded_batches(docs.sparkSession)
@@ -315,7 +340,7 @@ def one_per_class(
     rows = cut_lineage(
         texts.mapInArrow(_several(size, kinds), "doc_id bigint, key bigint, node bigint, fps array<bigint>"), "fingerprints"
     )
-    found = cut_lineage(_classes(rows, kinds).drop("node"), "classes")
+    found = cut_lineage(_classes(rows, 1 + kinds).drop("node"), "classes")
     gone = found.where(_ranked() != F.col("first")).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     match = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (W.text_key(F.col(text_col)) == F.col("__key"))
     kept = docs.join(gone, match, "left_anti").select(*names)
