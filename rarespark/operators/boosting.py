@@ -8,9 +8,10 @@ paper (Chen and Guestrin, KDD 2016). The trees are a table; rows never leave the
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -127,6 +128,40 @@ class BoostedModel:
         return BoostedModel(list(features), trees, base_margin)
 
 
+@dataclass
+class BoostedPack:
+    """What scoring needs later: the trees, the medians that fill gaps, the parameters and
+    the strategy they were found with."""
+
+    model: BoostedModel
+    medians: dict[str, float]
+    params: BoostParams
+    strategy: str
+
+    def transform(self, df: DataFrame, out: str = "proba") -> DataFrame:
+        """Scores of raw rows."""
+        filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in self.medians.items()})
+        return self.model.transform(filled, out)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Trees as Parquet, the rest as one line of JSON."""
+        self.model.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+        rest = {
+            "features": self.model.features,
+            "base_margin": self.model.base_margin,
+            "medians": self.medians,
+            "params": asdict(self.params),
+            "strategy": self.strategy,
+        }
+        spark.createDataFrame([(json.dumps(rest),)], "line string").coalesce(1).write.mode("overwrite").text(f"{path}/pack")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> BoostedPack:
+        rest = json.loads(spark.read.text(f"{path}/pack").first()[0])
+        model = BoostedModel.from_table(spark.read.schema(TREE_SCHEMA).parquet(f"{path}/trees"), rest["features"], rest["base_margin"])
+        return BoostedPack(model, rest["medians"], BoostParams(**rest["params"]), rest["strategy"])
+
+
 def tree_margins(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
     total = np.zeros(len(x))
     at = np.arange(len(x))

@@ -15,9 +15,11 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rarespark.operators import metrics
+from rarespark.session import cut_lineage
 
 # Fixed value: calibrate above this error.
 MAX_ECE = 0.05
+MAX_KNOTS = 2_000_000
 
 
 def _upper_bin(p: Column, n: int) -> Column:
@@ -62,11 +64,19 @@ def score_histogram(
     )
 
 
-def isotonic_fit(scored: DataFrame, score: str = "proba") -> IsotonicRegressionModel:
-    """Monotone step map from score to positive share; rows are pooled by score first."""
-    knots = scored.groupBy(F.col(score).alias("_x")).agg(
-        F.avg("y").alias("_y"), F.count("*").cast("double").alias("_w")
+def isotonic_fit(scored: DataFrame, score: str = "proba", most: int = MAX_KNOTS) -> IsotonicRegressionModel:
+    """Monotone step map from score to positive share; rows are pooled by score first.
+
+    Spark's fit brings the pooled steps to the driver. More than ``most`` distinct scores
+    are an error: round the scores first.
+    """
+    knots = cut_lineage(
+        scored.groupBy(F.col(score).alias("_x")).agg(F.avg("y").alias("_y"), F.count("*").cast("double").alias("_w")),
+        "knots",
     )
+    found = knots.count()
+    if found > most:
+        raise ValueError(f"{found} distinct scores; an isotonic map takes {most} at most, so round them first")
     return IsotonicRegression(
         featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_p"
     ).fit(knots)

@@ -157,6 +157,22 @@ def model_persist(spark, sf):
     )
 
 
+@query("boosted_pack", f"""with {TRAIN} select 'weighted' strategy, cast(count(*) as bigint) as "rows", 0.0::double max_change
+from test""")
+def boosted_pack(spark, sf):
+    """Change of a boosted model's scores of raw rows after saving and loading it with its medians."""
+    train, test = sensor_split(spark, sf)
+    medians = prep.fit_medians(train, FEATURES)
+    model = boosting.boosted_trees_fit(prep.median_impute(train, medians, FEATURES), FEATURES, SMALL)
+    path = scratch_path(spark, "pack")
+    boosting.BoostedPack(model, medians, SMALL, "weighted").save(spark, path)
+    pack = boosting.BoostedPack.load(spark, path)
+    before = model.transform(prep.median_impute(test, medians, FEATURES)).select("row_id", F.col("proba").alias("was"))
+    both = pack.transform(test).join(before, "row_id")
+    change = F.max(F.abs(F.col("proba") - F.col("was"))).alias("max_change")
+    return both.agg(F.lit(pack.strategy).alias("strategy"), F.count("*").alias("rows"), change)
+
+
 @query("cv_model_scores")
 def cv_model_scores(spark, sf):
     fits = {
