@@ -14,8 +14,8 @@ import unicodedata
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-KEPT_WORDS = 400_000
-KEPT_STEMS = 400_000
+KEPT_WORDS = 250_000
+KEPT_STEMS = 250_000
 PUNCTUATION = b".,;:!?*$%&#|"
 # Letters below this code point are single pieces of the vocabulary's word pattern.
 PLAIN_LETTERS = "ɐ"

@@ -1,7 +1,7 @@
 """Words, word sequences and their hashes, computed on Arrow text buffers.
 
 A word is a run of bytes other than ``\\x20`` and ``\\x09-\\x0D``. A whole column is hashed
-with array arithmetic, about a megabyte at a time, so memory follows the longest text and
+with array arithmetic, a quarter of a megabyte at a time, so memory follows the longest text and
 not the batch. Hashes are 64-bit; they depend on the words alone.
 """
 
@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SLICE_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
+SLICE_BYTES = 1 << 18
+BATCH_BYTES = 8 << 20
 BITMAP_BITS = 1 << 25
 
 # Odd multipliers of the rolling hashes and the finaliser's constants.
