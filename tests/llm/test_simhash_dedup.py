@@ -117,3 +117,53 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in components(links).collect()}
     want = {i: 1 for i in range(1, 61)} | {i: 100 for i in range(100, 180)} | {301: 301, 302: 301}
     assert got == want
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def greedy(rows):
+    """Brute force: the ids that stay, and the pairs of similarity 0.8 or more."""
+    sets = {i: shingles(t) for i, t in sorted(rows)}
+    pairs = [(a, b) for a in sets for b in sets if a < b and similarity(sets[a], sets[b]) >= 0.8]
+    stay = []
+    for b in sets:
+        if not any((a, b) in set(pairs) for a in stay):
+            stay.append(b)
+    return stay, pairs
+
+
+@pytest.mark.parametrize("block, front", [(4096, 16), (8, 2)])
+def test_stage_finds_all_near_copies_from_08(spark, monkeypatch, block, front):
+    """Copies with 1 to 8 of 200 words changed: similarity 0.95 down to 0.65."""
+    monkeypatch.setattr(S, "BLOCK", block)
+    monkeypatch.setattr(S, "FRONT", front)
+    rng = random.Random(5)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        rows.append((len(rows), " ".join(base)))
+        for n in range(1, 9):
+            w = list(base)
+            for at in rng.sample(range(200), n):
+                w[at] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    stay, pairs = greedy(rows)
+    close = [p for p in pairs if similarity(shingles(rows[p[0]][1]), shingles(rows[p[1]][1])) < 0.9]
+    assert len(close) > 40 and len(stay) > 12
+    kept = S.one_per_class(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == stay
+
+
+def test_stage_keeps_texts_that_share_one_frequent_word(spark):
+    """Rows of dots make up most shingles, so all fingerprints are equal; the rest differs."""
+    rows = [(i, ". " * 80 + " ".join(f"own{i}x{k}" for k in range(20))) for i in range(30)]
+    assert len({S.fingerprint(t.encode()) for _, t in rows}) == 1
+    kept = S.one_per_class(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(30))
