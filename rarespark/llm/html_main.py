@@ -68,6 +68,7 @@ CLOSED_BY = {
     "body": frozenset(["head"]),
 }
 SCOPES = frozenset("html body table ul ol dl div section article main aside nav header footer form blockquote td th".split())
+WHOLE = frozenset("html body main article".split())
 BREAK = None
 
 
@@ -98,17 +99,19 @@ def is_boilerplate(tag: str, attrs: dict, in_article: bool) -> bool:
 
 
 class _Element:
-    __slots__ = ("tag", "start", "parts", "dropped", "article", "main", "has_text")
+    __slots__ = ("tag", "start", "parts", "dropped", "article", "main", "has_text", "holds")
 
     def __init__(self, tag, start, dropped, article, main):
         self.tag, self.start, self.dropped, self.article, self.main = tag, start, dropped, article, main
         self.parts: list[bytes] = []
         self.has_text = False
+        self.holds = False
 
 
 class Page(HTMLParser):
     """Reads a page once. ``template`` are the subtree hashes to delete; ``hashes`` holds
-    the hashes of the kept block elements that have text."""
+    the hashes of the kept block elements that have text. The page itself, its article and
+    what holds the article are no template."""
 
     def __init__(self, template: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
@@ -117,6 +120,7 @@ class Page(HTMLParser):
         self.out: list[str | None] = []
         self.stack = [_Element("", 0, False, False, False)]
         self.kept: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
+        self.roots: dict[str, list[bytes]] = {"article": [], "main": []}
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v for k, v in reversed(attrs)}
@@ -166,7 +170,9 @@ class Page(HTMLParser):
         digest = xxhash.xxh64(b"\x00".join([element.tag.encode(), *element.parts])).intdigest()
         parent.parts.append(digest.to_bytes(8, "little"))
         block = element.tag in BLOCK
-        drop = element.dropped or (block and digest in self.template)
+        article, main = element.article and not parent.article, element.main and not parent.main
+        whole = element.tag in WHOLE or element.holds or article or main
+        drop = element.dropped or (block and not whole and digest in self.template)
         if drop:
             del self.out[element.start :]
             for spans in self.kept.values():
@@ -174,12 +180,13 @@ class Page(HTMLParser):
                     spans.pop()
         else:
             parent.has_text |= element.has_text
-            if block and element.has_text:
+            parent.holds |= element.holds or article or main
+            if block and element.has_text and not whole:
                 self.hashes.add(digest)
-            if element.article and not parent.article:
-                self.kept["article"].append((element.start, len(self.out)))
-            if element.main and not parent.main:
-                self.kept["main"].append((element.start, len(self.out)))
+            for name, own in (("article", article), ("main", main)):
+                if own:
+                    self.kept[name].append((element.start, len(self.out)))
+                    self.roots[name].append(parent.parts[-1])
         if block:
             self.out.append(BREAK)
 
@@ -202,6 +209,11 @@ class Page(HTMLParser):
                 return found
         return self._blocks(self.out)
 
+    def content(self) -> int:
+        """Digest of the article, or of the whole page that marks none; pages of one content
+        count once. Known when the text was read."""
+        return xxhash.xxh64(b"\x00".join(self.roots["article"] or self.roots["main"] or self.stack[0].parts)).intdigest()
+
     @staticmethod
     def _blocks(pieces) -> str:
         blocks, own = [], []
@@ -224,11 +236,12 @@ def _complete(html: str) -> str:
     return html
 
 
-def subtree_hashes(html: str) -> set[int]:
+def subtree_hashes(html: str) -> tuple[set[int], int]:
+    """Hashes of a page's subtrees, and the digest of its content."""
     page = Page()
     page.feed(_complete(html))
     page.text()
-    return page.hashes
+    return page.hashes, page.content()
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
@@ -246,22 +259,22 @@ def host(url: str | None) -> str:
 
 def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, hosts, found = [], [], []
+        at, hosts, found, contents = [], [], [], []
         for k, (url, html) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            hashes = subtree_hashes(html.as_py() or "")
+            hashes, content = subtree_hashes(html.as_py() or "")
+            hashes = hashes or {content}  # a page without subtrees counts as a page
             at.extend([k] * len(hashes))
             hosts.extend([host(url.as_py())] * len(hashes))
             found.extend(hashes)
+            contents.extend([content] * len(hashes))
         at = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(hosts, pa.string()), W.signed(np.array(found, np.uint64))],
-            ["id", "key", "host", "hash"],
-        )
-
-
-def _host_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([host(u) for u in batch.column(0).to_pylist()], pa.string())], ["host"])
+            [
+                batch.column(0).take(at), batch.column(1).take(at), pa.array(hosts, pa.string()),
+                W.signed(np.array(found, np.uint64)), W.signed(np.array(contents, np.uint64)),
+            ],
+            ["id", "key", "host", "hash", "content"],
+        )
 
 
 def _text_batch(page_id: pa.Array, url: pa.Array, texts: list[str]) -> pa.RecordBatch:
@@ -303,10 +316,11 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _text_batch(batch.column(0), batch.column(1), texts)
 
 
-def template_subtrees(subtrees: DataFrame, urls: DataFrame, pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """``(host, hash)`` of the subtrees that recur on many pages of their host."""
-    sizes = urls.mapInArrow(_host_rows, "host string").groupBy("host").agg(F.count("*").alias("n_pages"))
-    counts = subtrees.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
+def template_subtrees(subtrees: DataFrame, pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+    """``(host, hash)`` of the subtrees that recur on many pages of their host. Pages of one
+    content, as copies are, count as one page."""
+    sizes = subtrees.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
+    counts = subtrees.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= pages)
     return counts.join(cut_lineage(sizes, "hosts"), "host").where(F.col("n") > F.col("n_pages") * share).select("host", "hash")
 
 
@@ -315,9 +329,9 @@ def main_texts(pages: DataFrame, template_pages: int = TEMPLATE_PAGES, share: fl
     W.bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html", F.xxhash64("url", "html").alias("key"))
     subtrees = cut_lineage(
-        rows.select("page_id", "key", "url", "html").mapInArrow(_hash_rows, "id bigint, key bigint, host string, hash bigint"), "subtrees"
+        rows.select("page_id", "key", "url", "html").mapInArrow(_hash_rows, "id bigint, key bigint, host string, hash bigint, content bigint"), "subtrees"
     )
-    template = cut_lineage(template_subtrees(subtrees, rows.select("url"), template_pages, share), "template")
+    template = cut_lineage(template_subtrees(subtrees, template_pages, share), "template")
     found = cut_lineage(
         subtrees.join(template, ["host", "hash"]).groupBy("id", "key").agg(F.collect_set("hash").alias("template")), "page-templates"
     )

@@ -67,3 +67,15 @@ def test_edge_cases(spark):
         [(1, None, "x", 1), (2, "http://[bad", "", 0), (None, "u", "y", 1), (3, "u", "", 0), (3, "u", "", 0), (3, "u", "z", 1)], key=repr
     )
     assert H.main_texts(pages(spark, [])).collect() == []
+
+
+def test_copies_on_a_host_keep_their_text(spark):
+    """Copied pages, and pages that share one article, are no template of their host."""
+    copy = "<html><body><div><p>Same</p></div></body></html>"
+    shared = "<html><body><p>Top {}</p><div><article><p>One</p><p>Two</p></article></div></body></html>"
+    rows = [row(i, f"http://a.example/{i}", copy) for i in range(6)] + [row(10, "http://a.example/x", "<p>Other</p>")]
+    rows += [row(20 + i, f"http://b.example/{i}", shared.format(i)) for i in range(6)]
+    rows += [row(40 + i, None, copy) for i in range(5)]
+    got = {r.page_id: r.text for r in H.main_texts(pages(spark, rows)).collect()}
+    want = {i: "Same" for i in range(6)} | {10: "Other"} | {20 + i: "One\n\nTwo" for i in range(6)} | {40 + i: "Same" for i in range(5)}
+    assert got == want
