@@ -34,6 +34,11 @@ from rarespark.session import cut_lineage
 #: A subtree on at least so many pages of a host, and on over this share of them, is template.
 TEMPLATE_PAGES = 4
 TEMPLATE_SHARE = 0.5
+#: So is one on at least so many pages and on over a share of those that have an element at
+#: its position (tags and classes from the root), so that each layout of a host counts by
+#: itself. Inside the article the share is TEMPLATE_SHARE, so that its sentences stay.
+POSITION_PAGES = 20
+POSITION_SHARE = 0.2
 
 # Element, role and name lists of HTML and of common page layouts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -99,9 +104,10 @@ def is_boilerplate(tag: str, attrs: dict, in_article: bool) -> bool:
 
 
 class _Element:
-    __slots__ = ("tag", "start", "parts", "dropped", "article", "main", "has_text", "holds")
+    __slots__ = ("tag", "start", "parts", "dropped", "article", "main", "has_text", "holds", "position")
 
-    def __init__(self, tag, start, dropped, article, main):
+    def __init__(self, tag, start, dropped, article, main, position=0):
+        self.position = position
         self.tag, self.start, self.dropped, self.article, self.main = tag, start, dropped, article, main
         self.parts: list[bytes] = []
         self.has_text = False
@@ -110,13 +116,13 @@ class _Element:
 
 class Page(HTMLParser):
     """Reads a page once. ``template`` are the subtree hashes to delete; ``hashes`` holds
-    the hashes of the kept block elements that have text. The page itself, its article and
+    the hashes of the kept block elements that have text, with their first position. The page itself, its article and
     what holds the article are no template."""
 
     def __init__(self, template: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.template = template
-        self.hashes: set[int] = set()
+        self.hashes: dict[int, int] = {}
         self.out: list[str | None] = []
         self.stack = [_Element("", 0, False, False, False)]
         self.kept: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
@@ -137,7 +143,10 @@ class Page(HTMLParser):
         article = tag == "article" or role == "article" or "articlebody" in (attrs.get("itemprop") or "").lower()
         main = tag == "main" or role == "main"
         dropped = top.dropped or is_boilerplate(tag, attrs, top.article or top.main)
-        self.stack.append(_Element(tag, len(self.out), dropped, top.article or article, top.main or main))
+        path = f"{top.position} {tag} {' '.join(sorted((attrs.get('class') or '').lower().split()))}"
+        # The lowest bit of a position tells whether it is inside the article.
+        position = xxhash.xxh64(path.encode("utf-8", "replace")).intdigest() & ~1 | (top.article or top.main)
+        self.stack.append(_Element(tag, len(self.out), dropped, top.article or article, top.main or main, position))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -182,7 +191,7 @@ class Page(HTMLParser):
             parent.has_text |= element.has_text
             parent.holds |= element.holds or article or main
             if block and element.has_text and not whole:
-                self.hashes.add(digest)
+                self.hashes.setdefault(digest, element.position)
             for name, own in (("article", article), ("main", main)):
                 if own:
                     self.kept[name].append((element.start, len(self.out)))
@@ -236,8 +245,8 @@ def _complete(html: str) -> str:
     return html
 
 
-def subtree_hashes(html: str) -> tuple[set[int], int]:
-    """Hashes of a page's subtrees, and the digest of its content."""
+def subtree_hashes(html: str) -> tuple[dict[int, int], int]:
+    """Hashes of a page's subtrees with their positions, and the digest of its content."""
     page = Page()
     page.feed(_complete(html))
     page.text()
@@ -259,21 +268,22 @@ def host(url: str | None) -> str:
 
 def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, hosts, found, contents = [], [], [], []
+        at, hosts, found, places, contents = [], [], [], [], []
         for k, (url, html) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
             hashes, content = subtree_hashes(html.as_py() or "")
-            hashes = hashes or {content}  # a page without subtrees counts as a page
+            hashes = hashes or {content: 0}  # a page without subtrees counts as a page
             at.extend([k] * len(hashes))
             hosts.extend([host(url.as_py())] * len(hashes))
             found.extend(hashes)
+            places.extend(hashes.values())
             contents.extend([content] * len(hashes))
         at = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(at), batch.column(1).take(at), pa.array(hosts, pa.string()),
-                W.signed(np.array(found, np.uint64)), W.signed(np.array(contents, np.uint64)),
+                W.signed(np.array(found, np.uint64)), W.signed(np.array(places, np.uint64)), W.signed(np.array(contents, np.uint64)),
             ],
-            ["id", "key", "host", "hash", "content"],
+            ["id", "key", "host", "hash", "position", "content"],
         )
 
 
@@ -321,7 +331,14 @@ def template_subtrees(subtrees: DataFrame, pages: int = TEMPLATE_PAGES, share: f
     content, as copies are, count as one page."""
     sizes = subtrees.groupBy("host").agg(F.count_distinct("content").alias("n_pages"))
     counts = subtrees.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= pages)
-    return counts.join(cut_lineage(sizes, "hosts"), "host").where(F.col("n") > F.col("n_pages") * share).select("host", "hash")
+    wide = counts.join(cut_lineage(sizes, "hosts"), "host").where(F.col("n") > F.col("n_pages") * share).select("host", "hash")
+    many = F.col("n") >= POSITION_PAGES
+    places = subtrees.groupBy("host", "position").agg(F.count_distinct("content").alias("n")).where(many)
+    blocks = subtrees.groupBy("host", "position", "hash").agg(F.count_distinct("content").alias("n")).where(many)
+    inside = F.col("position").bitwiseAND(F.lit(1)) == 1
+    part = F.when(inside, F.lit(share)).otherwise(F.lit(min(share, POSITION_SHARE)))
+    sections = blocks.join(places.withColumnRenamed("n", "n_pages"), ["host", "position"]).where(F.col("n") > F.col("n_pages") * part)
+    return wide.unionByName(sections.select("host", "hash")).distinct()
 
 
 def main_texts(pages: DataFrame, template_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
@@ -329,7 +346,7 @@ def main_texts(pages: DataFrame, template_pages: int = TEMPLATE_PAGES, share: fl
     W.bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html", F.xxhash64("url", "html").alias("key"))
     subtrees = cut_lineage(
-        rows.select("page_id", "key", "url", "html").mapInArrow(_hash_rows, "id bigint, key bigint, host string, hash bigint, content bigint"), "subtrees"
+        rows.select("page_id", "key", "url", "html").mapInArrow(_hash_rows, "id bigint, key bigint, host string, hash bigint, position bigint, content bigint"), "subtrees"
     )
     template = cut_lineage(template_subtrees(subtrees, template_pages, share), "template")
     found = cut_lineage(

@@ -79,3 +79,18 @@ def test_copies_on_a_host_keep_their_text(spark):
     got = {r.page_id: r.text for r in H.main_texts(pages(spark, rows)).collect()}
     want = {i: "Same" for i in range(6)} | {10: "Other"} | {20 + i: "One\n\nTwo" for i in range(6)} | {40 + i: "Same" for i in range(5)}
     assert got == want
+
+
+def test_each_layout_of_a_host_counts(spark):
+    """Three layouts on a third of the pages each: their blocks go, sentences of articles stay."""
+    rows = []
+    for i in range(150):
+        box = f"<div class=x{i % 3}><p>Block {i % 3}</p></div>"
+        said = "<p>Often said</p>" if i % 3 == 0 else ""
+        body = f"<p>Text {i}</p>{said}"
+        rows.append(row(i, f"http://a.example/{i}", f"<article>{body}{box}</article>" if i % 2 else f"<div>{box}<section><p>Text {i}</p></section></div>"))
+    rows += [row(1000 + i, f"http://b.example/{i}", f"<div><p class=z>Block {i % 3}</p><section><p>Text {i}</p></section></div>") for i in range(75)]
+    got = {r.page_id: r.text for r in H.main_texts(pages(spark, rows)).collect()}
+    assert all(got[1000 + i] == f"Text {i}" for i in range(75))
+    assert all(f"Block {i % 3}" not in got[i] for i in range(150))
+    assert all(got[i] == (f"Text {i}\n\nOften said" if i % 2 and i % 3 == 0 else f"Text {i}") for i in range(150))
