@@ -87,6 +87,25 @@ KNOWN_TEXTS = [
     ("BSD-3-Clause", BSD_HEAD + BSD_THIRD + BSD_TAIL),
     ("0BSD", ZERO_BSD),
 ]
+# SHA-256 of the canonical form of longer licences, whose texts are not held here.
+KNOWN_DIGESTS = [
+    ("Apache-2.0", "4a1a663a4efcefc0364f800b0bc81b8311834875d59e3e1ed84e6b02a6e31382"),
+    ("Apache-2.0", "925c8f6d9819c574ae4c7535292f664ea2a1b96ce90f8053ecca5a2b1af0f46c"),
+    ("Artistic-1.0-Perl", "d397409846a7661a252bdab7aca93c4612ba2cb1e772c1998944845269fe83f9"),
+    ("CC-BY-SA-4.0", "54f899de20b9f23fc967c93e3930a3765ac1a0fb1d6b84746989a4378263f702"),
+    ("CC0-1.0", "97098b9d4d582064b16255ff38f4b45a41ecce484eb98a46cdb15423d6de9f85"),
+    ("GFDL-1.2", "50516456b02d21f3eddc795284661170883e70f6d17ae784f9179cae739d38b7"),
+    ("GFDL-1.3", "5088e9395e3dcb3233d7f0bb02cbbb2fbe4a5065ec192be935776131bb442272"),
+    ("GPL-1.0", "dc4ab9dc141a33fdf0133134066fa6cddef1e5a0fb4b6d41c3c0d9fa2e388cd7"),
+    ("GPL-2.0", "39786d77d59c9dcee9f793a165fe6882769aac80c3eed377b53bab5a98f64160"),
+    ("GPL-3.0", "6284a3a71cb0d08b9d8e4153de7150d4397b5e0ea12cd9ab5ebb8956cd9c77c0"),
+    ("LGPL-2.0", "50a7bea776fc56f5fceaa3ffb6b508fb11a181a9036a85d1267979f5ae7a9ddd"),
+    ("LGPL-2.1", "708fb2d2c8a288a5e4f6fc45d31a8a243db8c27391fbd5af84e6bde59e9d99fa"),
+    ("LGPL-3.0", "9111884d93a72b30a3d024876dab3d755949ac2cfab230268a4169a93b86560c"),
+    ("MPL-1.1", "b7d84d01c490426450a25a5574202d0f29938da7cc154ed71d4a82e1144e7079"),
+    ("MPL-2.0", "432d99d886fc485f7207957350103a31e64bcfa23f6674f66f21946d400c0f72"),
+    ("Unlicense", "4ae7848544d20cbba7a0aa7b97c639923ad45dcf84514ca0d1afb78ae3d66c3e"),
+]
 # One-line notices.
 KNOWN_NOTICES = [
     ("MIT", "Released under the MIT License."),
@@ -99,6 +118,30 @@ KNOWN_NOTICES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("0BSD", "SPDX-License-Identifier: 0BSD"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("Artistic-2.0", "SPDX-License-Identifier: Artistic-2.0"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("GFDL-1.3", "SPDX-License-Identifier: GFDL-1.3-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("MPL-1.1", "SPDX-License-Identifier: MPL-1.1"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("Zlib", "SPDX-License-Identifier: Zlib"),
 ]
 
 
@@ -134,6 +177,8 @@ def license_report(docs: DataFrame, texts=None, notices=None, id_col: str = "doc
     is, and those that its lines name, in order and separated by commas (else null)."""
     spark = docs.sparkSession
     known = known_table(spark, texts or KNOWN_TEXTS)
+    if not texts:
+        known = known.unionByName(spark.createDataFrame(KNOWN_DIGESTS, "license_id string, digest string"))
     lines = known_table(spark, notices or KNOWN_NOTICES).select(F.struct("digest", "license_id").alias("n"))
     # A short fixed list: as a map it is looked up line by line without a join.
     names = {r["n"]["digest"]: r["n"]["license_id"] for r in lines.collect()}

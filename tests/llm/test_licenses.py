@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
 
 from llm_cases import edge_rows
 
@@ -38,3 +39,15 @@ def test_edge_cases(edge, empty):
     blank = hashlib.sha256(b"").hexdigest()
     assert sorted(r.doc_id for r in got if r.digest == blank and r.doc_id) == [2, 3, 4]
     assert L.license_report(empty).collect() == []
+
+
+def test_longer_licences_and_identifiers(spark):
+    path = "/usr/share/common-licenses/"
+    names = [("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")]
+    if all(Path(path + file).exists() for _, file in names):
+        got = report(spark, [Path(path + file).read_text() for _, file in names])
+        assert [got[i].license_id for i in range(len(names))] == [name for name, _ in names]
+    digests = [d for _, d in L.KNOWN_DIGESTS]
+    assert len(set(digests)) == len(digests)
+    got = report(spark, ["// SPDX-License-Identifier: GPL-2.0-or-later", "# SPDX-License-Identifier: MPL-2.0"])
+    assert [got[i].notices for i in range(2)] == ["GPL-2.0", "MPL-2.0"]
