@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, licenses, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc
+from rarespark.llm import decontaminate, html_main, licenses, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,3 +120,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_license_digest_lookup", licenses.report_sql())
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_report(table(spark, sf, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf, "embeddings"))
