@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, licenses, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc, whitening
+from rarespark.llm import decontaminate, html_main, licenses, line_dedup, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,18 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_embedding_whitening")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitening_report(table(spark, sf, "embeddings"))
+
+
+@query(
+    "op12_line_dedup",
+    """with g as (select doc_id, unnest(l) as line, unnest(range(1, len(l) + 1)) as p
+      from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)),
+    k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from g),
+    common as (select key from k where key <> '' group by key having count(distinct doc_id) >= 10)
+    select doc_id, cast(count(*) as bigint) as n_lines, cast(count(common.key) as bigint) as n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by p) filter (where common.key is null), '')) as kept_sha256
+    from k left join common on k.key = common.key group by doc_id""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf, "documents"))
