@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarespark.llm import decontaminate, html_main, licenses, line_dedup, packing, simhash_dedup, substring_dedup, token_histogram, toxicity, version_sketch, warc, whitening
+from rarespark.llm import decontaminate, html_main, licenses, line_dedup, packing, simhash_dedup, substring_dedup, token_alignment, token_histogram, toxicity, version_sketch, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,3 +140,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf, "documents"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf, "documents"))

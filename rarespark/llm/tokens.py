@@ -21,7 +21,7 @@ PUNCTUATION = b".,;:!?*$%&#|"
 PLAIN_LETTERS = "ɐ"
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable stand-ins of a byte-level vocabulary: visible bytes stand for
     themselves, the others for the code points from 256 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -39,7 +39,7 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.stems: dict[bytes, bytes] = {}
 
     def _stem(self, stem: bytes) -> bytes:
