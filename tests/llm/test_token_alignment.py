@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -107,19 +109,34 @@ def random_text(rng):
     return "".join(rng.choice(pool) for _ in range(rng.choice([1, 5, 30, 200])))
 
 
-def test_words_give_the_tokenizers_ids(plain):
+def test_ids_are_the_tokenizers(plain):
     rng = random.Random(4)
     encode = ta.codes().encode
     for text in TEXTS + [random_text(rng) for _ in range(400)]:
-        got = [(np.frombuffer(x, "<u4") & 0xFFFF).tolist() for x in encode(text)]
+        got = [(x & 0xFFFF).tolist() for x in encode(text)]
         assert got == [[i for i, _ in side] for side in plain(text)], text
 
 
-def test_forgetting_words_changes_nothing(plain, monkeypatch):
-    monkeypatch.setattr(ta, "KEPT_WORDS", 2)
-    encode = ta.Codes(ta.codes().sides).encode
-    text = "one two three one four two one"
-    assert [(np.frombuffer(x, "<u4") & 0xFFFF).tolist() for x in encode(text)] == [[i for i, _ in s] for s in plain(text)]
+def test_every_code_point(plain):
+    """The faster encoder cuts and merges as the vocabulary's own library does."""
+    fast = ta.codes().sides[0]
+    slow = Tokenizer.from_file(vocabulary(ta.BYTE_VOCABULARY))
+    slow.encode_special_tokens = True
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(points), 500):
+        text = "".join(f"x{c}y {c} 1{c}{c}2'{c}s\n{c} .{c} " for c in points[at : at + 500])
+        assert fast.encode(text) == slow.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_other_vocabularies_go_through_their_library(tmp_path):
+    spec = json.loads(Path(vocabulary(ta.BYTE_VOCABULARY)).read_text())
+    spec["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    path = tmp_path / "v.json"
+    path.write_text(json.dumps(spec))
+    other = Tokenizer.from_file(str(path))
+    text = "one two, three"
+    found = ta.ByteTokens(str(path)).encode(text)
+    assert found == other.encode(" " + text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("piece", [1, 2, 3, 7, 128])
