@@ -7,19 +7,21 @@ bin closed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rarespark.operators import metrics
+from rarespark.operators.isotonic import isotonic_apply, isotonic_fit
 from rarespark.session import cut_lineage
 
 # Fixed value: calibrate above this error.
 MAX_ECE = 0.05
-MAX_KNOTS = 2_000_000
+NEWTON_STEPS = 60
 
 
 def _upper_bin(p: Column, n: int) -> Column:
@@ -64,62 +66,106 @@ def score_histogram(
     )
 
 
-def isotonic_fit(scored: DataFrame, score: str = "proba", most: int = MAX_KNOTS) -> IsotonicRegressionModel:
-    """Monotone step map from score to positive share; rows are pooled by score first.
-
-    Spark's fit brings the pooled steps to the driver. More than ``most`` distinct scores
-    are an error: round the scores first.
-    """
-    knots = cut_lineage(
-        scored.groupBy(F.col(score).alias("_x")).agg(F.avg("y").alias("_y"), F.count("*").cast("double").alias("_w")),
-        "knots",
+@dataclass(frozen=True)
+class PlattMap:
+    """Logistic map of a score."""
+
+    slope: float
+    intercept: float
+
+
+def _newton_sums(pooled: DataFrame, maps: dict[tuple, PlattMap], by: Sequence[str]) -> dict[tuple, tuple]:
+    """Per group loss, gradient and curvature in one aggregate; the groups' maps are a table
+    of a row each."""
+    spark = pooled.sparkSession
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in pooled.schema.fields if f.name in by]
+    table = spark.createDataFrame([(*k, m.slope, m.intercept) for k, m in maps.items()], ", ".join([*kinds, "_a double", "_b double"]))
+    same = [pooled[c].eqNullSafe(table[c]) for c in by]
+    rows = pooled.join(F.broadcast(table), same, "inner") if by else pooled.crossJoin(F.broadcast(table))
+    margin = F.col("_a") * F.col("_x") + F.col("_b")
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    gap, bend = (p - F.col("_t")) * F.col("_n"), p * (1 - p) * F.col("_n")
+    loss = F.greatest(margin, F.lit(0.0)) - margin * F.col("_t") + F.log1p(F.exp(-F.abs(margin)))
+    x = F.col("_x")
+    sums = rows.groupBy(*[pooled[c] for c in by]).agg(
+        *[F.sum(v).alias(f"_s{i}") for i, v in enumerate((loss * F.col("_n"), gap * x, gap, bend * x * x, bend * x, bend))]
     )
-    found = knots.count()
-    if found > most:
-        raise ValueError(f"{found} distinct scores; an isotonic map takes {most} at most, so round them first")
-    return IsotonicRegression(
-        featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_p"
-    ).fit(knots)
-
+    return {tuple(r[c] for c in by): tuple(r[f"_s{i}"] for i in range(6)) for r in sums.collect()}
 
-def isotonic_apply(scored: DataFrame, model: IsotonicRegressionModel, score: str = "proba", out: str = "calibrated") -> DataFrame:
-    """Linear between the knots, constant beyond them."""
-    named = scored.withColumn("_x", F.col(score))
-    return model.transform(named).withColumnRenamed("_p", out).drop("_x")
 
+def platt_maps(
+    scored: DataFrame, score: str = "proba", by: Sequence[str] = (), steps: int = NEWTON_STEPS, tol: float = 1e-12
+) -> dict[tuple, PlattMap]:
+    """Logistic maps of the score with Platt's smoothed targets, one per group ``by``.
 
-def platt_fit(scored: DataFrame, score: str = "proba", iterations: int = 100):
-    """Logistic map of the score with Platt's smoothed targets.
-
-    A smoothed target t is a row of class 1 with weight t and one of class 0 with 1 - t.
-    Rows are pooled by score and class first.
+    Rows are pooled by score and class once. Each of Newton's steps is one aggregate for all
+    groups; the driver solves for two numbers a group, until the gradient is ``tol`` of the
+    rows. A step that does not lower the loss is halved. Scores that are all alike get the
+    slope 0. Groups are few: folds and models.
     """
-    n_pos, n_neg = (
-        scored.agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).first()[i] or 0 for i in (0, 1)
-    )
-    high, low = (n_pos + 1.0) / (n_pos + 2.0), 1.0 / (n_neg + 2.0)
-    pooled = scored.groupBy(F.col(score).alias("_x"), "y").agg(F.count("*").alias("_n"))
-    target = F.when(F.col("y") == 1, F.lit(high)).otherwise(F.lit(low))
-    rows = pooled.select(
-        "_x",
-        F.explode(
-            F.array(
-                F.struct(F.lit(1.0).alias("_y"), (target * F.col("_n")).alias("_w")),
-                F.struct(F.lit(0.0).alias("_y"), ((1.0 - target) * F.col("_n")).alias("_w")),
-            )
-        ).alias("_t"),
-    ).select("_x", "_t.*")
-    data = VectorAssembler(inputCols=["_x"], outputCol="_f").transform(rows)
-    return LogisticRegression(
-        featuresCol="_f", labelCol="_y", weightCol="_w", regParam=0.0, maxIter=iterations, tol=1e-10
-    ).fit(data)
-
-
-def platt_apply(scored: DataFrame, model, score: str = "proba", out: str = "calibrated") -> DataFrame:
-    margin = F.lit(float(model.coefficients[0])) * F.col(score) + F.lit(float(model.intercept))
+    by = list(by)
+    rows = scored.where(F.col(score).isNotNull() & F.col("y").isNotNull())
+    pooled = rows.groupBy(*by, F.col(score).cast("double").alias("_x"), "y").agg(F.count("*").alias("_n"))
+    pooled = cut_lineage(pooled, "platt")
+    sizes = {
+        tuple(r[c] for c in by): (r["_p"], r["_q"])
+        for r in pooled.groupBy(*by).agg(F.sum(F.col("y") * F.col("_n")).alias("_p"), F.sum((1 - F.col("y")) * F.col("_n")).alias("_q")).collect()
+        if r["_p"] is not None
+    }
+    if sizes:  # the targets need the group's class counts: a table of a row per group
+        kinds = [f"{f.name} {f.dataType.simpleString()}" for f in pooled.schema.fields if f.name in by]
+        table = [(*k, (p + 1.0) / (p + 2.0), 1.0 / (q + 2.0)) for k, (p, q) in sizes.items()]
+        targets = F.broadcast(scored.sparkSession.createDataFrame(table, ", ".join([*kinds, "_hi double", "_lo double"])))
+        joined = pooled.join(targets, [pooled[c].eqNullSafe(targets[c]) for c in by], "inner") if by else pooled.crossJoin(targets)
+        pooled = joined.select(*[pooled[c] for c in by], "_x", "_n", F.when(F.col("y") == 1, F.col("_hi")).otherwise(F.col("_lo")).alias("_t"))
+    maps = {k: PlattMap(0.0, math.log((p + 1.0) / (q + 1.0))) for k, (p, q) in sizes.items()}
+    done: dict[tuple, PlattMap] = {}
+    moves: dict[tuple, tuple] = {}
+    for _ in range(steps):
+        if not maps:
+            break
+        for key, (loss, ga, gb, haa, hab, hbb) in _newton_sums(pooled, maps, by).items():
+            here, last = maps[key], moves.get(key)
+            n = sum(sizes[key])
+            if last is not None and not loss <= last[1] + 1e-13 * abs(last[1]):
+                start, before, (da, db), share = last
+                share /= 2
+                moves[key] = (start, before, (da, db), share)
+                maps[key] = PlattMap(start.slope + share * da, start.intercept + share * db)
+                continue
+            move = np.linalg.lstsq(np.array([[haa, hab], [hab, hbb]]), -np.array([ga, gb]), rcond=1e-14)[0]
+            moved = PlattMap(here.slope + float(move[0]), here.intercept + float(move[1]))
+            if max(abs(ga), abs(gb)) <= tol * n or moved == here:
+                maps.pop(key)
+                done[key] = moved  # the last step is down to rounding
+                continue
+            moves[key] = (here, loss, tuple(move), 1.0)
+            maps[key] = moved
+    return done | maps
+
+
+def platt_fit(scored: DataFrame, score: str = "proba") -> PlattMap:
+    """Platt's map of all rows; no rows give a map to one half."""
+    return platt_maps(scored, score).get((), PlattMap(0.0, 0.0))
+
+
+def platt_apply(scored: DataFrame, model: PlattMap, score: str = "proba", out: str = "calibrated") -> DataFrame:
+    margin = F.lit(model.slope) * F.col(score) + F.lit(model.intercept)
     return scored.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
 
+def platt_apply_maps(
+    scored: DataFrame, maps: dict[tuple, PlattMap], by: Sequence[str], score: str = "proba", out: str = "calibrated"
+) -> DataFrame:
+    """Each row through its group's map."""
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in scored.schema.fields if f.name in by]
+    rows = [(*k, m.slope, m.intercept) for k, m in maps.items()]
+    table = F.broadcast(scored.sparkSession.createDataFrame(rows, ", ".join([*kinds, "_a double", "_b double"])))
+    joined = scored.join(table, [scored[c].eqNullSafe(table[c]) for c in by], "left")
+    value = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("_a") * scored[score] + F.col("_b"))))
+    return joined.select(*[scored[c] for c in scored.columns], value.alias(out))
+
+
 Apply = Callable[[DataFrame], DataFrame]
 
 
@@ -153,6 +199,33 @@ def method_for(model: str, linear: Sequence[str] = LINEAR) -> str:
     return "sigmoid" if model in linear else "isotonic"
 
 
+def calibrate_across_folds(
+    rated: DataFrame,
+    method: str,
+    fold_col: str = "fold",
+    id_col: str = "row_id",
+    score: str = "proba",
+    tune_col: str = "is_tune",
+    on_margin: bool | None = None,
+) -> DataFrame:
+    """Average over folds of each row's calibrated score: ``(id, y, calibrated)``.
+
+    ``rated`` has a row per fold and row scored by the model that was fitted off the fold:
+    the fold's own rows, marked by ``tune_col``, and the rows to evaluate. The maps of all
+    folds are fitted together. The sigmoid takes log-odds unless ``on_margin`` is false.
+    """
+    if method not in ("sigmoid", "isotonic"):
+        raise ValueError(f"unknown method {method!r}")
+    margin = method == "sigmoid" if on_margin is None else on_margin
+    rows = rated.withColumn("_score", log_odds(F.col(score)) if margin else F.col(score))
+    tune, rest = rows.where(F.col(tune_col)), rows.where(~F.col(tune_col))
+    if method == "isotonic":
+        done = isotonic_apply(rest, isotonic_fit(tune, "_score", [fold_col]), "_score")
+    else:
+        done = platt_apply_maps(rest, platt_maps(tune, "_score", [fold_col]), [fold_col], "_score")
+    return done.groupBy(id_col, "y").agg(F.avg("calibrated").alias("calibrated"))
+
+
 def cv_calibration(
     train: DataFrame,
     evaluate: DataFrame,
@@ -164,27 +237,21 @@ def cv_calibration(
     score: str = "proba",
     on_margin: bool | None = None,
 ) -> DataFrame:
-    """Average of ``k`` calibrated models: fit off the fold, calibrate on the fold.
+    """``calibrate_across_folds`` for a model that is fitted fold by fold.
 
     ``fit_and_score(fit_rows, rows)`` returns ``rows`` with a score; one call per fold
-    scores the fold and the rows to evaluate together. The sigmoid takes log-odds unless
-    ``on_margin`` is false.
+    scores the fold and the rows to evaluate together.
     """
-    margin = method == "sigmoid" if on_margin is None else on_margin
     parts = []
     for i in range(k):
         fit_rows = train.where(F.col(fold_col) != i)
-        fold_rows = train.where(F.col(fold_col) == i).drop(fold_col)
-        both = fold_rows.withColumn("_tune", F.lit(True)).unionByName(
-            evaluate.drop(fold_col).withColumn("_tune", F.lit(False))
+        both = train.where(F.col(fold_col) == i).drop(fold_col).withColumn("is_tune", F.lit(True)).unionByName(
+            evaluate.drop(fold_col).withColumn("is_tune", F.lit(False))
         )
-        rated = fit_and_score(fit_rows, both).select(id_col, "y", "_tune", score)
-        apply = calibrator(rated.where("_tune"), method, score, margin)
-        parts.append(apply(rated.where("not _tune")).select(id_col, "y", "calibrated"))
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table.groupBy(id_col, "y").agg(F.avg("calibrated").alias("calibrated"))
+        rated = fit_and_score(fit_rows, both).select(id_col, "y", "is_tune", score)
+        parts.append(rated.withColumn(fold_col, F.lit(i)))
+    table = cut_lineage(reduce(DataFrame.unionByName, parts), "rated")
+    return calibrate_across_folds(table, method, fold_col, id_col, score, "is_tune", on_margin)
 
 
 def calibrate_if_needed(

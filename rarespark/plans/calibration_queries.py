@@ -43,11 +43,22 @@ lows as (select ka, x.k k, min(v) m from v join knots x on v.ka <= x.k and v.kb
 iso as (select k, max(m) fit from lows group by k)"""
 
 
-@query("isotonic_fit", f"""with {SCORED}, {ISO.format(src='scored')} select row_id, s.k, round(fit, 6) calibrated
-from scored s join iso i on s.k = i.k""")
+# Isotonic fit on any number of scores: slopes of the greatest convex minorant of the summed
+# labels, one vertex a step.
+MINORANT = """kn as (select {x} as x, sum(y)::double s, count(*)::double n from {src} group by 1),
+cum as (select row_number() over (order by x) k, x, sum(s) over (order by x) cs, sum(n) over (order by x) cn from kn),
+hull as (select 0::bigint k, 0.0::double cs, 0.0::double cn, 0.0::double fit union all
+select v.k, v.cs, v.cn, v.fit from (select arg_min(struct_pack(k := c.k, cs := c.cs, cn := c.cn, fit := (c.cs - h.cs)/(c.cn - h.cn)),
+ ((c.cs - h.cs)/(c.cn - h.cn), -c.k)) v from hull h join cum c on c.k > h.k group by h.k)),
+fitted as (select c.x, b.fit from cum c asof join (select * from hull where k > 0) b on c.k <= b.k)"""
+
+
+@query("isotonic_fit", f"""with recursive {SCORED}, {MINORANT.format(x='p_a', src='scored')}
+select row_id, p_a, round(fit, 6) calibrated from scored s join fitted f on s.p_a = f.x""")
 def isotonic_fit(spark, sf):
-    rows = scored(spark, sf).withColumn("proba", F.col("k").cast("double"))
-    return calibration.isotonic_apply(rows, calibration.isotonic_fit(rows)).select("row_id", "k", r6("calibrated"))
+    rows = scored(spark, sf)
+    found = calibration.isotonic_apply(rows, calibration.isotonic_fit(rows, "p_a"), "p_a")
+    return found.select("row_id", "p_a", r6("calibrated"))
 
 
 @query("recalibrated_threshold", f"""with {SCORED}, tr as (select * from scored where row_id % 5 <> 0),
@@ -118,7 +129,7 @@ ab as (select a, b from newton where it = 40)"""
 
 def _platt_sql(model: str) -> str:
     return f"""(with recursive src as (select * from scored_long where model = '{model}'), {PLATT.format(src='src')}
-select model, row_id, proba, round(1/(1 + exp(-(a*proba + b))), 4) calibrated from src, ab)"""
+select model, row_id, proba, round(1/(1 + exp(-(a*proba + b))), 8) calibrated from src, ab)"""
 
 
 @query("platt_fit", f"with {SCORED_LONG} select * from {_platt_sql('A')} union all select * from {_platt_sql('B')}")
@@ -128,7 +139,7 @@ def platt_fit(spark, sf):
     for model in ("A", "B"):
         own = rows.where(F.col("model") == model)
         out = calibration.calibrator(own, "sigmoid")(own)
-        parts.append(out.select("model", "row_id", "proba", F.round("calibrated", 4).alias("calibrated")))
+        parts.append(out.select("model", "row_id", "proba", F.round("calibrated", 8).alias("calibrated")))
     return parts[0].unionByName(parts[1])
 
 

@@ -188,7 +188,7 @@ def cv_calibration(spark, sf):
 
     def fit_and_score(fit_rows, both):
         model = training.fit_elastic_net(fit_rows, FEATURES, 0.1, 0.5, 100)
-        return cut_lineage(training.positive_score(model.transform(both)).select("row_id", "y", "_tune", "proba"), "cal")
+        return cut_lineage(training.positive_score(model.transform(both)).select("row_id", "y", "is_tune", "proba"), "cal")
 
     train, test = rows.where("row_id % 5 <> 0"), rows.where("row_id % 5 = 0")
     return calibration.cv_calibration(train, test, fit_and_score, "sigmoid", k=3)
