@@ -26,6 +26,8 @@ from rarespark.session import cut_lineage
 
 CAPACITY = 2048
 CLOSING_ID = b"\0\0\0\0"
+#: Pieces of one length are ranked in buckets, one for so many rows of the table.
+BUCKET_ROWS = 1_000_000
 BUCKETS = 64
 
 
@@ -103,9 +105,9 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> lis
     return placements
 
 
-def _pieces(path: str, capacity: int):
+def _pieces(path: str | None, capacity: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.word_ids(path).encode
+        encode = tokens.word_ids(path or tokens.vocabulary()).encode  # found where the task runs
         for batch in batches:
             data, bounds = W.utf8_buffer(batch.column(1))
             row, piece, start, length, crc = [], [], [], [], []
@@ -137,18 +139,18 @@ def token_pieces(
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``: the pieces of each document's ids."""
     W.bounded_batches(docs.sparkSession)
-    path = vocabulary or tokens.vocabulary()
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _pieces(path, capacity), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+        _pieces(vocabulary, capacity), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     )
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
+    rows = cut_lineage(pieces, "pieces")
     # The buckets only split the work; equal rows may swap places, which changes nothing.
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS))
-    rows = cut_lineage(pieces.withColumn("bucket", bucket), "pieces")
+    buckets = max(BUCKETS, -(-rows.count() // BUCKET_ROWS))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     sizes = cut_lineage(rows.groupBy("length", "bucket").agg(F.count("*").alias("n")), "sizes")
     # The driver gets one row per length, at most ``capacity`` of them.
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -156,8 +158,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     place_table = spark.createDataFrame(
         placements, "size bigint, first_rank bigint, end_rank bigint, first_bin bigint, per_bin bigint, base bigint"
     )
-    buckets = Window.partitionBy("length").orderBy("bucket")
-    before = sizes.select("length", "bucket", (F.sum("n").over(buckets) - F.col("n")).alias("before"))
+    along = Window.partitionBy("length").orderBy("bucket")
+    before = sizes.select("length", "bucket", (F.sum("n").over(along) - F.col("n")).alias("before"))
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = rows.withColumn("in_bucket", F.row_number().over(order) - 1).join(before, ["length", "bucket"])
     ranked = ranked.withColumn("rank", F.col("in_bucket") + F.col("before"))

@@ -21,9 +21,9 @@ from rarespark.session import cut_lineage
 BUCKET = 256
 
 
-def _lengths(path: str):
+def _lengths(path: str | None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.word_ids(path).encode
+        encode = tokens.word_ids(path or tokens.vocabulary()).encode  # found where the task runs
         for batch in batches:
             data, bounds = W.utf8_buffer(batch.column(1))
             sizes = [len(encode(data[a:b].tobytes())) // 4 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
@@ -35,9 +35,8 @@ def _lengths(path: str):
 def token_lengths(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, tokens)`` per row."""
     W.bounded_batches(docs.sparkSession)
-    path = vocabulary or tokens.vocabulary()
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _lengths(path), "doc_id bigint, tokens bigint"
+        _lengths(vocabulary), "doc_id bigint, tokens bigint"
     )
 
 

@@ -29,6 +29,12 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def _stays_a_letter(char: str) -> bool:
+    """Whether a letter or digit is one still where the tokenizer cuts: normalised and in
+    lower case. Some letters become a letter and a mark, which belongs to what follows."""
+    return char.isalnum() and unicodedata.normalize("NFC", char) == char and char.lower().isalnum()
+
+
 class WordIds(dict):
     """Little-endian 32-bit ids by word, for a vocabulary whose words stand alone."""
 
@@ -61,7 +67,7 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(PUNCTUATION)
         tail = word[len(stem) :]
-        if tail and not (stem and stem.decode("utf-8")[-1].isalnum()):
+        if tail and not (stem and _stays_a_letter(stem.decode("utf-8")[-1])):
             stem, tail = word, b""
         ids = self._stem(stem.lower())
         if tail:

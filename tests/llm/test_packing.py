@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -34,6 +35,19 @@ def test_ids_are_the_tokenizers(encode):
         assert np.frombuffer(ids.encode(text.encode()), "<u4").tolist() == encode(text)
 
 
+def test_every_code_point():
+    """Each character before punctuation, behind a letter, and inside a word."""
+    tokenizer = Tokenizer.from_file(tokens.vocabulary())
+    ids = tokens.WordIds(tokens.vocabulary())
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF and not chr(c).isspace()]
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    for at in range(0, len(points), 100_000):
+        words = [w for c in points[at : at + 100_000] for w in (f"{c}.", f"a{c},", f"a{c}.b")]
+        want = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+        wrong = [w for w, x in zip(words, want, strict=True) if np.frombuffer(ids.encode(w.encode()), "<u4").tolist() != x]
+        assert wrong == []
+
+
 def test_forgetting_words_changes_nothing(encode, monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
     monkeypatch.setattr(tokens, "KEPT_STEMS", 2)
