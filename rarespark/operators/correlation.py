@@ -6,6 +6,8 @@ Only feature-by-feature results reach the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -18,6 +20,8 @@ from rarespark.session import cut_lineage
 HIGH_RHO = 0.9
 HIGH_VIF = 5.0
 CELLS_PER_BLOCK = 4_000_000
+#: Ranks of gap rows that one pass over the rows takes along, in bytes.
+SIDE_BYTES = 32 << 20
 
 
 def _rank_products(batches, columns: int, masks: list[int], means: dict[int, float]) -> Iterator:
@@ -65,19 +69,21 @@ def _rank_products(batches, columns: int, masks: list[int], means: dict[int, flo
         )
 
 
-def gap_patterns(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> list[str | None]:
-    """Per column, the first column with gaps in the same rows; None without gaps.
+def gap_marks(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> tuple[list[str | None], dict[str, int], int]:
+    """Per column, the first column with gaps in the same rows (None without gaps); the number
+    of gaps per column; the number of rows.
 
     Columns whose gap count and hash of gap rows agree are compared row by row.
     """
     missing = {c: F.col(c).isNull() for c in columns}
     marks = df.agg(
+        F.count("*").alias("_rows"),
         *[
             F.struct(
                 F.count(F.when(m, 1)).alias("n"), F.bit_xor(F.when(m, F.xxhash64(id_col))).alias("h")
             ).alias(c)
             for c, m in missing.items()
-        ]
+        ],
     ).first()
     first: dict[tuple, str] = {}
     twin = {c: first.setdefault(tuple(marks[c]), c) for c in columns if marks[c]["n"]}
@@ -87,7 +93,12 @@ def gap_patterns(df: DataFrame, columns: Sequence[str], id_col: str = "row_id")
             *[F.max((missing[c] != missing[twin[c]]).cast("int")).alias(c) for c in doubt]
         ).first()
         twin.update({c: c for c in doubt if differs[c]})
-    return [twin.get(c) for c in columns]
+    return [twin.get(c) for c in columns], {c: marks[c]["n"] for c in columns}, marks["_rows"]
+
+
+def gap_patterns(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> list[str | None]:
+    """Per column, the first column with gaps in the same rows; None without gaps."""
+    return gap_marks(df, columns, id_col)[0]
 
 
 def _value_ranks(long: DataFrame, wide: int) -> tuple[DataFrame, dict[int, float]]:
@@ -114,21 +125,10 @@ def _value_ranks(long: DataFrame, wide: int) -> tuple[DataFrame, dict[int, float
     return ranked, means
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> DataFrame:
-    """Rank correlation of every pair over the rows where both are present.
-
-    Ranks depend on the rows a partner leaves: the context of its gap pattern. Each value
-    is one row with the ranks of all contexts, so a table of n rows and p columns is
-    shuffled as n p rows whatever the number of patterns. Buckets follow each column's
-    own quantiles, so no column ends up in one task.
-    """
-    columns = list(columns)
-    p = len(columns)
-    patterns = gap_patterns(df, columns, id_col)
-    gappy = list(dict.fromkeys(t for t in patterns if t))
-    masks = [gappy.index(t) + 1 if t else 0 for t in patterns]
-    wide = len(gappy) + 1
-    values, marks = [f"_v{i}" for i in range(p)], [f"_b{i}" for i in range(p)]
+def _cells(df: DataFrame, columns: Sequence[str], gappy: Sequence[str], id_col: str) -> DataFrame:
+    """``(id, seen, i, value, bucket)`` of every present cell; ``seen`` tells the gap contexts.
+    Buckets follow each column's own quantiles, so no column ends up in one task."""
+    values, marks = ([f"{mark}{i}" for i in range(len(columns))] for mark in ("_v", "_b"))
     base = df.select(
         F.col(id_col).alias("id"),
         F.array(F.lit(True), *[F.col(c).isNotNull() for c in gappy]).alias("seen"),
@@ -143,11 +143,215 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id
         F.struct(F.lit(i).alias("i"), F.col(v).alias("value"), F.col(m).alias("bucket"))
         for i, (v, m) in enumerate(zip(values, marks, strict=True))
     ]
-    long = (
+    return (
         cut.select("id", "seen", F.explode(F.array(*cells)).alias("c"))
         .select("id", "seen", "c.i", "c.value", "c.bucket")
         .where("value is not null")
     )
+
+
+def rank_rows(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> DataFrame:
+    """``cells (i, rank)`` of each row: a column's average rank among all its present values.
+    Every cell is moved with one rank, whatever the gaps."""
+    long = _cells(df, columns, [], id_col)
+    ranks, _ = _value_ranks(long, 1)
+    ranked = join_on_values(long.select("id", "i", "value"), ranks, ["i", "value"])
+    cell = F.struct("i", F.get("ranks", F.lit(0)).alias("rank"))
+    return cut_lineage(ranked.groupBy("id").agg(F.collect_list(cell).alias("cells")).select("cells"), "ranks")
+
+
+@dataclass(frozen=True)
+class GapRanks:
+    """Ranks of column ``i`` in the rows that a gap pattern takes away, sorted; or in the rows
+    that it leaves, for the patterns of ``kept``, where those are fewer."""
+
+    kept: frozenset[int]
+    ranks: dict[tuple[int, int], np.ndarray]
+
+    def corrected(self, x: np.ndarray, i: int, pattern: int) -> np.ndarray:
+        """Ranks ``x`` of column ``i`` over the rows that the pattern leaves: a rank falls by the
+        rows taken away below it, and by half of those level with it."""
+        side = self.ranks[i, pattern]
+        level = (np.searchsorted(side, x, "left") + np.searchsorted(side, x, "right")) / 2.0
+        return level + 0.5 if pattern in self.kept else x - level
+
+
+def _rank_matrix(batch, columns: int) -> np.ndarray:
+    """Rows by columns; gaps are NaN."""
+    cells = batch.column(0)
+    flat, lengths = cells.flatten(), np.diff(cells.offsets.to_numpy())
+    x = np.full((len(cells), columns), np.nan)
+    x[np.repeat(np.arange(len(cells)), lengths), flat.field("i").to_numpy()] = flat.field("rank").to_numpy()
+    return x
+
+
+def _gap_ranks(rows: DataFrame, columns: int, asked: dict[int, list[int]], kept: frozenset[int]) -> GapRanks:
+    """Ranks of the columns ``asked[pattern]`` in each pattern's gap rows; a pattern is known by
+    its first column. The caller has checked their size."""
+
+    def held(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            x = _rank_matrix(batch, columns)
+            for pattern, wanted in asked.items():
+                part = x[np.isnan(x[:, pattern]) != (pattern in kept)]
+                for i in wanted:
+                    ranks = part[:, i][~np.isnan(part[:, i])]
+                    if len(ranks):
+                        keys = [pa.array(np.full(len(ranks), v, np.int32)) for v in (i, pattern)]
+                        yield pa.RecordBatch.from_arrays([*keys, pa.array(ranks)], names=["i", "pattern", "rank"])
+
+    found = rows.mapInArrow(held, "i int, pattern int, rank double").toArrow()
+    i, pattern, rank = (found[c].to_numpy() for c in ("i", "pattern", "rank"))
+    order = np.lexsort((rank, pattern, i))
+    key = (i.astype(np.int64) * columns + pattern)[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    table = {(c, p): np.zeros(0) for p, wanted in asked.items() for c in wanted}
+    ends = np.append(first[1:], len(key))[: len(first)]
+    table |= {divmod(int(key[lo]), columns): rank[order[lo:hi]] for lo, hi in zip(first, ends, strict=True)}
+    return GapRanks(kept, table)
+
+
+def _pair_sums(batches, pairs: Sequence[tuple[int, int]], patterns: Sequence[int], centre: float, gaps: GapRanks) -> Iterator:
+    """Per pair: rows with both, and summed products of their corrected ranks less ``centre``,
+    over one partition. ``pairs`` come by their first column; pattern -1 has no gaps."""
+    import pyarrow as pa
+
+    total = np.zeros((len(pairs), 4))
+    full = sorted({c for pair in pairs for c in pair if patterns[c] < 0})
+    plain = [k for k, (i, j) in enumerate(pairs) if patterns[i] < 0 and patterns[j] < 0]
+    at = {c: k for k, c in enumerate(full)}
+    for batch in batches:
+        x = _rank_matrix(batch, len(patterns))
+        if plain:
+            y = x[:, full] - centre
+            products = y.T @ y
+            for k in plain:
+                i, j = (at[c] for c in pairs[k])
+                total[k] += (len(y), products[i, j], products[i, i], products[j, j])
+        done: dict[int, np.ndarray] = {}
+        last = -1
+        for k, (i, j) in enumerate(pairs):
+            if patterns[i] < 0 and patterns[j] < 0:
+                continue
+            if i != last:
+                done, last = {-1: x[:, i]}, i
+            if patterns[j] not in done:
+                done[patterns[j]] = gaps.corrected(x[:, i], i, patterns[j])
+            a = done[patterns[j]]
+            b = x[:, j] if patterns[i] < 0 else gaps.corrected(x[:, j], j, patterns[i])
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = a[both] - centre, b[both] - centre
+            total[k] += (len(a), a @ b, a @ a, b @ b)
+    columns = [np.array(side, np.int32) for side in zip(*pairs, strict=True)] + list(total.T.copy())
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", "m", "ab", "aa", "bb"])
+
+
+def _blocks(columns: Sequence[int], partners: Sequence[int], size, limit: int) -> list[tuple[list[int], list[int]]] | None:
+    """Columns against partners in blocks whose gap ranks stay within ``limit``; None if those
+    of a single pair don't."""
+
+    def cost(left: Sequence[int], right: Sequence[int]) -> int:
+        return sum(size(i, j) for i in left for j in right) + sum(size(j, i) for i in left for j in right)
+
+    if cost(columns, partners) <= limit:
+        return [(list(columns), list(partners))]
+    if len(columns) == 1 and len(partners) == 1:
+        return None
+    long, short = (columns, partners) if len(columns) >= len(partners) else (partners, columns)
+    halves = [long[: len(long) // 2], long[len(long) // 2 :]]
+    out = []
+    for half in halves:
+        found = _blocks(half, partners, size, limit) if long is columns else _blocks(columns, half, size, limit)
+        if found is None:
+            return None
+        out += found
+    return out
+
+
+def _correlations(df: DataFrame, columns: list[str], against: list[int], id_col: str) -> DataFrame | None:
+    """Rank correlation of every column with the columns ``against``: ``(i, j, rho)``, each
+    pair once. None if the gap rows of a pair are too many to be sent to all tasks."""
+    p = len(columns)
+    names, missing, n = gap_marks(df, columns, id_col)
+    patterns = [columns.index(t) if t else -1 for t in names]
+    gaps = {pattern: missing[columns[pattern]] for pattern in patterns if pattern >= 0}
+    kept = frozenset(pattern for pattern, count in gaps.items() if 2 * count > n)
+
+    def size(i: int, j: int) -> int:
+        pattern = patterns[j]
+        return 0 if pattern < 0 else 8 * min(gaps[pattern], n - gaps[pattern])
+
+    blocks = _blocks(range(p), against, size, SIDE_BYTES)
+    if blocks is None:
+        return None
+    rows = rank_rows(df, columns, id_col)
+    centre, parts, seen = (n + 1) / 2.0, [], set()
+    for left, right in blocks:
+        pairs = sorted({(min(i, j), max(i, j)) for i in left for j in right} - seen)
+        seen.update(pairs)
+        if not pairs:
+            continue
+        asked: dict[int, set[int]] = {}
+        for i, j in pairs:
+            for column, partner in ((i, j), (j, i)):
+                if patterns[partner] >= 0:
+                    asked.setdefault(patterns[partner], set()).add(column)
+        side = _gap_ranks(rows, p, {k: sorted(v) for k, v in asked.items()}, kept) if asked else GapRanks(kept, {})
+        held = df.sparkSession.sparkContext.broadcast(side)
+        parts.append(
+            rows.mapInArrow(
+                lambda batches, pairs=pairs, held=held: _pair_sums(batches, pairs, patterns, centre, held.value),
+                "i int, j int, m double, ab double, aa double, bb double",
+            )
+            .groupBy("i", "j")
+            .agg(*[F.sum(c).alias(c) for c in ("m", "ab", "aa", "bb")])
+        )
+    sums = cut_lineage(reduce(DataFrame.unionByName, parts), "products")
+    # corrected ranks of m rows always sum to m (m + 1) / 2
+    shift = F.col("m") * ((F.col("m") + 1) / 2 - centre) * ((F.col("m") + 1) / 2 - centre)
+    left, right = F.col("aa") - shift, F.col("bb") - shift
+    varies = (left > F.col("aa") * 1e-13) & (right > F.col("bb") * 1e-13)
+    return sums.select("i", "j", F.when(varies, (F.col("ab") - shift) / (F.sqrt(left) * F.sqrt(right))).alias("rho"))
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str], id_col: str = "row_id") -> DataFrame:
+    """Rank correlation of every pair over the rows where both are present.
+
+    A cell is moved with its rank among all rows of its column. Over the rows that a partner
+    leaves, ranks fall by the gap rows below: these are few, so their sorted ranks go to all
+    tasks and are searched there, as many columns at a time as ``SIDE_BYTES`` allows.
+    """
+    columns = list(columns)
+    found = _correlations(df, columns, list(range(len(columns))), id_col)
+    if found is None:
+        return _matrix_by_contexts(df, columns, gap_patterns(df, columns, id_col), id_col)
+    names = F.array(*[F.lit(c) for c in columns])
+    both = found.unionByName(found.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "rho"))
+    return both.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"), "rho")
+
+
+def spearman_with(df: DataFrame, columns: Sequence[str], target: str = "y", id_col: str = "row_id") -> DataFrame:
+    """Rank correlation of each column with ``target``: the target's column of the matrix,
+    from one product per column."""
+    names = [*[c for c in columns if c != target], target]
+    last = len(names) - 1
+    found = _correlations(df, names, [last], id_col)
+    if found is None:
+        return _matrix_by_contexts(df, names, gap_patterns(df, names, id_col), id_col).where(F.col("feature_b") == target)
+    label = F.array(*[F.lit(c) for c in names])
+    return found.select(F.get(label, F.col("i")).alias("feature_a"), F.lit(target).alias("feature_b"), "rho")
+
+
+def _matrix_by_contexts(df: DataFrame, columns: Sequence[str], patterns: Sequence[str | None], id_col: str) -> DataFrame:
+    """Every cell is moved with its rank in each gap context: for tables so long that the gap
+    rows of two columns are too many to be sent to all tasks."""
+    p = len(columns)
+    gappy = list(dict.fromkeys(t for t in patterns if t))
+    masks = [gappy.index(t) + 1 if t else 0 for t in patterns]
+    wide = len(gappy) + 1
+    long = _cells(df, columns, gappy, id_col)
     ranks, means = _value_ranks(long, wide)
     ranked = join_on_values(long.select("id", "seen", "i", "value"), ranks, ["i", "value"])
     contexts = F.filter(F.sequence(F.lit(0), F.lit(wide - 1)), lambda m: F.get("seen", m))

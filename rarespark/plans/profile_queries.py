@@ -136,8 +136,8 @@ def top_correlated_features(spark, sf):
 @query("target_correlation", f"""with {SPEARMAN_Y} select feature_a as feature, round(rho, 6)+0.0 rho,
 round(abs(rho), 6) strength from matrix where feature_b = 'y' and feature_a <> 'y'""")
 def target_correlation(spark, sf):
-    matrix = correlation.spearman_matrix(sensor_table(spark, sf), _NAMES)
-    return correlation.target_correlation(matrix).select("feature", r6("rho"), r6("strength"))
+    own = correlation.spearman_with(sensor_table(spark, sf), FEATURES)
+    return correlation.target_correlation(own).select("feature", r6("rho"), r6("strength"))
 
 
 @query("correlated_pairs", f"""with {SPEARMAN} select feature_a, feature_b, round(abs(rho), 6) strength from matrix
@@ -165,8 +165,8 @@ round(avg(case when y=1 then value end) - avg(case when y=0 then value end), 6)
 from lng where feature in (select f from top) group by feature""")
 def class_mean_delta(spark, sf):
     rows = sensor_table(spark, sf)
-    matrix = correlation.spearman_matrix(rows, _NAMES)
-    top = [r["feature"] for r in correlation.target_correlation(matrix).limit(5).collect()]
+    own = correlation.spearman_with(rows, FEATURES)
+    top = [r["feature"] for r in correlation.target_correlation(own).limit(5).collect()]
     out = profile.class_mean_delta(rows, top)
     return out.select("feature", *[F.round(c, 6).alias(c) for c in ("mean_neg", "mean_pos", "delta")])
 

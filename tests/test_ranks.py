@@ -122,3 +122,57 @@ def test_spearman_matches_pandas(hot):
     for a in cols:
         for b in cols:
             assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
+
+
+def gappy_table(spark, rows, columns, seed=1, share=0.15):
+    """Wide rows in which every column has gaps of its own, one most of its values, one all of
+    another's gaps, one no value but one."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 30, (rows, columns)).astype(float) + rng.random((rows, columns)) * (np.arange(columns) % 2)
+    x[rng.random(x.shape) < share] = np.nan
+    x[:, 0] = rng.random(rows)
+    x[rng.random(rows) < 0.8, 1] = np.nan
+    x[:, 2] = np.where(np.isnan(x[:, 3]), np.nan, -x[:, 0])
+    x[:, 4] = np.where(np.isnan(x[:, 4]), np.nan, 7.0)
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(columns)])
+    df = spark.createDataFrame(pdf.assign(row_id=np.arange(rows)))
+    return df.select("row_id", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in pdf.columns]), pdf
+
+
+def agrees(found, want):
+    got = {(r["feature_a"], r["feature_b"]): r["rho"] for r in found.collect()}
+    for (a, b), rho in got.items():
+        if np.isnan(want.loc[a, b]):
+            assert rho is None, (a, b)
+        else:
+            assert rho == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
+    return len(got)
+
+
+@pytest.mark.parametrize("side", [correlation.SIDE_BYTES, 20_000, 0])
+def test_spearman_with_many_gap_patterns(spark, monkeypatch, side):
+    """All columns in one pass, in blocks of columns, and beyond the limit of a pair."""
+    monkeypatch.setattr(correlation, "SIDE_BYTES", side)
+    df, pdf = gappy_table(spark, 700, 9)
+    want = pdf.corr(method="spearman")
+    assert agrees(correlation.spearman_matrix(df.repartition(3), list(pdf.columns)), want) == 81
+    one = correlation.spearman_with(df, list(pdf.columns[:-1]), "c8")
+    assert agrees(one, want) == 9
+
+
+def test_moved_bytes_do_not_follow_the_patterns(spark):
+    """Rows hold one rank per present cell, whether 2 or 40 gap patterns are there."""
+    sizes = []
+    for patterns in (2, 40):
+        rng = np.random.default_rng(5)
+        x = rng.random((400, 40))
+        gaps = rng.random((400, patterns)) < 0.1
+        x[gaps[:, np.arange(40) % patterns]] = np.nan
+        pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(40)])
+        df = spark.createDataFrame(pdf.assign(row_id=np.arange(400)))
+        df = df.select("row_id", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in pdf.columns])
+        rows = correlation.rank_rows(df, list(pdf.columns))
+        assert rows.schema.simpleString() == "struct<cells:array<struct<i:int,rank:double>>>"
+        sizes.append(rows.agg(F.sum(F.size("cells"))).first()[0])
+        agrees(correlation.spearman_matrix(df, list(pdf.columns)), pdf.corr(method="spearman"))
+    assert sizes[1] == pytest.approx(sizes[0], rel=0.05)
