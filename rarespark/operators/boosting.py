@@ -1,29 +1,39 @@
-"""Regularised histogram boosting with a pluggable objective.
-
-Features are binned once. Every level is one Spark job: tasks sum gradients per (node,
-feature, bin), Spark adds the sums up, and window functions over that small table find
-the best split of each node. Split gain and leaf weight follow the published XGBoost
-paper (Chen and Guestrin, KDD 2016). The trees are a table; rows never leave the cluster.
+"""Regularised histogram boosting with a pluggable objective, for many fits at once.
+
+Features are binned once. Every level is one pass over the rows for all fits together, such
+as the folds and trials of a search: tasks sum gradients per (fit, node, feature, bin), and
+the driver gets the sums, whose size follows the trees and not the rows. Of two children only
+the smaller is summed; its sibling is what the parent has left. Split gain and leaf weight
+follow the published XGBoost paper (Chen and Guestrin, KDD 2016). The trees are a table; rows
+never leave the cluster.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+import pickle
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rarespark.functions import losses
-from rarespark.functions.hashing import uniform
-from rarespark.functions.ranks import splits_of
-from rarespark.session import cut_lineage, drop_stage
+from rarespark.session import cut_lineage, drop_stage, stage_bytes
 
 MIN_GAIN = 1e-6
+#: Fits that share passes; a row carries a margin for each.
+FITS_AT_ONCE = 64
+#: Rounds after which margins are written anew: each, if many fits share the work.
 REWRITE_EVERY = 10
+MANY_FITS = 8
+#: Bytes of a level's histograms that the driver holds; more are summed in several passes.
+HISTOGRAM_BYTES = 128 << 20
+#: Bytes of the tasks' sums that are added up on the driver; more are added up by Spark.
+PARTIAL_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
 CELLS = 1024
 SPLIT = 32
 REFINEMENTS = 5
@@ -246,113 +256,240 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[list[fl
     return edges
 
 
-def binned(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]], keep: Sequence[str]) -> DataFrame:
-    """``(keep..., bins)`` with one small integer per feature."""
-    outs = [f"_bin_{i}" for i in range(len(features))]
-    cut = Bucketizer(
-        inputCols=list(features), outputCols=outs, splitsArray=[splits_of(e) for e in edges]
-    ).transform(df)
-    return cut.select(*keep, F.array(*[F.col(o).cast("short") for o in outs]).alias("bins"))
+@dataclass(frozen=True)
+class Fit:
+    """One model of a batch: its parameters and objective, and the fold whose rows it never sees."""
+
+    params: BoostParams = BoostParams()
+    objective: losses.Objective = field(default_factory=losses.logistic)
+    fold: int | None = None
+
+
+@dataclass
+class _Growing:
+    """A fit under way: finished trees, those not yet in the stored margins, and the open one."""
+
+    at: int
+    fit: Fit
+    fills: np.ndarray
+    rng: np.random.Generator
+    trees: list[Tree] = field(default_factory=list)
+    cuts: list[np.ndarray] = field(default_factory=list)
+    stored: int = 0
+    used: np.ndarray | None = None
+    sums: dict[int, np.ndarray] = field(default_factory=dict)
+    round_losses: list[float] = field(default_factory=list)
+    done: bool = False
+
+
+@dataclass(frozen=True)
+class _Task:
+    """What a pass needs to know of a fit; sent to the tasks."""
+
+    at: int
+    fit: Fit
+    fills: np.ndarray
+    pending: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]
+    round: int = 0
+    level: int = 0
+    feature: np.ndarray | None = None
+    cut: np.ndarray | None = None
+    used: np.ndarray | None = None
+    build: tuple[int, ...] = ()
+
+
+STATE = "key bigint, y double, fold int, bins array<smallint>, margins array<double>"
+
+
+def _bins_of(column, edges: np.ndarray) -> np.ndarray:
+    """Bin of each value, -1 where there is none."""
+    values = column.to_numpy(zero_copy_only=False).astype(np.float64)
+    return np.where(np.isnan(values), -1, np.searchsorted(edges, values, side="right")).astype(np.int16)
+
+
+def _lists(values: np.ndarray):
+    import pyarrow as pa
+
+    rows, width = values.shape
+    offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).ravel()))
+
 
+def _start(df: DataFrame, features, edges, margins: Sequence[float], id_col: str, target: str, fold_col: str | None) -> DataFrame:
+    """State table: bins and one margin per fit, spread evenly by row."""
+    cuts = [np.array(e) for e in edges]
 
-def _constant(values: np.ndarray, kind: str) -> Column:
-    """Array literal, folded once by the optimizer."""
-    return F.split(F.lit(",".join(repr(v) for v in values.tolist())), ",").cast(f"array<{kind}>")
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
 
+        for batch in batches:
+            bins = np.column_stack([_bins_of(batch.column(3 + j), cut) for j, cut in enumerate(cuts)])
+            start = np.tile(np.array(margins), (batch.num_rows, 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), _lists(bins), _lists(start)],
+                names=["key", "y", "fold", "bins", "margins"],
+            )
 
-def _route(rows: DataFrame, tree: Tree, bin_cut: np.ndarray, steps: int) -> DataFrame:
-    """Add ``node``: where each row stands after ``steps`` levels of ``tree``."""
-    feature, cut = _constant(tree.feature, "int"), _constant(bin_cut.astype(int), "int")
-    rows = rows.withColumn("node", F.lit(1))
+    fold = F.lit(-1) if fold_col is None else F.col(fold_col).cast("int")
+    keyed = df.select(
+        F.xxhash64(id_col).alias("key"), F.col(target).cast("double").alias("y"), fold.alias("fold"), *[F.col(c).cast("double") for c in features]
+    )
+    return cut_lineage(keyed.mapInArrow(rows, STATE), "boost", "key")
+
+
+class _Rows:
+    """A batch of the state table, with each fold's view of it."""
+
+    def __init__(self, batch):
+        n = batch.num_rows
+        self.key = batch.column("key").to_numpy()
+        self.y = batch.column("y").to_numpy()
+        self.fold = batch.column("fold").to_numpy()
+        self.bins = batch.column("bins").flatten().to_numpy().reshape(n, -1)
+        self.margins = batch.column("margins").flatten().to_numpy().reshape(n, -1)
+        self._filled: dict[bytes, np.ndarray] = {}
+
+    def filled(self, fills: np.ndarray) -> np.ndarray:
+        """Bins with gaps in the bins of the fills."""
+        name = fills.tobytes()
+        if name not in self._filled:
+            self._filled[name] = np.where(self.bins < 0, fills, self.bins) if (self.bins < 0).any() else self.bins
+        return self._filled[name]
+
+    def margin(self, task: _Task) -> np.ndarray:
+        """Margins with the trees that are not stored yet."""
+        total, bins = self.margins[:, task.at].copy(), self.filled(task.fills)
+        for feature, cut, value, depth in task.pending:
+            total += value[_stand(bins, feature, cut, depth)]
+        return total
+
+
+def _stand(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, steps: int) -> np.ndarray:
+    """Node of each row after ``steps`` levels."""
+    node, at = np.ones(len(bins), np.int64), np.arange(len(bins))
     for _ in range(steps):
-        at = F.get(feature, F.col("node"))
-        right = (F.get("bins", at) > F.get(cut, F.col("node"))).cast("int")
-        rows = rows.withColumn("node", F.when(at < 0, F.col("node")).otherwise(F.col("node") * 2 + right))
-    return rows
+        f = feature[node]
+        node = np.where(f >= 0, 2 * node + (bins[at, np.maximum(f, 0)] > cut[node]), node)
+    return node
+
 
+# The steps of the published splitmix64 generator.
+GOLDEN, MIX_A, MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-def _partial_sums(batches, features: int, bins: int, used: list[int]):
-    """Gradient sums of one partition per (node, feature, bin)."""
+
+def _draws(key: np.ndarray, seed: int, turn: int) -> np.ndarray:
+    """Uniform numbers in [0, 1) from row keys, the same in any task."""
+    x = key.view(np.uint64) + np.uint64(GOLDEN * (seed * 1_000_003 + turn) % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * MIX_A
+    x = (x ^ (x >> np.uint64(27))) * MIX_B
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+
+
+def _partial_sums(batches, tasks: Sequence[_Task], bins: int) -> Iterator:
+    """Gradient sums of one partition: a row per (fit, node), with an array of all bins of all
+    features."""
     import pyarrow as pa
 
-    sums: dict[int, np.ndarray] = {}
+    sums = {t.at: np.zeros((2, len(t.build), len(t.used), bins)) for t in tasks}
+    seen = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        node = batch.column("node").to_numpy()
-        g, h = batch.column("g").to_numpy(), batch.column("h").to_numpy()
-        cells = batch.column("bins").flatten().to_numpy().reshape(-1, features)
-        for n in np.unique(node):
-            mine = node == n
-            table = sums.setdefault(int(n), np.zeros((2, len(used), bins)))
-            for j, f in enumerate(used):
-                b = cells[mine, f]
-                table[0, j] += np.bincount(b, weights=g[mine], minlength=bins)
-                table[1, j] += np.bincount(b, weights=h[mine], minlength=bins)
-    for n, table in sums.items():
-        j, b = np.nonzero(table[1])
+        rows, seen = _Rows(batch), True
+        for t in tasks:
+            filled = rows.filled(t.fills)
+            slots = np.full(2 ** (t.level + 1), -1)
+            slots[list(t.build)] = np.arange(len(t.build))
+            slot = slots[_stand(filled, t.feature, t.cut, t.level)]
+            mine = slot >= 0
+            if t.fit.fold is not None:
+                mine &= rows.fold != t.fit.fold
+            if t.fit.params.subsample < 1.0:
+                mine &= _draws(rows.key, t.fit.params.seed, t.round) < t.fit.params.subsample
+            mine = np.flatnonzero(mine)
+            g, h = t.fit.objective.arrays(rows.margin(t)[mine], rows.y[mine])
+            base, table = slot[mine] * bins, sums[t.at]
+            for j, f in enumerate(t.used):
+                cell = base + filled[mine, f]
+                for side, weights in enumerate((g, h)):
+                    table[side, :, j] += np.bincount(cell, weights, len(t.build) * bins).reshape(-1, bins)
+    for t in tasks if seen else ():
+        table = sums[t.at]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(len(j), n, dtype="int32")),
-                pa.array(np.array(used, dtype="int32")[j]),
-                pa.array(b.astype("int32")),
-                pa.array(table[0, j, b]),
-                pa.array(table[1, j, b]),
+                pa.array(np.full(len(t.build), t.at, np.int32)),
+                pa.array(np.array(t.build, np.int32)),
+                _lists(table.transpose(1, 0, 2, 3).reshape(len(t.build), -1)),
             ],
-            names=["node", "feature", "bin", "g", "h"],
+            names=["fit", "node", "sums"],
         )
 
 
-def gradient_histogram(rows: DataFrame, features: int, bins: int, used: Sequence[int]) -> DataFrame:
-    """Sums per ``(node, feature, bin)`` of rows with ``(node, g, h, bins)``."""
-    used = list(used)
-    parts = rows.select("node", "g", "h", "bins").mapInArrow(
-        lambda batches: _partial_sums(batches, features, bins, used),
-        "node int, feature int, bin int, g double, h double",
-    )
-    return parts.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-
-
-def _shrunk(g: Column, alpha: float) -> Column:
-    return F.signum(g) * F.greatest(F.abs(g) - F.lit(alpha), F.lit(0.0))
-
-
-def best_splits(hist: DataFrame, params: BoostParams) -> DataFrame:
-    """Best split per node with the sums on both sides. Ties go to the first feature,
-    then the lowest bin."""
-    side = Window.partitionBy("node", "feature")
-    upto = side.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-
-    def part(g: Column, h: Column) -> Column:
-        return F.pow(_shrunk(g, params.reg_alpha), F.lit(2.0)) / (h + F.lit(params.reg_lambda + 1e-12))
-
-    sides = hist.select(
-        "node",
-        "feature",
-        "bin",
-        F.sum("g").over(upto).alias("gl"),
-        F.sum("h").over(upto).alias("hl"),
-        F.sum("g").over(side).alias("gt"),
-        F.sum("h").over(side).alias("ht"),
-        F.max("bin").over(side).alias("_last"),
-    ).withColumns({"gr": F.col("gt") - F.col("gl"), "hr": F.col("ht") - F.col("hl")})
-    gain = 0.5 * (part(F.col("gl"), F.col("hl")) + part(F.col("gr"), F.col("hr")) - part(F.col("gt"), F.col("ht")))
-    least = F.lit(params.min_child_weight)
-    fits = (F.col("bin") < F.col("_last")) & (F.col("hl") >= least) & (F.col("hr") >= least)
-    rated = sides.withColumn("gain", F.when(fits, F.round(gain, 9)).otherwise(F.lit(-1.0)))
-    best = F.max(
-        F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "gl", "hl", "gt", "ht")
-    ).alias("s")
-    return rated.groupBy("node").agg(best).select(
-        "node",
-        "s.gain",
-        (-F.col("s.f")).alias("feature"),
-        (-F.col("s.b")).alias("bin"),
-        "s.gl",
-        "s.hl",
-        "s.gt",
-        "s.ht",
-    )
+def _add_up(batches) -> Iterator:
+    """Sums of equal (fit, node) in one partition."""
+    import pyarrow as pa
+
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for fit, node, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            values = sums.values.to_numpy()
+            held = total.get((fit, node))
+            total[fit, node] = values.copy() if held is None else held + values
+    for (fit, node), values in total.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([fit], pa.int32()), pa.array([node], pa.int32()), _lists(values[None, :])], names=["fit", "node", "sums"]
+        )
+
+
+def _sent(df: DataFrame, tasks: Sequence[_Task]):
+    """``tasks`` for all workers; objectives may be functions made on the spot."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(list(tasks)))
+
+
+def _received(held) -> list[_Task]:
+    return pickle.loads(held.value)
+
+
+def _tasks_of(state: DataFrame) -> int:
+    """About the number of tasks that read a state table."""
+    return max(state.sparkSession.sparkContext.defaultParallelism, stage_bytes(state) // TASK_BYTES)
+
+
+def _histograms(state: DataFrame, tasks: Sequence[_Task], bins: int) -> dict[tuple[int, int], np.ndarray]:
+    """One pass: sums ``(2, features, bins)`` per fit and node."""
+    schema = "fit int, node int, sums array<double>"
+    held = _sent(state, tasks)
+    parts = state.mapInArrow(lambda batches: _partial_sums(batches, _received(held), bins), schema)
+    size = sum(16 * len(t.build) * len(t.used) * bins for t in tasks)
+    if size * _tasks_of(state) > PARTIAL_BYTES:
+        parts = parts.repartition("fit", "node").mapInArrow(_add_up, schema)
+    used = {t.at: len(t.used) for t in tasks}
+    out: dict[tuple[int, int], np.ndarray] = {}
+    found = parts.toArrow()
+    for fit, node, sums in zip(found["fit"].to_pylist(), found["node"].to_pylist(), found["sums"], strict=True):
+        table = sums.values.to_numpy().reshape(2, used[fit], bins)
+        out[fit, node] = out[fit, node] + table if (fit, node) in out else table.copy()
+    held.unpersist()
+    return out
+
+
+def best_split(sums: np.ndarray, params: BoostParams) -> tuple[float, int, int, float, float]:
+    """Gain, feature (by place), bin, and the left sums of the best split of one node. Ties go to
+    the first feature, then the lowest bin."""
+    total = sums[:, 0].sum(axis=1)
+
+    def part(g, h):
+        return np.maximum(np.abs(g) - params.reg_alpha, 0.0) ** 2 / (h + params.reg_lambda + 1e-12)
+
+    gl, hl = np.cumsum(sums, axis=2)
+    gr, hr = total[0] - gl, total[1] - hl
+    gain = 0.5 * (part(gl, hl) + part(gr, hr) - part(total[0], total[1]))
+    least = params.min_child_weight
+    fits = (hl >= least) & (hr >= least) & (hr > 1e-12 * total[1])
+    rated = np.where(fits, np.round(gain, 9), -1.0)
+    place = int(np.argmax(rated))
+    f, b = divmod(place, rated.shape[1])
+    return float(rated[f, b]), f, b, float(gl[f, b]), float(hl[f, b])
 
 
 def _leaf(g: float, h: float, params: BoostParams) -> float:
@@ -360,47 +497,113 @@ def _leaf(g: float, h: float, params: BoostParams) -> float:
     return -params.eta * top / (h + params.reg_lambda + 1e-12)
 
 
-def _grow(rows: DataFrame, edges, params: BoostParams, used: Sequence[int]) -> tuple[Tree, np.ndarray]:
-    """One tree from rows with ``(bins, g, h)``; one job per level."""
-    tree, bin_cut = Tree(params.depth), np.zeros(2 ** (params.depth + 1))
-    bins = max(len(e) for e in edges) + 2
-    live = {1}
-    for level in range(params.depth):
-        here = _route(rows, tree, bin_cut, level)
-        if level:
-            here = here.where(F.col("node").isin(sorted(live)) if len(live) < 64 else F.col("node") >= 2**level)
-        hist = gradient_histogram(here, len(edges), bins, used)
-        grown: set[int] = set()
-        for s in best_splits(hist, params).collect():
-            i = s["node"]
-            if level == 0:
-                tree.value[i], tree.cover[i] = _leaf(s["gt"], s["ht"], params), s["ht"]
-            if s["gain"] <= MIN_GAIN:
-                continue
-            tree.feature[i], bin_cut[i] = s["feature"], s["bin"]
-            tree.cut[i], tree.gain[i] = splits_of(edges[s["feature"]])[s["bin"] + 1], s["gain"]
-            for child, g, h in (
-                (2 * i, s["gl"], s["hl"]),
-                (2 * i + 1, s["gt"] - s["gl"], s["ht"] - s["hl"]),
-            ):
-                tree.value[child], tree.cover[child] = _leaf(g, h, params), h
-                grown.add(child)
-        live = grown
-        if not live:
-            break
-    return tree, bin_cut
+def _task(x: _Growing, **more) -> _Task:
+    pending = [(t.feature, c, t.value, t.depth) for t, c in zip(x.trees[x.stored :], x.cuts[x.stored :], strict=True)]
+    return _Task(x.at, x.fit, x.fills, pending, **more)
+
+
+def _grow(state: DataFrame, growing: Sequence[_Growing], edges: Sequence[Sequence[float]], turn: int) -> None:
+    """One tree more for every fit; a pass per level, shared by all."""
+    bins = max((len(e) for e in edges), default=0) + 1
+    opened: dict[int, tuple[Tree, np.ndarray]] = {}
+    split: dict[int, list[int]] = {}
+    for x in growing:
+        p = x.fit.params
+        x.used = np.arange(len(edges))
+        if p.colsample < 1.0:
+            x.used = np.sort(x.rng.choice(x.used, max(1, int(round(p.colsample * len(edges)))), replace=False))
+        opened[x.at] = Tree(p.depth), np.zeros(2 ** (p.depth + 1), np.int64)
+        split[x.at] = [0]  # as if the root were somebody's child
+        x.sums = {}
+    level, active = 0, list(growing)
+    while active:
+        node_bytes = {x.at: 16 * len(x.used) * bins for x in active}
+        keep = sum(2 * len(split[x.at]) * node_bytes[x.at] for x in active) <= HISTOGRAM_BYTES
+        work: list[tuple[_Growing, tuple[int, ...]]] = []
+        for x in active:
+            tree = opened[x.at][0]
+            children = [(1,)] if level == 0 else [(2 * i, 2 * i + 1) for i in split[x.at]]
+            if keep and x.sums:  # the sibling of the smaller child is what its parent has left
+                children = [(min(pair, key=lambda c: tree.cover[c]),) for pair in children]
+            work.append((x, tuple(sorted(c for pair in children for c in pair))))
+        grown: dict[int, list[int]] = {x.at: [] for x in active}
+        for portion in _portions(work, node_bytes, HISTOGRAM_BYTES):
+            tasks = []
+            for x, build in portion:
+                tree, cut = opened[x.at]
+                tasks.append(_task(x, round=turn, level=level, feature=tree.feature, cut=cut, used=x.used, build=build))
+            found = _histograms(state, tasks, bins)
+            for x, build in portion:
+                empty = np.zeros((2, len(x.used), bins))
+                own = {i: found.get((x.at, i), empty) for i in build}
+                if keep and x.sums:
+                    own |= {i ^ 1: x.sums[i // 2] - h for i, h in own.items()}
+                x.sums = own if keep else {}
+                grown[x.at] += _split_nodes(x, opened[x.at], own, edges, level)
+        level += 1
+        split = {at: sorted(nodes) for at, nodes in grown.items()}
+        active = [x for x in active if split[x.at] and level < x.fit.params.depth]
+    for x in growing:
+        tree, cut = opened[x.at]
+        x.trees.append(tree)
+        x.cuts.append(cut)
+        x.sums = {}
+
+
+def _portions(work: list[tuple[_Growing, tuple[int, ...]]], node_bytes: dict[int, int], limit: int) -> Iterator:
+    """``work`` in passes whose histograms stay within ``limit``; at least one node each."""
+    held, size = [], 0
+    for x, build in work:
+        most = max(1, limit // node_bytes[x.at])
+        for k in range(0, len(build), most):
+            part = build[k : k + most]
+            if held and size + len(part) * node_bytes[x.at] > limit:
+                yield held
+                held, size = [], 0
+            held.append((x, part))
+            size += len(part) * node_bytes[x.at]
+    if held:
+        yield held
+
+
+def _split_nodes(x: _Growing, opened: tuple[Tree, np.ndarray], sums: dict[int, np.ndarray], edges, level: int) -> list[int]:
+    """Split the nodes that gain by it; returns them."""
+    tree, cut = opened
+    params, out = x.fit.params, []
+    for i in sorted(sums):
+        g, h = sums[i][:, 0].sum(axis=1)
+        if level == 0:
+            tree.value[i], tree.cover[i] = _leaf(g, h, params), h
+        gain, f, b, gl, hl = best_split(sums[i], params)
+        if gain <= MIN_GAIN:
+            continue
+        f = int(x.used[f])
+        tree.feature[i], cut[i] = f, b
+        tree.cut[i], tree.gain[i] = edges[f][b], gain
+        for child, cg, ch in ((2 * i, gl, hl), (2 * i + 1, g - gl, h - hl)):
+            tree.value[child], tree.cover[child] = _leaf(cg, ch, params), ch
+        out.append(i)
+    return out
 
 
-def _start(df: DataFrame, features, edges, params: BoostParams, id_col: str, target: str) -> DataFrame:
-    rows = binned(df, features, edges, [id_col, target])
-    return cut_lineage(rows.withColumn("margin", F.lit(float(params.base_margin))), "boost", id_col)
+def _stored(state: DataFrame, growing: Sequence[_Growing]) -> DataFrame:
+    """State with all finished trees in its margins."""
+    held = _sent(state, [_task(x) for x in growing])
 
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
 
-def _advance(state: DataFrame, tree: Tree, bin_cut: np.ndarray, rewrite: bool) -> DataFrame:
-    """Add a tree to the margins."""
-    moved = F.col("margin") + F.get(_constant(tree.value, "double"), F.col("node"))
-    state = _route(state, tree, bin_cut, tree.depth).withColumn("margin", moved).drop("node")
-    return cut_lineage(state, "boost") if rewrite else state
+        tasks = _received(held)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            view = _Rows(batch)
+            margins = view.margins.copy()
+            for t in tasks:
+                margins[:, t.at] = view.margin(t)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], _lists(margins)], names=batch.schema.names)
+
+    return cut_lineage(state.mapInArrow(rows, STATE), "boost")
 
 
 def log_loss(margin: Column, y: Column) -> Column:
@@ -408,6 +611,150 @@ def log_loss(margin: Column, y: Column) -> Column:
     return F.greatest(margin, F.lit(0.0)) - margin * y + F.log1p(F.exp(-F.abs(margin)))
 
 
+def _mean_losses(watch: DataFrame, growing: Sequence[_Growing]) -> dict[int, float]:
+    """Mean logistic loss of the watched rows per fit."""
+    held = _sent(watch, [_task(x) for x in growing])
+
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
+
+        tasks = _received(held)
+        for batch in batches:
+            if batch.num_rows:
+                view = _Rows(batch)
+                found = []
+                for t in tasks:
+                    m = view.margin(t)
+                    found.append(float((np.logaddexp(0.0, m) - m * view.y).sum()))
+                at = [t.at for t in tasks]
+                columns = [pa.array(at, pa.int32()), pa.array(found), pa.array([batch.num_rows] * len(at), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["fit", "loss", "n"])
+
+    sums = watch.mapInArrow(rows, "fit int, loss double, n bigint").groupBy("fit").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n"))
+    return {r["fit"]: r["loss"] / r["n"] for r in sums.collect()}
+
+
+def _fit_batch(
+    train: DataFrame, features, edges, fits, id_col, target, fold_col, fills, valid, patience
+) -> tuple[list[BoostedModel], DataFrame, list[_Growing]]:
+    """Models of one batch, and the state of the train rows with all their margins."""
+    margins = [f.params.base_margin for f in fits]
+    state = _start(train, features, edges, margins, id_col, target, fold_col)
+    watch = None if valid is None else _start(valid, features, edges, margins, id_col, target, None)
+    growing = []
+    for k, fit in enumerate(fits):
+        own = (fills or {}).get(fit.fold, {})
+        bins = [np.searchsorted(e, own[c], side="right") if c in own else 0 for c, e in zip(features, edges, strict=True)]
+        growing.append(_Growing(k, fit, np.array(bins, np.int16), np.random.default_rng(fit.params.seed)))
+    every = 1 if len(fits) >= MANY_FITS else REWRITE_EVERY
+    turn = 0
+    while active := [x for x in growing if not x.done]:
+        _grow(state, active, edges, turn)
+        turn += 1
+        if watch is not None:
+            for at, loss in _mean_losses(watch, active).items():
+                growing[at].round_losses.append(loss)
+        for x in active:
+            stale = x.round_losses and turn - 1 - int(np.argmin(x.round_losses)) >= patience
+            x.done = bool(stale) or turn >= x.fit.params.rounds
+        if turn % every == 0 and any(not x.done for x in growing):
+            old, state = state, _stored(state, growing)
+            drop_stage(old)
+            if watch is not None:
+                old, watch = watch, _stored(watch, growing)
+                drop_stage(old)
+            for x in growing:
+                x.stored = len(x.trees)
+    models = []
+    for x in growing:
+        best = int(np.argmin(x.round_losses)) + 1 if x.round_losses else len(x.trees)
+        models.append(BoostedModel(list(features), x.trees[:best], x.fit.params.base_margin, x.round_losses))
+    return models, state, growing
+
+
+def boosted_fits(
+    train: DataFrame,
+    features: Sequence[str],
+    fits: Sequence[Fit],
+    id_col: str = "row_id",
+    target: str = "y",
+    fold_col: str | None = None,
+    fills: dict[int | None, dict[str, float]] | None = None,
+    valid: DataFrame | None = None,
+    patience: int = 20,
+) -> list[BoostedModel]:
+    """Models of all ``fits``, in passes that they share: the rounds times the depth of the
+    longest, for ``FITS_AT_ONCE`` of them at a time.
+
+    A fit with a fold leaves its rows out. ``fills`` has the values that fill a fold's gaps.
+    Bin bounds come from all train rows, without their labels. Margins live in the row table,
+    which is rewritten to the shared folder so that lost tasks can restart.
+
+    With ``valid`` rows a fit stops ``patience`` rounds after their mean logistic loss last
+    fell, and its model keeps the trees up to the best round; the losses are in ``round_losses``.
+    """
+    edges = {}
+    out: list[BoostedModel] = []
+    for k in range(0, len(fits), FITS_AT_ONCE):
+        part = list(fits[k : k + FITS_AT_ONCE])
+        bins = max(f.params.bins for f in part)
+        if bins not in edges:
+            edges[bins] = bin_edges(train, features, bins)
+        models, state, _ = _fit_batch(train, features, edges[bins], part, id_col, target, fold_col, fills, valid, patience)
+        drop_stage(state)
+        out += models
+    return out
+
+
+def out_of_fold_counts(
+    train: DataFrame,
+    features: Sequence[str],
+    fits: Sequence[Fit],
+    fold_col: str = "fold",
+    id_col: str = "row_id",
+    target: str = "y",
+    fills: dict[int | None, dict[str, float]] | None = None,
+    threshold: float = 0.5,
+    edges: dict[int, list] | None = None,
+) -> DataFrame:
+    """``(fit, fold, tp, fp, fn, tn)`` of each fit over the rows of the fold it left out. The
+    margins of those rows grow along with the trees, so nothing is scored again. ``edges``
+    keeps bin bounds by their number from call to call."""
+    cut = math.log(threshold / (1.0 - threshold))
+    edges = {} if edges is None else edges
+    parts = []
+    for k in range(0, len(fits), FITS_AT_ONCE):
+        part = list(fits[k : k + FITS_AT_ONCE])
+        bins = max(f.params.bins for f in part)
+        if bins not in edges:
+            edges[bins] = bin_edges(train, features, bins)
+        _, state, growing = _fit_batch(train, features, edges[bins], part, id_col, target, fold_col, fills, None, 0)
+        held = _sent(train, [_task(x) for x in growing])
+
+        def rows(batches, held=held, first=k) -> Iterator:
+            import pyarrow as pa
+
+            tasks = _received(held)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                view, found = _Rows(batch), []
+                for t in tasks:
+                    mine = view.fold == t.fit.fold
+                    hit, y = view.margin(t)[mine] >= cut, view.y[mine] == 1
+                    found.append((first + t.at, t.fit.fold, (hit & y).sum(), (hit & ~y).sum(), (~hit & y).sum(), (~hit & ~y).sum()))
+                columns = [pa.array(np.array(c, np.int64)) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([columns[0].cast("int32"), columns[1].cast("int32"), *columns[2:]], names=["fit", "fold", "tp", "fp", "fn", "tn"])
+
+        counts = state.mapInArrow(rows, "fit int, fold int, tp bigint, fp bigint, fn bigint, tn bigint")
+        parts.append(cut_lineage(counts.groupBy("fit", "fold").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]), "counts"))
+        drop_stage(state)
+    table = parts[0]
+    for more in parts[1:]:
+        table = table.unionByName(more)
+    return table
+
+
 def boosted_trees_fit(
     train: DataFrame,
     features: Sequence[str],
@@ -418,48 +765,6 @@ def boosted_trees_fit(
     valid: DataFrame | None = None,
     patience: int = 20,
 ) -> BoostedModel:
-    """Fit on imputed rows. Margins live in the row table, which is rewritten to the
-    shared folder every few rounds so that plans stay short and lost tasks can restart.
-
-    With ``valid`` rows, training stops ``patience`` rounds after their mean logistic
-    loss last fell, and the model keeps the trees up to the best round. The losses are
-    in ``round_losses``.
-    """
-    objective = objective or losses.logistic()
-    features = list(features)
-    edges = bin_edges(train, features, params.bins)
-    state = _start(train, features, edges, params, id_col, target)
-    watch = _start(valid, features, edges, params, id_col, target) if valid is not None else None
-    stages = {"state": state, "watch": watch}
-    rng = np.random.default_rng(params.seed)
-    trees: list[Tree] = []
-    round_losses: list[float] = []
-    for t in range(params.rounds):
-        used = np.arange(len(features))
-        if params.colsample < 1.0:
-            size = max(1, int(round(params.colsample * len(features))))
-            used = np.sort(rng.choice(used, size, replace=False))
-        g, h = objective(F.col("margin"), F.col(target))
-        rows = state.select(id_col, "bins", g.alias("g"), h.alias("h"))
-        if params.subsample < 1.0:
-            draw = uniform(F.lit(params.seed), F.lit(t), F.col(id_col))
-            rows = rows.where(draw < params.subsample)
-        tree, bin_cut = _grow(rows, edges, params, [int(f) for f in used])
-        trees.append(tree)
-        rewrite = (t + 1) % REWRITE_EVERY == 0 and t + 1 < params.rounds
-        state = _advance(state, tree, bin_cut, rewrite)
-        if rewrite:
-            drop_stage(stages.pop("state"))
-            stages["state"] = state
-        if watch is not None:
-            watch = _advance(watch, tree, bin_cut, rewrite)
-            if rewrite:
-                drop_stage(stages.pop("watch"))
-                stages["watch"] = watch
-            loss = watch.agg(F.avg(log_loss(F.col("margin"), F.col(target)))).first()[0]
-            round_losses.append(float(loss))
-            if t - int(np.argmin(round_losses)) >= patience:
-                break
-    if round_losses:
-        trees = trees[: int(np.argmin(round_losses)) + 1]
-    return BoostedModel(features, trees, params.base_margin, round_losses)
+    """``boosted_fits`` of one model, on imputed rows."""
+    fit = Fit(params, objective or losses.logistic())
+    return boosted_fits(train, features, [fit], id_col, target, valid=valid, patience=patience)[0]

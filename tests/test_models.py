@@ -228,6 +228,74 @@ def test_focal_gradients_by_hand(spark):
     assert got[2]["h"] == 1e-6
 
 
+def plain_boosting(x, y, fit_rows, params, objective):
+    """Level by level on plain arrays, every value a bin."""
+    margin = np.full(len(x), params.base_margin)
+    for _ in range(params.rounds):
+        g, h = objective.arrays(margin, y.astype(float))
+        nodes = [np.arange(len(x))]
+        for _ in range(params.depth):
+            grown = []
+            for rows in nodes:
+                mine = rows[fit_rows[rows]]
+                gain, f, cut = numpy_stump(x[mine], g[mine], h[mine], params.reg_lambda, params.reg_alpha, params.min_child_weight)
+                if gain <= boosting.MIN_GAIN:
+                    grown.append(rows)
+                else:
+                    grown += [rows[x[rows, f] < cut], rows[x[rows, f] >= cut]]
+            nodes = grown
+        for rows in nodes:
+            mine = rows[fit_rows[rows]]
+            top = np.sign(g[mine].sum()) * max(abs(g[mine].sum()) - params.reg_alpha, 0)
+            margin[rows] -= params.eta * top / (h[mine].sum() + params.reg_lambda)
+    return margin
+
+
+@pytest.mark.parametrize("budget", [boosting.HISTOGRAM_BYTES, 2000])
+@pytest.mark.parametrize("partial", [boosting.PARTIAL_BYTES, 0])
+def test_fits_that_share_passes_match_plain_boosting(spark, small, monkeypatch, budget, partial):
+    """Fits of other depths, rounds and folds in one batch; with sums kept for siblings and in
+    several passes, added up on the driver and by Spark."""
+    monkeypatch.setattr(boosting, "HISTOGRAM_BYTES", budget)
+    monkeypatch.setattr(boosting, "PARTIAL_BYTES", partial)
+    df, x, y = small
+    rows = df.withColumn("fold", (F.col("row_id") % 3).cast("int"))
+    fold = np.arange(len(x)) % 3
+    fits = [
+        boosting.Fit(boosting.BoostParams(rounds=2, depth=3, eta=0.7), losses.logistic(2.0), 0),
+        boosting.Fit(boosting.BoostParams(rounds=3, depth=2, reg_alpha=0.5, min_child_weight=4.0), losses.logistic(), 1),
+        boosting.Fit(boosting.BoostParams(rounds=1, depth=1, base_margin=0.3, min_child_weight=0.01), losses.focal(), 2),
+        boosting.Fit(boosting.BoostParams(rounds=2, depth=2), losses.logistic(), None),
+    ]
+    models = boosting.boosted_fits(rows.repartition(4), COLS, fits, fold_col="fold")
+    for fit, model in zip(fits, models, strict=True):
+        seen = np.ones(len(x), bool) if fit.fold is None else fold != fit.fold
+        want = plain_boosting(x, y, seen, fit.params, fit.objective)
+        got = boosting.tree_margins(model.trees, x) + fit.params.base_margin
+        assert got == pytest.approx(want, abs=1e-9)
+    counts = {r["fit"]: r for r in boosting.out_of_fold_counts(rows, COLS, fits[:3]).collect()}
+    for k, fit in enumerate(fits[:3]):
+        held = fold == fit.fold
+        hit = plain_boosting(x, y, ~held, fit.params, fit.objective)[held] >= 0
+        assert (counts[k]["tp"], counts[k]["fp"]) == ((hit & (y[held] == 1)).sum(), (hit & (y[held] == 0)).sum())
+        assert counts[k]["fn"] + counts[k]["tn"] == (~hit).sum()
+
+
+def test_gaps_get_the_medians_of_the_fold(spark, small):
+    df, x, y = small
+    gap = df.withColumn("a", F.when(F.col("row_id") % 4 != 0, F.col("a"))).withColumn("fold", (F.col("row_id") % 2).cast("int"))
+    medians = search.fold_medians(gap, COLS)
+    for k in (0, 1):
+        other = np.array([v for i, v in enumerate(x[:, 0]) if i % 4 and i % 2 != k])
+        assert medians[k]["a"] == np.median(other)
+    fit = boosting.Fit(boosting.BoostParams(rounds=2, depth=2), losses.logistic(), 1)
+    model = boosting.boosted_fits(gap, COLS, [fit], fold_col="fold", fills=medians)[0]
+    filled = x.copy()
+    filled[::4, 0] = medians[1]["a"]
+    want = plain_boosting(filled, y, np.arange(len(x)) % 2 == 0, fit.params, fit.objective)
+    assert boosting.tree_margins(model.trees, filled) == pytest.approx(want, abs=1e-9)
+
+
 def test_trials_resume(spark, sensor_pdf, tmp_path):
     df, _ = sensor_pdf
     rows = folds.stratified_folds(df, 2)
