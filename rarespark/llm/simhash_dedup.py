@@ -13,15 +13,10 @@ pairs of blocks are dealt out as separate groups.
 Nulls: a null text counts as empty; empty texts have fingerprint zero and are linked like
 any other. Rows without id belong to the component of their fingerprint, whose id is the
 smallest one present (null if there is none). An empty table gives an empty result.
-
-The pipeline's stage, ``one_per_class``, must find texts alike by 0.8, of which 64-bit
-fingerprints differ in some 10 bits: too many for a grid. It takes its candidates from
-MinHash bands instead, and no document goes before its Jaccard similarity is verified.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,21 +30,6 @@ from rarespark.session import cut_lineage
 
 SHINGLE = 4
 DISTANCE = 4
-STAGE_SHINGLE = 5
-#: A band is shared by two texts of similarity s with probability s ** BAND_ROWS; a kind is
-#: so many bands. Of 20 bands of 5, texts alike by 0.8 share one in 2999 of 3000 cases.
-STAGE_KINDS = 4
-KIND_BANDS = 5
-BAND_ROWS = 5
-#: Jaccard similarity, as a fraction, from which a text is a near copy.
-ALIKE = (4, 5)
-#: Candidates differ in at most this share of their sketch bits: 0.1 is the mean at a
-#: similarity of 0.8, and 0.25 is five standard deviations above it.
-SKETCH_SHARE = 0.25
-FRONT = 16
-FRONT_MOST = 256
-FRONT_GROWTH = 4
-CHUNK_FRONTS = 8
 SEED = 42
 BLOCK = 4096
 CHUNK = 1 << 16
@@ -267,11 +247,7 @@ def links(fps: DataFrame) -> DataFrame:
     # A fingerprint makes some 40 rows: the short table is spread over all tasks first.
     tasks = 2 * int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = fps.select("fp", "node", "kind").repartition(tasks).mapInArrow(_cells, "cell bigint, fp bigint, node bigint")
-    return _cell_links(cells, DISTANCE)
-
-
-def _cell_links(cells: DataFrame, distance: int) -> DataFrame:
-    return _groups(cells).repartition("grp").sortWithinPartitions("grp").mapInArrow(_links(distance), "a bigint, b bigint")
+    return _groups(cells).repartition("grp").sortWithinPartitions("grp").mapInArrow(_links(DISTANCE), "a bigint, b bigint")
 
 
 def _ranked(doc_id: str = "doc_id", key: str = "key"):
@@ -303,218 +279,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     )
 
 
-def _shingles(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the word shingles of each row that has words, where each such row begins
-    (one more at the end), and their positions. A row of fewer words has one shingle, all
-    of them."""
-    counts = np.diff(first)
-    short = np.flatnonzero((counts > 0) & (counts < size))
-    shingles = np.maximum(counts - size + 1, 0)
-    shingles[short] = 1
-    full = np.flatnonzero(shingles)
-    begins = np.concatenate([[0], np.cumsum(shingles[full])]).astype(np.int64)
-    at = np.repeat(first[full] - begins[:-1], shingles[full]) + np.arange(begins[-1])
-    grams = W.gram_hash(words, size)
-    hashes = np.empty(len(at), np.uint64)
-    whole = np.repeat(counts[full] < size, shingles[full])
-    hashes[~whole] = grams[at[~whole]]
-    hashes[whole] = W.sequence_hash(words, first[short], first[short + 1])
-    return hashes, begins, full
-
-
-def _least_hashes(hashes: np.ndarray, begins: np.ndarray, count: int) -> np.ndarray:
-    """The least of each row's hashes under ``count`` orders."""
-    steps = W.mix(np.arange(1, count + 1, dtype=np.uint64)) | ONE
-    out = np.empty((len(begins) - 1, count), np.uint64)
-    for a, b in W.row_slices(begins, CHUNK):
-        part, at = hashes[begins[a] : begins[b]], begins[a:b] - begins[a]
-        for k in range(count):
-            out[a:b, k] = np.minimum.reduceat(part * steps[k], at)
-    return out
-
-
-def _band_cells(least: np.ndarray, bands: int) -> np.ndarray:
-    parts = least.reshape(len(least), bands, BAND_ROWS)
-    cells = np.arange(1, bands + 1, dtype=np.uint64)
-    for k in range(BAND_ROWS):
-        cells = W.mix(cells * np.uint64(W.WORD_STEP) + parts[:, :, k])
-    return cells
-
-
-def _sketch_bits(least: np.ndarray) -> np.ndarray:
-    """One bit of each least hash, as two words."""
-    bits = np.zeros((len(least), 128), np.uint8)
-    bits[:, : least.shape[1]] = W.mix(least)[:, :128] & ONE
-    return np.packbits(bits, axis=1, bitorder="little").view("<u8")
-
-
-def _signatures(size: int, bands: int):
-    """Per text the hash of its words as node, its band cells and its sketch bits. Texts of
-    equal words are one node; texts without words have no cells."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, bounds = W.utf8_buffer(batch.column(1))
-            nodes = np.zeros(batch.num_rows, np.uint64)
-            cells = np.zeros((batch.num_rows, bands), np.uint64)
-            bits = np.zeros((batch.num_rows, 2), np.uint64)
-            some = np.zeros(batch.num_rows, bool)
-            for a, b in W.row_slices(bounds):
-                words, first = W.hashed_words(W.LOWERED[data[bounds[a] : bounds[b]]], bounds[a : b + 1] - bounds[a])
-                nodes[a:b] = W.sequence_hash(words, first[:-1], first[1:])
-                hashes, begins, full = _shingles(words, first, size)
-                if len(full):
-                    least = _least_hashes(hashes, begins, bands * BAND_ROWS)
-                    some[a + full] = True
-                    cells[a + full] = _band_cells(least, bands)
-                    bits[a + full] = _sketch_bits(least)
-            ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2), W.signed(nodes), W.signed(bits[:, 0]), W.signed(bits[:, 1]),
-                    pa.ListArray.from_arrays(pa.array(ends), W.signed(cells[some].ravel())),
-                ],
-                ["doc_id", "key", "node", "low", "high", "cells"],
-            )
-
-    return rows
-
-
-def _packed_texts(held: np.ndarray):
-    """Texts that may be candidates, compressed; ``held`` marks their keys."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.filter(pa.array(W.in_bitmap(held, batch.column(0).to_numpy())))
-            packed = [zlib.compress((x.as_py() or "").encode(), 1) for x in own.column(1)]
-            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(packed, pa.binary())], ["row", "packed"])
-
-    return rows
-
-
-def shingle_set(raw: bytes, size: int = STAGE_SHINGLE) -> np.ndarray:
-    """Sorted hashes of the different word shingles of a text."""
-    data = np.frombuffer(raw, np.uint8)
-    words, first = W.hashed_words(W.LOWERED[data], np.array([0, len(data)], np.int64))
-    return np.unique(_shingles(words, first, size)[0])
-
-
-def alike(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two sets have at least the Jaccard similarity of a near copy."""
-    over, under = ALIKE
-    if min(len(x), len(y)) * under < max(len(x), len(y)) * over:
-        return False
-    x, y = (x, y) if len(x) < len(y) else (y, x)
-    at = np.searchsorted(y, x)
-    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-    return both * under >= (len(x) + len(y) - both) * over
-
-
-def _judged(size: int):
-    """Which texts of a chunk stay and go. The front texts come first, in order: one goes if
-    it is a near copy of one before that stays, and so does a text of the rest that is a
-    near copy of a front text that stays. The others are left for a later round."""
-
-    def rows(chunk: pa.Table) -> pa.Table:
-        order = chunk.select(["front", "no_id", "id", "key"]).add_column(0, "at", pa.array(np.arange(chunk.num_rows)))
-        order = order.sort_by([("front", "descending"), ("no_id", "ascending"), ("id", "ascending"), ("key", "ascending")])
-        front, told = chunk.column("front").to_pylist(), chunk.column("told").to_pylist()
-        packed, node = chunk.column("packed"), chunk.column("node").to_pylist()
-        staying: list[np.ndarray] = []
-        nodes, goes = [], []
-        for k in order.column("at").to_pylist():
-            own = shingle_set(zlib.decompress(packed[k].as_py()), size)
-            gone = any(alike(own, other) for other in staying)
-            if front[k] and not gone:
-                staying.append(own)
-            if (front[k] and told[k]) or (gone and not front[k]):
-                nodes.append(node[k])
-                goes.append(gone)
-        return pa.table([pa.array(nodes, pa.int64()), pa.array(goes, pa.bool_())], ["node", "goes"])
-
-    return rows
-
-
-def _first_of_each(rows: DataFrame, n: int) -> DataFrame:
-    """``(node)`` of the first ``n`` rows of each ``root``, found in two steps so that a large
-    component is not sorted in one task."""
-    order = [F.col(c) for c in ("no_id", "id", "key", "node")]
-    salted = Window.partitionBy("root", F.pmod(F.xxhash64("node"), F.lit(64))).orderBy(*order)
-    some = rows.select("root", "no_id", "id", "key", "node").withColumn("at", F.row_number().over(salted)).where(F.col("at") <= n)
-    return some.withColumn("at", F.row_number().over(Window.partitionBy("root").orderBy(*order))).where(F.col("at") <= n).select("node")
-
-
-def _near_copies(members: DataFrame, size: int) -> DataFrame:
-    """``(node, goes)`` of all ``members (node, root, no_id, id, key, packed)``: in their order,
-    a text goes if it is a near copy of one in its component that stays.
-
-    A round compares the first texts of each component with chunks of the rest, so its work
-    is linear in the members; near copies of what stays go at once, and only the others are
-    left. A component of one chunk is done in one round.
-    """
-    found, front = None, FRONT
-    while True:
-        chunk = CHUNK_FRONTS * front
-        sizes = cut_lineage(members.groupBy("root").agg(F.count("*").alias("n")), "sizes")
-        sized = members.join(sizes, "root")
-        whole = sized.where(F.col("n") <= chunk).withColumns({"grp": F.xxhash64("root", F.lit(0)), "front": F.lit(True), "told": F.lit(True)})
-        some = sized.where(F.col("n") > chunk)
-        large = not sizes.where(F.col("n") > chunk).isEmpty()
-        dealt = whole
-        if large:
-            head = cut_lineage(_first_of_each(some, front).withColumn("front", F.lit(True)), "front")
-            marked = some.join(F.broadcast(head) if head.count() < 10_000 else head, "node", "left")
-            chunks = F.ceil(F.col("n") / chunk).cast("int")
-            rest = marked.where("front is null").withColumns(
-                {"at": F.pmod(F.xxhash64("node"), chunks).cast("int"), "front": F.lit(False), "told": F.lit(False)}
-            )
-            heads = marked.where("front").withColumn("at", F.explode(F.sequence(F.lit(0), chunks - 1)))
-            both = rest.unionByName(heads.withColumn("told", F.col("at") == 0))
-            dealt = whole.unionByName(both.withColumn("grp", F.xxhash64("root", "at")).drop("at"))
-        needed = dealt.select("grp", "node", "no_id", "id", "key", "packed", "front", "told")
-        judged = cut_lineage(needed.groupBy("grp").applyInArrow(_judged(size), "node bigint, goes boolean"), "judged")
-        found = judged if found is None else found.unionByName(judged)
-        if not large:
-            return found
-        left = some.drop("n").join(judged.select("node"), "node", "left_anti").select(members.columns)
-        members = cut_lineage(left, "left")
-        front = min(front * FRONT_GROWTH, FRONT_MOST)
-
-
-def one_per_class(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = STAGE_SHINGLE, kinds: int = STAGE_KINDS
-) -> DataFrame:
-    """The documents, with all columns, without near copies.
-
-    In the order of ids a document goes if the sets of its ``size``-word shingles and those
-    of a document that stays have a Jaccard similarity of ``ALIKE`` or more. Candidates are
-    texts that share one of ``kinds * KIND_BANDS`` MinHash bands and whose sketch bits are
-    alike, directly or through others. Rows that repeat an id and text are kept once. Rows
-    without id rank last.
-    """
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all columns, that are the first of their component: that with the
+    smallest id; rows without id rank last. Rows that repeat an id and text are kept once."""
     names = docs.columns
-    bands = kinds * KIND_BANDS
-    W.bounded_batches(docs.sparkSession)
-    texts = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), W.text_key(F.col(text_col)).alias("key")
-    )
-    schema = "doc_id bigint, key bigint, node bigint, low bigint, high bigint, cells array<bigint>"
-    rows = cut_lineage(texts.mapInArrow(_signatures(size, bands), schema), "signatures")
-    signs = [F.first(c).alias(c) for c in ("low", "high", "cells")]
-    distinct = cut_lineage(rows.groupBy("node").agg(F.min(_ranked()).alias("first"), *signs), "distinct")
-    cells = distinct.select(F.explode("cells").alias("cell"), "low", "high", "node")
-    near = _cell_links(cells, int(SKETCH_SHARE * min(bands * BAND_ROWS, 128)))
-    firsts = distinct.select("node", "first.*").withColumn("row", F.xxhash64("id", "key"))
-    members = cut_lineage(components(near).join(firsts, "node"), "candidates")
-    packed = texts.select(F.xxhash64("doc_id", "key").alias("row"), "text").mapInArrow(
-        _packed_texts(W.bitmap_of(members, "row")), "row bigint, packed binary"
-    )
-    members = cut_lineage(packed.dropDuplicates(["row"]).join(members, "row").drop("row"), "packed")
-    goes = cut_lineage(_near_copies(members, size).where("goes").select("node", "goes"), "near-copies")
-    named = cut_lineage(distinct.select("node", "first").join(goes, "node", "left"), "named")
-    found = cut_lineage(rows.select("doc_id", "key", "node").join(named, "node").drop("node"), "classes")
-    gone = found.where(F.col("goes") | (_ranked() != F.col("first")))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    rows = fingerprints(docs, id_col, text_col).select("doc_id", "key", F.col("fp").alias("node"))
+    found = cut_lineage(_classes(cut_lineage(rows, "fingerprints")), "classes")
+    gone = found.where(_ranked() != F.col("first")).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     match = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (W.text_key(F.col(text_col)) == F.col("__key"))
     kept = docs.join(gone, match, "left_anti").select(*names)
     repeated = found.groupBy("doc_id", "key").count().where("count > 1")
