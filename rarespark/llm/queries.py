@@ -73,13 +73,14 @@ LOWER_WORDS_SQL = WORDS_SQL.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQR
     "op8_containment_decontamination",
     f"""with d as (select doc_id, {LOWER_WORDS_SQL} as w from documents),
     q as (select item_id, {LOWER_WORDS_SQL} as w from benchmark),
-    ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) as s
-           from d where len(w) > 0),
-    qs as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) as s
-           from q where len(w) > 0),
+    qk as (select *, least(len(w), 5) as k from q where len(w) > 0),
+    qs as (select distinct item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s
+           from qk),
+    ds as (select distinct doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s
+           from d cross join (select distinct k from qk) where len(w) >= k),
     n as (select item_id, count(*) as n_shingles from qs group by item_id)
     select doc_id, item_id, n_shingles, count(*) as n_shared
-    from ds join qs using (s) join n using (item_id)
+    from ds join qs using (k, s) join n using (item_id)
     group by doc_id, item_id, n_shingles having count(*) * 5 >= n_shingles * 4""",
 )
 def op8(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 1 << 18
 BATCH_BYTES = 8 << 20
-BITMAP_BITS = 1 << 25
+#: Bits of a bitmap for each key, and the least and most of them: 64 MB in a worker.
+KEY_BITS = 16
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 
 # Odd multipliers of the rolling hashes and the finaliser's constants.
 BYTE_STEP = 0x9E3779B97F4A7C15
@@ -147,12 +149,14 @@ def sequence_hash(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return _range_hash(words, starts, ends, _word_power)
 
 
-def bitmap_of(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Bitmap of a long column, of a fixed size whatever the number of rows.
+def bitmap_of(keys: DataFrame, key: str, bits: int | None = None) -> np.ndarray:
+    """Bitmap of a long column of a written table, of ``KEY_BITS`` for each row.
 
-    It only spares a later join rows that can't match; with many keys it fills up and
+    It only spares a later join rows that can't match; beyond ``MOST_BITS`` it fills up and
     spares fewer. Spark ORs the bits; at most ``bits / 64`` words reach the driver.
     """
+    if bits is None:
+        bits = min(max(LEAST_BITS, 1 << (KEY_BITS * keys.count()).bit_length()), MOST_BITS)
     low = F.col(key).bitwiseAND(F.lit(bits - 1))
     found = (
         keys.where(F.col(key).isNotNull())

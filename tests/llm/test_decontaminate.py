@@ -8,19 +8,24 @@ from llm_cases import edge_rows, random_docs
 from rarespark.llm import decontaminate as D
 
 
-def shingles(text):
-    w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def words(text):
+    return re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def shingles(text, size=5):
+    w = words(text)
+    return {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
 def expected(docs, items):
     out = set()
     for doc_id, text in docs:
-        own = shingles(text)
         for item_id, question in items:
-            asked = shingles(question)
-            if asked and len(own & asked) * 5 >= len(asked) * 4:
-                out.add((doc_id, item_id, len(asked), len(own & asked)))
+            size = min(5, len(words(question)))
+            asked = shingles(question, size) if size else set()
+            shared = len(shingles(text, size) & asked) if size else 0
+            if asked and shared * 5 >= len(asked) * 4:
+                out.add((doc_id, item_id, len(asked), shared))
     return sorted(out, key=repr)
 
 
@@ -48,10 +53,10 @@ def test_scattered_and_partial_items(spark):
         (5, " ".join(item[:16] + ["x"] + item[12:])),
     ]
     items = [(7, " ".join(item)), (8, "tiny item"), (9, None), (10, "")]
-    docs.append((6, "Tiny  item"))
+    docs += [(6, "Tiny  item"), (11, "a longer text with a tiny item inside it"), (12, "a tiny and an item")]
     got = found(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
     assert got == expected(docs, items)
-    assert {(r[0], r[1]) for r in got} == {(1, 7), (2, 7), (5, 7), (6, 8)}
+    assert {(r[0], r[1]) for r in got} == {(1, 7), (2, 7), (5, 7), (6, 8), (11, 8)}
 
 
 def test_edge_cases(spark, edge, empty):
@@ -64,7 +69,7 @@ def test_edge_cases(spark, edge, empty):
     kept = D.remove_contaminated(edge, table)
     assert kept.schema == edge.schema
     gone = {r[:1] for r in expected(docs, items)}
-    left = [d for d in docs if not any(shingles(q) and len(shingles(d[1]) & shingles(q)) * 5 >= len(shingles(q)) * 4 for _, q in items)]
+    left = [d for d in docs if not expected([d], items)]
     assert gone
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(left, key=repr)
 
@@ -75,3 +80,30 @@ def test_item_held_by_many_documents(spark):
     docs = [(i, f"a{i} b{i} {item} c{i}") for i in range(500)]
     got = found(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
     assert got == sorted(((i, 1, 16, 16) for i in range(500)), key=repr)
+
+
+def test_items_of_each_length(spark):
+    """Items of one word and more inside longer documents, and across no border of documents."""
+    item = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    items = [(n, " ".join(item[:n])) for n in range(1, 7)]
+    docs = [(10 + n, "before " + " ".join(item[:n]) + " after it all") for n in range(1, 7)]
+    docs += [(30, "beta gamma delta"), (31, "alpha gamma beta"), (32, "beta"), (33, "x alpha")]
+    got = found(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert got == expected(docs, items)
+    assert (14, 4, 1, 1) in got and (13, 4, 1, 1) not in got
+
+
+def test_a_common_stem_makes_no_candidates(spark):
+    """All items and documents share a stem: the sketches take the words that tell items apart."""
+    stem = "which of the following statements about the"
+    docs = [(i, f"{stem} " + " ".join(f"d{i}x{k}" for k in range(30))) for i in range(200)]
+    items = [(i, f"{stem} " + " ".join(f"q{i}x{k}" for k in range(20))) for i in range(50)]
+    docs += [(1000 + i, "start " + t + " end") for i, t in items[:5]]
+    made = D._texts(spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text").mapInArrow(D._item_rows, "id bigint, key bigint, gram bigint, words int")
+    held = spark.createDataFrame(
+        [(r.gram, 200) for r in made.groupBy("gram").count().where("count > 1").collect()], "gram bigint, docs bigint"
+    )
+    sketches = D.item_sketches(made, held)
+    assert held.count() == 3 and sketches.join(held, "gram").count() == 0
+    got = found(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert got == expected(docs, items) and len(got) == 5
