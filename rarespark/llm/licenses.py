@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 FROM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ‘’“”–—• \r"
 TO = "abcdefghijklmnopqrstuvwxyz''\"\"--*  "
 
+#: A longer line that starts with a copyright statement holds more than that.
+COPYRIGHT_CHARS = 200
 COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
 RIGHTS_LINE = r"^[^a-z0-9]*all rights reserved[^a-z0-9]*$"
 
@@ -45,6 +47,15 @@ PATTERN_SPELLINGS = [
     (r"([a-z]{3})is(e|es|ed|ing|ation|ations)([^a-z]|$)", "iz"),
 ]
 
+# Titles that short licences stand under, and the words that they begin with.
+TITLE = (
+    "(?:the )?(?:mit|expat|isc|0bsd|new bsd|modified bsd|simplified bsd|bsd zero clause|zero clause bsd|bsd [023] clause|[023] clause bsd)"
+    "(?: new or revised| new| revised| simplified| clear)?(?: license)?(?: (?:mit|expat|isc|0bsd|bsd [023] clause))?"
+)
+OPENING = "permission is hereby granted free|permission to use copy modify and or|redistribution and use in source and binary"
+#: Title and copyright statements before the words of a licence, in the joined canonical text.
+HEAD = f"^(?:{TITLE} )?(?:(?:copyright|c) .{{1,300}}? )?({OPENING})"
+
 # Texts of licences.
 MIT = """MIT License
 
@@ -148,7 +159,7 @@ KNOWN_NOTICES = [
 def canonical_line(line: Column) -> Column:
     """Canonical form of a line; empty for copyright lines."""
     line = F.translate(line, FROM, TO)
-    bare = line.rlike(COPYRIGHT_LINE) | line.rlike(RIGHTS_LINE)
+    bare = (line.rlike(COPYRIGHT_LINE) & (F.length(line) <= COPYRIGHT_CHARS)) | line.rlike(RIGHTS_LINE)
     line = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), FIXED_SPELLINGS, line)
     for pattern, middle in PATTERN_SPELLINGS:
         line = F.regexp_replace(line, pattern, f"$1{middle}$2$3")
@@ -166,10 +177,15 @@ def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def canonical_text(lines: Column) -> Column:
+    """The lines as one text, without a short licence's title and copyright statement."""
+    return F.regexp_replace(F.array_join(lines, " "), HEAD, "$1")
+
+
 def known_table(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
     """``(license_id, digest)`` of a short list of texts."""
     rows = spark.createDataFrame(texts, "license_id string, text string")
-    return rows.select("license_id", _digest(F.array_join(canonical_lines(F.col("text")), " ")).alias("digest")).distinct()
+    return rows.select("license_id", _digest(canonical_text(canonical_lines(F.col("text")))).alias("digest")).distinct()
 
 
 def license_report(docs: DataFrame, texts=None, notices=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +209,7 @@ def license_report(docs: DataFrame, texts=None, notices=None, id_col: str = "doc
     short = F.filter("lines", lambda line: F.length(line) <= longest)
     found = F.array_sort(F.array_distinct(F.array_compact(F.transform(short, name_of))))
     named = canonical.select(
-        "doc_id", _digest(F.array_join("lines", " ")).alias("digest"), F.when(F.size(found) > 0, F.array_join(found, ",")).alias("notices")
+        "doc_id", _digest(canonical_text(F.col("lines"))).alias("digest"), F.when(F.size(found) > 0, F.array_join(found, ",")).alias("notices")
     )
     return named.join(F.broadcast(known), "digest", "left").select("doc_id", "digest", "license_id", "notices")
 
@@ -205,7 +221,7 @@ def _sql_text(text: str) -> str:
 def canonical_lines_sql(text: str) -> str:
     """The same form in the dialect of the SQL twin."""
     line = f"translate(raw, {_sql_text(FROM)}, {_sql_text(TO)})"
-    bare = f"(regexp_matches({line}, {_sql_text(COPYRIGHT_LINE)}) or regexp_matches({line}, {_sql_text(RIGHTS_LINE)}))"
+    bare = f"((regexp_matches({line}, {_sql_text(COPYRIGHT_LINE)}) and length({line}) <= {COPYRIGHT_CHARS}) or regexp_matches({line}, {_sql_text(RIGHTS_LINE)}))"
     body = reduce(lambda c, pair: f"replace({c}, {_sql_text(pair[0])}, {_sql_text(pair[1])})", FIXED_SPELLINGS, line)
     for pattern, middle in PATTERN_SPELLINGS:
         body = f"regexp_replace({body}, {_sql_text(pattern)}, '\\1{middle}\\2\\3', 'g')"
@@ -218,13 +234,17 @@ def report_sql() -> str:
     def values(rows):
         return ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in rows)
 
+    def digest(lines: str) -> str:
+        return f"sha256(regexp_replace(array_to_string({lines}, ' '), {_sql_text(HEAD)}, '\\1'))"
+
     return f"""with d as (select doc_id, {canonical_lines_sql('text')} as lines from documents),
-    known as (select distinct license_id, sha256(array_to_string({canonical_lines_sql('text')}, ' ')) as digest
-              from (values {values(KNOWN_TEXTS)}) t(license_id, text)),
+    known as (select distinct license_id, {digest(canonical_lines_sql('text'))} as digest
+              from (values {values(KNOWN_TEXTS)}) t(license_id, text)
+              union select license_id, digest from (values {values(KNOWN_DIGESTS)}) t(license_id, digest)),
     notice as (select distinct license_id, array_to_string({canonical_lines_sql('text')}, ' ') as line
                from (values {values(KNOWN_NOTICES)}) t(license_id, text)),
     named as (select doc_id, string_agg(license_id, ',' order by license_id) as notices from (
               select distinct doc_id, license_id from (select doc_id, unnest(lines) as line from d) join notice using (line))
-              group by doc_id)
-    select doc_id, sha256(array_to_string(lines, ' ')) as digest, license_id, notices
-    from d left join known on known.digest = sha256(array_to_string(lines, ' ')) left join named using (doc_id)"""
+              group by doc_id),
+    k as (select doc_id, {digest('lines')} as digest from d)
+    select doc_id, digest, license_id, notices from k left join known using (digest) left join named using (doc_id)"""

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SLICE_BYTES = 1 << 18
 BATCH_BYTES = 8 << 20
 #: Bits of a bitmap for each key, and the least and most of them: 64 MB in a worker.
-KEY_BITS = 16
+KEY_BITS = 6
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 
 # Odd multipliers of the rolling hashes and the finaliser's constants.
