@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame, functions as F
 
-from rarespark.operators import curves, metrics, neighbors
+from rarespark.operators import curves, linear, metrics, neighbors
 from rarespark.operators.folds import fold_train_val
 from rarespark.operators.prep import Prepare, class_counts, weighted_rows
 from rarespark.session import cut_lineage
@@ -103,31 +103,15 @@ def grid_search(
     features: Sequence[str],
     cs: Sequence[float] = C_GRID,
     l1_ratios: Sequence[float] = L1_GRID,
-    max_iter: int = 5000,
     fold_col: str = "fold",
 ) -> DataFrame:
-    """Cross-validated scores per ``(c, l1_ratio)``, best MCC first.
-
-    Preparation is fitted once per fold and shared by all grid points.
-    """
-    parts = []
+    """Cross-validated scores per ``(c, l1_ratio)``, best MCC first. All points and folds are
+    fitted together."""
     fold_ids = sorted(r[0] for r in train.select(fold_col).distinct().collect())
-    for i in fold_ids:
-        fit_rows, val_rows = fold_train_val(train, i, fold_col)
-        prep = Prepare(inputCols=list(features)).fit(fit_rows)
-        counts = class_counts(fit_rows)
-        rows = sum(counts.values())
-        weighted = weighted_rows(prep.transform(fit_rows), counts).persist()
-        val = prep.transform(val_rows).select("y", fold_col, "features")
-        for c, l1 in itertools.product(cs, l1_ratios):
-            model = elastic_net(rows, c, l1, max_iter).fit(weighted)
-            rated = positive_score(model.transform(val)).select("y", F.col(fold_col).alias("fold"), "proba")
-            parts.append(rated.withColumns({"c": F.lit(float(c)), "l1_ratio": F.lit(float(l1))}))
-        weighted.unpersist()
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    table = cut_lineage(metrics.apply_threshold(table, 0.5), "grid")
+    points = [linear.Point(c, l1, i) for c, l1 in itertools.product(cs, l1_ratios) for i in fold_ids]
+    models = linear.linear_fits(train, features, points, fold_col)
+    rated = linear.out_of_fold_scores(train, models, fold_col)
+    table = cut_lineage(metrics.apply_threshold(rated, 0.5), "grid")
     keys = ["c", "l1_ratio"]
     ap = curves.average_precision(table, [*keys, "fold"])
     return metrics.cv_summary(table, ap, keys).orderBy(F.desc("mcc_mean"), *keys)

@@ -98,7 +98,7 @@ def test_elastic_net_reaches_the_optimum(spark, sensor_pdf):
 def test_grid_and_cross_validator(spark, sensor_pdf):
     df, _ = sensor_pdf
     rows = folds.stratified_folds(df, 2).persist()
-    grid = training.grid_search(rows, FEATURES, (0.1, 1.0), (0.0,), max_iter=10).collect()
+    grid = training.grid_search(rows, FEATURES, (0.1, 1.0), (0.0,)).collect()
     assert len(grid) == 2 and grid[0]["mcc_mean"] >= grid[1]["mcc_mean"]
     lr = LogisticRegression(labelCol="y", maxIter=5)
     cv = CrossValidator(
