@@ -11,6 +11,7 @@ from rarespark.operators import (
     calibration,
     explain,
     folds,
+    linear,
     neighbors,
     prep,
     search,
@@ -18,6 +19,7 @@ from rarespark.operators import (
 )
 from rarespark.plans.fixtures import (
     FEATURES,
+    FOLDS,
     N_TREES,
     leaf_vectors,
     phi,
@@ -183,16 +185,52 @@ def cv_model_scores(spark, sf):
     return training.cv_comparison(_folded(spark, sf), fits).drop("seconds")
 
 
+def _linear_rated(train, rows):
+    """Five folds' models over ``train``: scores of each fold's own rows, and of ``rows``."""
+    points = [linear.Point(0.1, 0.5, f) for f in range(FOLDS)]
+    models = linear.linear_fits(train, FEATURES, points, "fold")
+    own = linear.out_of_fold_scores(train, models, keep=["row_id"]).select("row_id", "y", "fold", "proba")
+    both = own.withColumn("is_tune", F.lit(True)).unionByName(linear.scores_by_fold(rows, models).withColumn("is_tune", F.lit(False)))
+    return cut_lineage(both, "rated")
+
+
 @query("cv_calibration")
 def cv_calibration(spark, sf):
-    rows = _folded(spark, sf)
+    """Elastic net: the models and the maps of all folds are fitted together."""
+    rows = _folded(spark, sf, FOLDS)
+    train, test = rows.where("row_id % 5 <> 0"), rows.where("row_id % 5 = 0")
+    return calibration.calibrate_across_folds(_linear_rated(train, test), "sigmoid")
 
-    def fit_and_score(fit_rows, both):
-        model = training.fit_elastic_net(fit_rows, FEATURES, 0.1, 0.5, 100)
-        return cut_lineage(training.positive_score(model.transform(both)).select("row_id", "y", "is_tune", "proba"), "cal")
 
+@query("calibrate_across_folds")
+def calibrate_across_folds(spark, sf):
+    """A linear model and a forest whose test error asks for calibration, each across folds."""
+    rows = _folded(spark, sf, FOLDS)
     train, test = rows.where("row_id % 5 <> 0"), rows.where("row_id % 5 = 0")
-    return calibration.cv_calibration(train, test, fit_and_score, "sigmoid", k=3)
+    net = linear.linear_fits(train, FEATURES, [linear.Point(0.1, 0.5)])[0]
+    forest = training.fit_random_forest(train, FEATURES, **FOREST)
+
+    def of_forest(fit_rows, both):
+        model = training.fit_random_forest(fit_rows, FEATURES, **FOREST)
+        return cut_lineage(training.positive_score(model.transform(both)).select("row_id", "y", "is_tune", "proba"), "cal")
+
+    def cross_net(method, df):
+        raw = rows.join(df.select("row_id"), "row_id", "left_semi")
+        return calibration.calibrate_across_folds(_linear_rated(train, raw), method)
+
+    def cross_forest(method, df):
+        raw = rows.join(df.select("row_id"), "row_id", "left_semi")
+        return calibration.cv_calibration(train, raw, of_forest, method, FOLDS)
+
+    parts = []
+    for name, score, cross in (
+        ("Elastic Net", net.transform, cross_net),
+        ("Random Forest", lambda df: training.positive_score(forest.transform(df)), cross_forest),
+    ):
+        tune, held = (cut_lineage(score(df).select("row_id", "y", "proba"), "scored") for df in (train, test))
+        _, out, done = calibration.calibrate_if_needed(tune, held, name, cross=cross, limit=0.0)
+        parts.append(out.select("row_id", "y", F.lit(name).alias("model"), "proba", "calibrated", F.lit(done).alias("done")))
+    return parts[0].unionByName(parts[1])
 
 
 # --- boosting ------------------------------------------------------------------------
