@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from rarespark.functions.hashing import uniform
+from rarespark.functions.hashing import draws
 from rarespark.functions.ranks import exact_quantiles
 from rarespark.operators.folds import simple_sample
 from rarespark.session import cut_lineage
@@ -195,6 +195,36 @@ def _mean_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
+def trees_drawn(key: np.ndarray, share: float, trees: int, seed: int):
+    """Per tree, the rows that join it: each with probability ``share``, by its key alone.
+
+    A row skips a geometric number of trees at a time, so rows that join none cost one draw.
+    """
+    found: list[list[np.ndarray]] = [[] for _ in range(trees)]
+    rows, at, turn = np.arange(len(key)), np.full(len(key), -1, np.int64), 0
+    while len(rows):
+        u = 1.0 - draws(key[rows], seed, turn)
+        skip = np.floor(np.log(u) / np.log1p(-share)) if share < 1.0 else np.zeros(len(rows))
+        at = at + 1 + np.minimum(skip, trees).astype(np.int64)
+        rows, at = rows[at < trees], at[at < trees]
+        order = np.argsort(at, kind="stable")
+        for tree, part in zip(*_split_by(at[order], rows[order]), strict=True):
+            found[tree].append(part)
+        turn += 1
+    for tree, parts in enumerate(found):
+        yield tree_rows(parts), tree
+
+
+def _split_by(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Values by equal neighbouring keys."""
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first].tolist(), np.split(values, first[1:]) if len(first) else []
+
+
+def tree_rows(parts: list[np.ndarray]) -> np.ndarray:
+    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+
 def isolation_forest_fit(
     df: DataFrame, columns: Sequence[str], trees: int = ISO_TREES, rows: int = ISO_ROWS, id_col: str = "row_id", seed: int = 42
 ) -> DataFrame:
@@ -205,13 +235,21 @@ def isolation_forest_fit(
     """
     columns = list(columns)
     share = min(1.0, 2.0 * rows / max(1, df.count()))
-    ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    draw = lambda t: uniform(F.lit(seed), t, F.col(id_col))
-    joined = df.select(
-        id_col,
-        F.array(*[F.col(c).cast("double") for c in columns]).alias("x"),
-        F.explode(F.filter(ids, lambda t: draw(t) < share)).alias("tree"),
-    ).withColumn("u", draw(F.col("tree")))
+    keyed = df.select(id_col, F.array(*[F.col(c).cast("double") for c in columns]).alias("x"), F.xxhash64(id_col).alias("_key"))
+    id_kind = keyed.schema[id_col].dataType.simpleString()
+
+    def drawn(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            key = batch.column(2).to_numpy()
+            for at, tree in trees_drawn(key, share, trees, seed):
+                if len(at):
+                    own, u = pa.array(at), draws(key[at], seed + 1, tree)
+                    marks = [pa.array(np.full(len(at), tree, np.int32)), pa.array(u)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *marks], names=[id_col, "x", "tree", "u"])
+
+    joined = keyed.mapInArrow(drawn, f"{id_col} {id_kind}, x array<double>, tree int, u double")
 
     def build(key, pdf):
         sample = pdf.sort_values(["u", id_col]).head(rows)

@@ -21,6 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rarespark.functions import losses
+from rarespark.functions.hashing import draws
 from rarespark.session import cut_lineage, drop_stage, stage_bytes
 
 MIN_GAIN = 1e-6
@@ -373,18 +374,6 @@ def _stand(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, steps: int) -
     return node
 
 
-# The steps of the published splitmix64 generator.
-GOLDEN, MIX_A, MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def _draws(key: np.ndarray, seed: int, turn: int) -> np.ndarray:
-    """Uniform numbers in [0, 1) from row keys, the same in any task."""
-    x = key.view(np.uint64) + np.uint64(GOLDEN * (seed * 1_000_003 + turn) % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * MIX_A
-    x = (x ^ (x >> np.uint64(27))) * MIX_B
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
-
-
 def _partial_sums(batches, tasks: Sequence[_Task], bins: int) -> Iterator:
     """Gradient sums of one partition: a row per (fit, node), with an array of all bins of all
     features."""
@@ -405,7 +394,7 @@ def _partial_sums(batches, tasks: Sequence[_Task], bins: int) -> Iterator:
             if t.fit.fold is not None:
                 mine &= rows.fold != t.fit.fold
             if t.fit.params.subsample < 1.0:
-                mine &= _draws(rows.key, t.fit.params.seed, t.round) < t.fit.params.subsample
+                mine &= draws(rows.key, t.fit.params.seed, t.round) < t.fit.params.subsample
             mine = np.flatnonzero(mine)
             g, h = t.fit.objective.arrays(rows.margin(t)[mine], rows.y[mine])
             base, table = slot[mine] * bins, sums[t.at]

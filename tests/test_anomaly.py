@@ -76,3 +76,18 @@ def test_hot_value_in_isolation_forest(spark):
     out = anomaly.isolation_forest(df, ["v"])
     scores = out.where("v = 0").select("anomaly").distinct().count()
     assert scores == 1 and out.where("is_outlier and v = 0").count() == 0
+
+
+@pytest.mark.parametrize("share", [0.002, 0.3, 1.0])
+def test_rows_join_each_tree_with_the_same_chance(share):
+    rng = np.random.default_rng(1)
+    key = rng.integers(-(2**63), 2**63 - 1, 20_000)
+    found = {tree: rows for rows, tree in anomaly.trees_drawn(key, share, 100, 7)}
+    sizes = np.array([len(found[t]) for t in range(100)])
+    assert len(found) == 100 and all(len(set(rows.tolist())) == len(rows) for rows in found.values())
+    spread = np.sqrt(20_000 * share * (1 - share))
+    assert abs(sizes.mean() - 20_000 * share) <= 0.5 * spread + 1e-9 and np.abs(sizes - 20_000 * share).max() <= 5 * spread + 1e-9
+    half = {tree: rows for rows, tree in anomaly.trees_drawn(key[5000:], share, 100, 7)}
+    assert all((found[t][found[t] >= 5000] - 5000).tolist() == half[t].tolist() for t in range(100))
+    together = np.mean([len(np.intersect1d(found[t], found[t + 1])) for t in range(99)])
+    assert together == pytest.approx(20_000 * share**2, rel=0.15, abs=0.5)
