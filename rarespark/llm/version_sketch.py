@@ -10,6 +10,11 @@ The likeness of two fingerprints is the share of common paragraphs among all.
 the first document of a range goes to the range before it as well, so every pair meets in
 one task, in order, and each text is shuffled once.
 
+The returned fingerprint is the smallest table. Where two of them are stuck, the likeness comes
+from larger tables made of the same texts, so a reader of the column alone can repeat it only
+for texts that differ little: a review found 13 % of texts with their edits, and 0.3 % with the
+next document, at sf0.01.
+
 Nulls: a null text is empty. Two empty texts are alike (1). Rows without id come last.
 Rows that repeat an id follow each other in an order their texts decide. A single row is
 its own successor. An empty table gives an empty result.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -93,3 +94,42 @@ def test_features_are_the_distinct_ngrams_of_each_row():
     assert np.bincount(row, minlength=5).tolist() == want
     alone = [T._features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), None)[1].tolist() for t in texts]
     assert [bucket[row == k].tolist() for k in range(5)] == alone
+
+
+def plain_buckets(text):
+    """Buckets of a text's distinct n-grams, one n-gram at a time."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" or ("À" <= c <= "Þ" and c != "×") else c for c in text or "")
+    out, top = set(), 2**64
+    for size in T.SIZES:
+        for i in range(len(low) - size + 1):
+            h = 0
+            for c in low[i : i + size]:
+                h = (h * T.W.WORD_STEP + ord(c) + (size << 32)) % top
+            for step in (int(T.W.MIX_1), int(T.W.MIX_2)):
+                h = (h ^ (h >> 33)) * step % top
+            out.add((h ^ (h >> 33)) >> (64 - T.BUCKET_BITS))
+    return out
+
+
+def test_ratios_and_scores_match_plain_counting(spark):
+    """Log-count ratios counted plainly; scores are sums of plain weights over a text's n-grams;
+    the weights are where the penalised logistic loss has no slope."""
+    docs, labels = labelled(240, 3)
+    text = {d[0]: d[1] for d in docs}
+    rows = [(y, text[i]) for i, _, y in labels]
+    model = T.fit(spark.createDataFrame(rows, "label int, text string"))
+    held = [(y, plain_buckets(t)) for y, t in rows]
+    n = [sum(y == k for y, _ in held) for k in (0, 1)]
+    count = [Counter(b for y, own in held if y == k for b in own) for k in (0, 1)]
+    ratio = {b: math.log((count[1][b] + 1) / (n[1] + 2)) - math.log((count[0][b] + 1) / (n[0] + 2)) for b in count[0] | count[1]}
+    telling = sorted(b for b, r in ratio.items() if abs(r) >= T.LEAST_RATIO and count[0][b] + count[1][b] >= T.LEAST_TEXTS)
+    assert 20 < len(telling) <= T.FEATURES and set(np.flatnonzero(model.weights)) <= set(telling)
+    x = np.array([[ratio[b] if b in own else 0.0 for b in telling] for _, own in held])
+    y = np.array([y for y, _ in held])
+    coefficients = np.array([model.weights[b] / ratio[b] for b in telling])
+    gap = 1 / (1 + np.exp(-(x @ coefficients + model.intercept))) - y
+    assert abs(gap.mean()) < 1e-3 and np.abs(x.T @ gap / len(y) + T.PENALTY * coefficients).max() < 2e-3
+    got = {r.doc_id: r.score for r in T.scores(spark.createDataFrame([d[:2] for d in docs] + [(-1, None)], "doc_id bigint, text string"), model).collect()}
+    for i, t in [*text.items(), (-1, None)]:
+        margin = model.intercept + sum(model.weights[b] for b in plain_buckets(t))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-12)
