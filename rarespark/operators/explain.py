@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import factorial
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
@@ -14,6 +14,9 @@ from rarespark.operators.boosting import BoostedModel, Tree
 TOP_BARS = 15
 TOP_POINTS = 20
 TOP_EXAMPLE = 12
+#: Leaves in one table, and cells (rows x leaves) evaluated at once.
+LEAVES = 4096
+BLOCK_CELLS = 1 << 18
 
 
 def leaf_rules(tree: Tree) -> list[tuple[float, dict[int, list[float]]]]:
@@ -48,47 +51,92 @@ def expected_margin(model: BoostedModel) -> float:
     return total
 
 
-def shapley_values(rules, x: np.ndarray) -> np.ndarray:
-    """Exact path-dependent Shapley values of a batch, leaf by leaf.
-
-    On one leaf the game is a product over the path's features: 1 or 0 for a known
-    feature, its cover share for an unknown one. The subsets of each size are the
-    coefficients of a polynomial in the other features.
-    """
-    phi = np.zeros(x.shape)
-    for value, path in rules:
-        m = len(path)
-        if m == 0 or value == 0.0:
-            continue
-        feats = list(path)
-        share = np.array([path[f][2] for f in feats])
-        met = np.column_stack([(x[:, f] >= path[f][0]) & (x[:, f] < path[f][1]) for f in feats]).astype(float)
-        weight = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
-        for j, f in enumerate(feats):
-            poly = np.zeros((len(x), m))
-            poly[:, 0] = 1.0
+@dataclass(frozen=True)
+class Paths:
+    """Leaves whose paths ask the same number of features, as arrays ``(features, leaves)``."""
+
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+    def attributions(self, x: np.ndarray) -> np.ndarray:
+        """Shapley values of a batch of rows, summed over the leaves.
+
+        On one leaf the game is a product over the path's features: 1 or 0 for a known
+        feature, its cover share for an unknown one. The weights of the subsets are Beta
+        integrals, so a feature's value is the integral over t of the product of
+        ``t met + (1 - t) share`` of the others, a polynomial that Gauss's rule integrates
+        exactly.
+        """
+        m = len(self.feature)
+        met = []
+        for f, low, high in zip(self.feature, self.low, self.high, strict=True):
+            v = x[:, f]
+            met.append(((v >= low) & (v < high)).astype(float))
+        total = [0.0] * m
+        at, weight = np.polynomial.legendre.leggauss((m + 1) // 2)
+        for t, w in zip((at + 1) / 2, weight / 2, strict=True):
+            part = [t * k + (1 - t) * share for k, share in zip(met, self.share, strict=True)]
+            behind = [np.array(w)]
+            for u in range(m - 1, 0, -1):
+                behind.append(behind[-1] * part[u])
+            ahead = np.array(1.0)
             for u in range(m):
-                if u != j:
-                    grown = poly * share[u]
-                    grown[:, 1:] += poly[:, :-1] * met[:, u, None]
-                    poly = grown
-            phi[:, f] += value * (met[:, j] - share[j]) * (poly @ weight)
+                total[u] = total[u] + ahead * behind[m - 1 - u]
+                ahead = ahead * part[u]
+        phi = np.zeros(x.shape)
+        for f, k, share, rest in zip(self.feature, met, self.share, total, strict=True):
+            order = np.argsort(f, kind="stable")
+            first = np.flatnonzero(np.diff(f[order], prepend=-1))
+            gain = (self.value * (k - share) * rest)[:, order]
+            phi[:, f[order][first]] += np.add.reduceat(gain, first, axis=1)
+        return phi
+
+
+def leaf_paths(model: BoostedModel) -> list[Paths]:
+    """All leaves of a model by the number of features on their paths, ``LEAVES`` at most in one
+    table."""
+    held: dict[int, list] = {}
+    for tree in model.trees:
+        for value, path in leaf_rules(tree):
+            if path and value != 0.0:
+                held.setdefault(len(path), []).append((value, path))
+    out = []
+    for _, rules in sorted(held.items()):
+        for k in range(0, len(rules), LEAVES):
+            part = rules[k : k + LEAVES]
+            ends = np.array([list(path.values()) for _, path in part]).transpose(2, 1, 0)
+            feature = np.array([list(path) for _, path in part]).T
+            out.append(Paths(feature, *ends, np.array([value for value, _ in part])))
+    return out
+
+
+def shapley_values(paths: Sequence[Paths], x: np.ndarray) -> np.ndarray:
+    """Exact path-dependent Shapley values of a batch, many leaves and rows at a time."""
+    phi = np.zeros(x.shape)
+    for p in paths:
+        step = max(1, BLOCK_CELLS // len(p.value))
+        for lo in range(0, len(x), step):
+            phi[lo : lo + step] += p.attributions(x[lo : lo + step])
     return phi
 
 
 def tree_shap(model: BoostedModel, df: DataFrame, keep: Sequence[str] = ("row_id", "y")) -> DataFrame:
-    """``(keep..., feature, value, phi)``; the rows' features must be imputed."""
-    rules = [r for tree in model.trees for r in leaf_rules(tree)]
+    """``(keep..., feature, value, phi)``; the rows' features must be imputed. The leaves, whose
+    number follows the trees, are broadcast."""
+    held = df.sparkSession.sparkContext.broadcast(leaf_paths(model))
     names = model.features
 
     @F.pandas_udf("array<double>")
-    def attribute(*series):
+    def attribution(*series):
         import pandas as pd
 
-        return pd.Series(list(shapley_values(rules, np.column_stack(series).astype(float))))
+        return pd.Series(list(shapley_values(held.value, np.column_stack(series).astype(float))))
 
     values = F.array(*[F.col(c).cast("double") for c in names])
-    wide = df.select(*keep, values.alias("_v"), attribute(*[F.col(c) for c in names]).alias("_phi"))
+    wide = df.select(*keep, values.alias("_v"), attribution(*[F.col(c) for c in names]).alias("_phi"))
     labels = F.array(*[F.lit(c) for c in names])
     return wide.select(*keep, F.explode(F.arrays_zip(labels.alias("feature"), F.col("_v"), F.col("_phi"))).alias("c")).select(
         *keep, F.col("c.feature"), F.col("c._v").alias("value"), F.col("c._phi").alias("phi")

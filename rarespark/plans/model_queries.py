@@ -30,6 +30,7 @@ from rarespark.plans.fixtures import (
     vectors,
 )
 from rarespark.plans.registry import RATES, SCORED_LONG, SENSOR, TRAIN, VECTORS, hash_sql, long_sql, query, r6
+from rarespark.plans.tree_sql import FEW_VALUES, shap_sql
 from rarespark.session import cut_lineage, scratch_path
 from rarespark.sources import tables
 
@@ -541,6 +542,62 @@ def tree_shap_sums(spark, sf):
     return model.transform(test).join(total, "row_id").select("row_id", r6(gap, "gap"))
 
 
+def _two_level_phi(spark, sf):
+    """Attributions of all rows on a fitted tree of two levels, which SQL can grow too; to 9
+    digits, so that ties are ties."""
+    rows = _few_values(spark, sf)
+    params = boosting.BoostParams(rounds=1, depth=2, bins=1024, min_child_weight=20.0)
+    model = boosting.boosted_trees_fit(rows, FEW_VALUES, params)
+    phi_rows = explain.tree_shap(model, rows)
+    return model, rows, phi_rows.withColumn("phi", F.round("phi", 9) + F.lit(0.0))
+
+
+def _few_values(spark, sf):
+    hit = (F.col("f_qty") > 150) | (F.col("f_disc") > 0.09)
+    rows = sensor_table(spark, sf).withColumn("y", F.when(hit, 1).otherwise(0))
+    return prep.median_impute(rows, prep.fit_medians(rows, FEW_VALUES), FEW_VALUES)
+
+
+SHAP = shap_sql()
+
+
+@query("tree_shap_rows", f"with {SHAP} select row_id, y, feature, value, round(phi, 6)+0.0 phi from phi")
+def tree_shap_rows(spark, sf):
+    """Attributions of every row, feature by feature."""
+    return _two_level_phi(spark, sf)[2].select("row_id", "y", "feature", "value", r6("phi"))
+
+
+@query("shap_importance_fitted", f"""with {SHAP} select feature, round(avg(abs(phi)), 6) mean_abs from phi group by feature""")
+def shap_importance_fitted(spark, sf):
+    """Importances from the attributions of a fitted model."""
+    return explain.shap_importance(_two_level_phi(spark, sf)[2]).select("feature", r6("mean_abs"))
+
+
+@query("shap_stability_fitted", f"""with {SHAP}, m as (select feature, avg(abs(phi)) m from phi group by feature),
+f as (select feature, row_id % 5 fold, avg(abs(phi)) m from phi group by all),
+d as (select feature, stddev_pop(m) sd from f group by feature)
+select m.feature, round(m.m, 6) mean_abs, round(sd, 6) std_across_folds, sd < (select median(m) from m) as stable
+from m join d on m.feature = d.feature""")
+def shap_stability_fitted(spark, sf):
+    """Spread over folds of the importances of a fitted model."""
+    phi_rows = cut_lineage(_two_level_phi(spark, sf)[2].withColumn("fold", F.col("row_id") % FOLDS), "phi")
+    return explain.shap_stability(phi_rows).select("feature", r6("mean_abs"), r6("std_across_folds"), "stable")
+
+
+@query("shap_waterfall_fitted", f"""with {SHAP}, m as (select row_id, any_value(y) y, any_value(e) + sum(phi) margin from phi, base group by row_id),
+x as (select min(row_id) row_id from m where y = 1 or margin >= 0 group by y, margin >= 0),
+r as (select p.row_id, feature, phi, row_number() over (partition by p.row_id order by abs(phi) desc, feature) step from phi p semi join x on p.row_id = x.row_id),
+t as (select row_id, least(step, 3) step, case when min(step) <= 2 then min(feature) else 'other' end feature, sum(phi) phi from r group by 1, 2)
+select row_id, cast(step as int) step, feature, round(phi, 6)+0.0 phi,
+round(e + sum(phi) over (partition by row_id order by step), 6)+0.0 margin from t, base""")
+def shap_waterfall_fitted(spark, sf):
+    """The way from the mean margin to that of the first row of each kind of outcome."""
+    model, rows, phi_rows = _two_level_phi(spark, sf)
+    examples = explain.confusion_examples(model.transform(rows))
+    out = explain.shap_waterfall(phi_rows, examples, base=explain.expected_margin(model), top=2)
+    return out.select("row_id", "step", "feature", r6("phi"), r6("margin"))
+
+
 @query("shap_importance", f"with {PHI} select feature, round(mean_abs, 4) mean_abs from imp order by imp.mean_abs desc, feature limit 10")
 def shap_importance(spark, sf):
     return explain.shap_importance(phi(spark, sf)).select("feature", F.round("mean_abs", 4).alias("mean_abs"))

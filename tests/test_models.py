@@ -343,3 +343,33 @@ def test_attributions_are_shapley_values(spark, small):
                     for t in model.trees:
                         want += weight * (known_margin(t, x[i], {*s, j}) - known_margin(t, x[i], set(s)))
             assert phi[i, j] == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 8])
+def test_attributions_of_many_leaves_add_up(depth, monkeypatch):
+    """Leaves in several tables, rows in several blocks, paths that ask a feature twice."""
+    rng = np.random.default_rng(depth)
+    trees = []
+    for _ in range(6):
+        tree = boosting.Tree(depth)
+        inner, leaves = np.arange(1, 2**depth), np.arange(2**depth, 2 ** (depth + 1))
+        tree.feature[inner], tree.cut[inner] = rng.integers(0, 4, len(inner)), rng.random(len(inner))
+        tree.value[leaves], tree.cover[leaves] = rng.normal(size=len(leaves)), rng.integers(1, 9, len(leaves))
+        for i in inner[::-1]:
+            tree.cover[i] = tree.cover[2 * i] + tree.cover[2 * i + 1]
+        trees.append(tree)
+    model = boosting.BoostedModel(list("abcd"), trees)
+    x = rng.random((40, 4))
+    whole = explain.shapley_values(explain.leaf_paths(model), x)
+    assert whole.sum(axis=1) + explain.expected_margin(model) == pytest.approx(boosting.tree_margins(trees, x))
+    monkeypatch.setattr(explain, "LEAVES", 7)
+    monkeypatch.setattr(explain, "BLOCK_CELLS", 50)
+    assert explain.shapley_values(explain.leaf_paths(model), x) == pytest.approx(whole)
+    for i in (0, 17):
+        for j in range(4):
+            want, others = 0.0, [f for f in range(4) if f != j]
+            for k in range(4):
+                for s in itertools.combinations(others, k):
+                    weight = [1 / 4, 1 / 12, 1 / 12, 1 / 4][k]
+                    want += weight * sum(known_margin(t, x[i], {*s, j}) - known_margin(t, x[i], set(s)) for t in trees)
+            assert whole[i, j] == pytest.approx(want, abs=1e-9)
