@@ -11,6 +11,7 @@ from rarespark.operators import (
     calibration,
     explain,
     folds,
+    forest,
     linear,
     neighbors,
     prep,
@@ -30,7 +31,7 @@ from rarespark.plans.fixtures import (
     vectors,
 )
 from rarespark.plans.registry import RATES, SCORED_LONG, SENSOR, TRAIN, VECTORS, hash_sql, long_sql, query, r6
-from rarespark.plans.tree_sql import FEW_VALUES, shap_sql
+from rarespark.plans.tree_sql import FEW_VALUES, one_tree_sql, shap_sql
 from rarespark.session import cut_lineage, scratch_path
 from rarespark.sources import tables
 
@@ -464,6 +465,28 @@ def forest_leaf_counts(spark, sf):
     )
 
 
+#: Levels of the tree that SQL follows; the survey's forest has no limit.
+LEVELS = 5
+
+
+@query("forest_one_tree", f"""with {one_tree_sql(LEVELS)} select row_id, y, cast(zeros as bigint) zeros, cast(ones as bigint) ones,
+round(proba, 6) proba from g{LEVELS} g join leaf l on g.node = l.node""")
+def forest_one_tree(spark, sf):
+    """The leaf of every row in a tree of all rows and features: its class counts and share."""
+    rows = _few_values(spark, sf)
+    params = forest.ForestParams(trees=1, max_depth=LEVELS, max_features=3, bins=1024, bootstrap=False)
+    model = forest.forest_fit(rows, FEW_VALUES, params)
+    ends = model.transform(rows, leaves="leaves").withColumn("node", F.col("leaves")[0])
+    return ends.join(model.nodes.select("node", "zeros", "ones"), "node").select("row_id", "y", "zeros", "ones", r6("proba"))
+
+
+@query("forest_to_purity")
+def forest_to_purity(spark, sf):
+    """The survey's forest: 500 trees without depth limit, five rows a leaf. Scores of the test rows."""
+    train, test = _filled_split(spark, sf)
+    return forest.forest_fit(train, FEATURES).transform(test).select("row_id", "y", "proba")
+
+
 SAMPLE_PAIRS = 1000
 
 

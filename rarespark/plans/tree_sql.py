@@ -47,6 +47,21 @@ else 2 * g.node + ({picked} >= s.best.v)::int end as node) from g{k} g left join
     return ",\n".join(parts)
 
 
+def gini_sql(a: str, b: str) -> str:
+    """Weighted sum of squared class shares of one side, the classes balanced."""
+    x, y = f"({a}*(select w0 from cw))", f"({b}*(select w1 from cw))"
+    return f"(({x}*{x} + {y}*{y})/({x} + {y}))"
+
+
+def one_tree_sql(levels: int, min_leaf: int = 5) -> str:
+    """``leaf``: node, class counts and probability of one balanced Gini tree of all rows."""
+    grown = grow_sql(levels, gini_sql, f"la + lb >= {min_leaf} and ra + rb >= {min_leaf}", 1.0)
+    return f"""{filled_sql('(1 - hit)::double', 'hit::double')},
+cw as (select count(*)/(2*sum(a)) w0, count(*)/(2*sum(b)) w1 from filled), {grown},
+leaf as (select node, sum(a) zeros, sum(b) ones, sum(b)*any_value(w1)/(sum(a)*any_value(w0) + sum(b)*any_value(w1)) proba
+from g{levels}, cw group by node)"""
+
+
 def _expectation(side: str, features: Sequence[str]) -> str:
     """One question of a path: its answer if the feature is in the subset, else its cover share."""
     known = " ".join(f"when '{f}' then (s.mask & {1 << i}) <> 0" for i, f in enumerate(features))
