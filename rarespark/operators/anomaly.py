@@ -14,6 +14,9 @@ from rarespark.session import cut_lineage
 
 LANDMARKS = 64
 MAX_LANDMARKS = 10_000
+#: Starts of the landmarks' layout, and steps of each minimisation.
+EMBED_STARTS = 4
+EMBED_STEPS = 200
 ISO_TREES = 100
 ISO_ROWS = 256
 CONTAMINATION = 0.05
@@ -105,37 +108,114 @@ def dissimilarity_histogram(sample: DataFrame, id_col: str = "row_id") -> DataFr
     return counts.select((F.lit(1.0) - F.col("shared") / trees).alias("dissimilarity"), "pairs")
 
 
+def _classical(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classical scaling of a distance matrix to two axes: the layout, and the projection that
+    places another point from its squared distances."""
+    d2 = d**2
+    centre = np.eye(len(d)) - 1.0 / len(d)
+    values, vectors = np.linalg.eigh(-0.5 * centre @ d2 @ centre)
+    top = np.argsort(values)[::-1][:2]
+    root = np.sqrt(np.maximum(values[top], 1e-12))
+    vec = vectors[:, top] * np.sign(vectors[np.abs(vectors[:, top]).argmax(axis=0), top])
+    xy, project = vec * root, vec / root
+    if xy.shape[1] < 2:  # a single landmark
+        xy, project = np.pad(xy, ((0, 0), (0, 1))), np.pad(project, ((0, 0), (0, 1)))
+    return xy, project
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+
+
+def _ratio(wanted: np.ndarray, near: np.ndarray) -> np.ndarray:
+    return np.divide(wanted, near, out=np.zeros_like(near), where=near > 1e-12)
+
+
+def majorise(d: np.ndarray, start: np.ndarray, steps: int = EMBED_STEPS) -> tuple[np.ndarray, float]:
+    """Layout of least stress near ``start`` by Guttman's transform (de Leeuw, 1977), which never
+    raises the stress, and that stress."""
+    xy, old = start, np.inf
+    whole = max(float((d**2).sum()), 1e-300)
+    near = _distances(xy, xy)
+    stress = float(((near - d) ** 2).sum())
+    for _ in range(steps):
+        if old - stress <= 1e-9 * whole:
+            break
+        ratio = _ratio(d, near)
+        xy = (ratio.sum(axis=1)[:, None] * xy - ratio @ xy) / len(d)
+        near = _distances(xy, xy)
+        old, stress = stress, float(((near - d) ** 2).sum())
+    return xy, float(np.sqrt(stress / whole))
+
+
+def scale_landmarks(d: np.ndarray, starts: int = EMBED_STARTS, steps: int = EMBED_STEPS, seed: int = 42) -> np.ndarray:
+    """Best layout of several starts, classical scaling first, turned to its principal axes."""
+    first, _ = _classical(d)
+    rng = np.random.default_rng(seed)
+    found = [majorise(d, first, steps)]
+    found += [majorise(d, rng.normal(size=first.shape) * max(d.mean(), 1e-6), steps) for _ in range(starts - 1)]
+    xy = min(found, key=lambda layout: layout[1])[0]
+    xy = xy - xy.mean(axis=0)
+    _, _, axes = np.linalg.svd(xy, full_matrices=False)
+    xy = xy @ axes.T if axes.shape == (2, 2) else xy
+    return xy * np.where(xy[np.abs(xy).argmax(axis=0), range(2)] < 0, -1.0, 1.0)
+
+
+def place_rows(far: np.ndarray, marks: np.ndarray, start: np.ndarray, steps: int = EMBED_STEPS) -> np.ndarray:
+    """Point of least stress to fixed landmarks for each row of distances ``far``, by the same
+    majorisation, one row independent of the others. Rows that have come to rest are left."""
+    xy, live = start.copy(), np.arange(len(far))
+    for _ in range(steps):
+        if not len(live):
+            break
+        here = xy[live]
+        ratio = _ratio(far[live], _distances(here, marks))
+        new = marks.mean(axis=0) + (ratio.sum(axis=1)[:, None] * here - ratio @ marks) / len(marks)
+        xy[live] = new
+        live = live[np.abs(new - here).max(axis=1) > 1e-7]
+    return xy
+
+
 def proximity_embed_2d(
-    leaves: DataFrame, landmarks: int = LANDMARKS, id_col: str = "row_id", seed: int = 42
+    leaves: DataFrame,
+    landmarks: int = LANDMARKS,
+    id_col: str = "row_id",
+    seed: int = 42,
+    starts: int = EMBED_STARTS,
+    steps: int = EMBED_STEPS,
 ) -> DataFrame:
-    """Landmark multidimensional scaling (de Silva and Tenenbaum, 2004) of 1 - proximity.
+    """Layout of 1 - proximity by least stress to landmarks: ``(id, x1, x2)``.
 
-    The landmarks are placed by classical scaling; every other row is placed from its
-    distances to them, row by row. Result ``(id, x1, x2)``.
+    The landmarks are laid out by classical scaling (de Silva and Tenenbaum, 2004), then by
+    stress majorisation from that and other starts; ``steps=0`` keeps classical scaling. Every
+    other row is placed by its own small minimisation from its distances to them.
     """
     import pyarrow as pa
 
     marks_df = simple_sample(leaves, landmarks, id_col, seed)
     ids, marks = _landmark_arrays(marks_df, id_col)
+    if not len(ids):
+        return leaves.select(F.col(id_col).cast("bigint"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("x2"))
     trees = marks.shape[1]
-    d2 = (1.0 - _shared(marks, marks) / trees) ** 2
-    centre = np.eye(len(ids)) - 1.0 / len(ids)
-    values, vectors = np.linalg.eigh(-0.5 * centre @ d2 @ centre)
-    top = np.argsort(values)[::-1][:2]
-    root = np.sqrt(np.maximum(values[top], 1e-12))
-    vec = vectors[:, top] * np.sign(vectors[np.abs(vectors[:, top]).argmax(axis=0), top])
-    project = (vec / root).T
-    mean = d2.mean(axis=0)
+    d = 1.0 - _shared(marks, marks) / trees
+    first, project = _classical(d)
+    mean = (d**2).mean(axis=0)
+    final = scale_landmarks(d, starts, steps, seed) if steps else first
+    # the turn and mirroring that takes the first layout closest to the final one
+    u, _, v = np.linalg.svd((first - first.mean(axis=0)).T @ (final - final.mean(axis=0)))
+    turn = u @ v if steps else np.eye(2)
 
     def place(batches):
-        step = max(1, BLOCK_CELLS // len(ids))
+        step = max(1, BLOCK_CELLS // (2 * len(ids)))
         for batch in batches:
             if not batch.num_rows:
                 continue
             own, matrix = batch.column(0).to_numpy(), _leaf_matrix(batch.column(1))
             for lo in range(0, batch.num_rows, step):
-                far = (1.0 - _shared(matrix[lo : lo + step], marks) / trees) ** 2
-                xy = -0.5 * (far - mean) @ project.T
+                far = 1.0 - _shared(matrix[lo : lo + step], marks) / trees
+                xy = -0.5 * (far**2 - mean) @ project @ turn
+                if steps:
+                    xy = place_rows(far, final, xy, steps)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own[lo : lo + step]), pa.array(xy[:, 0]), pa.array(xy[:, 1])],
                     names=[id_col, "x1", "x2"],

@@ -506,6 +506,18 @@ def proximity_embed_2d(spark, sf):
     return anomaly.proximity_embed_2d(_forest_leaves(spark, sf)[2])
 
 
+@query("embedding_stress")
+def embedding_stress(spark, sf):
+    """Stress of the layout to its landmarks over all rows: classical scaling, and refined."""
+    leaves = _forest_leaves(spark, sf)[2]
+    marks = folds.simple_sample(leaves, anomaly.LANDMARKS)
+    parts = []
+    for name, steps in (("classical", 0), ("refined", anomaly.EMBED_STEPS)):
+        layout = cut_lineage(anomaly.proximity_embed_2d(leaves, steps=steps), "embedding")
+        parts.append(anomaly.embedding_stress(layout, leaves, marks).withColumn("layout", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 @query("isolation_forest")
 def isolation_forest(spark, sf):
     rows, model, leaves = _forest_leaves(spark, sf)

@@ -91,3 +91,41 @@ def test_rows_join_each_tree_with_the_same_chance(share):
     assert all((found[t][found[t] >= 5000] - 5000).tolist() == half[t].tolist() for t in range(100))
     together = np.mean([len(np.intersect1d(found[t], found[t + 1])) for t in range(99)])
     assert together == pytest.approx(20_000 * share**2, rel=0.15, abs=0.5)
+
+
+def test_stress_falls_and_a_plane_is_recovered():
+    rng = np.random.default_rng(8)
+    plane = rng.random((60, 2)) * [3.0, 1.0]
+    d = np.sqrt(((plane[:, None] - plane[None]) ** 2).sum(axis=2))
+    xy = anomaly.scale_landmarks(d, starts=2)
+    assert anomaly._distances(xy, xy) == pytest.approx(d, abs=1e-4)
+    rows = rng.random((30, 2)) * [3.0, 1.0]
+    far = np.sqrt(((rows[:, None] - plane[None]) ** 2).sum(axis=2))
+    placed = anomaly.place_rows(far, xy, np.zeros((30, 2)), 2000)
+    assert anomaly._distances(placed, xy) == pytest.approx(far, abs=1e-3)
+    noisy = np.abs(d + np.triu(rng.normal(0, 0.4, d.shape), 1) + np.triu(rng.normal(0, 0.4, d.shape), 1).T)
+    noisy = (noisy + noisy.T) / 2
+    np.fill_diagonal(noisy, 0.0)
+    first, _ = anomaly._classical(noisy)
+    held = [anomaly.majorise(noisy, first, k)[1] for k in (0, 1, 5, 50)]
+    assert held == sorted(held, reverse=True) and held[-1] < 0.95 * held[0]
+
+
+def test_refined_layout_has_less_stress(spark):
+    rng = np.random.default_rng(2)
+    group = rng.integers(0, 4, 500)
+    leaves = np.where(rng.random((500, 30)) < 0.7, group[:, None], rng.integers(4, 9, (500, 30)))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(leaves)], "row_id bigint, leaves array<int>")
+    from rarespark.operators.folds import simple_sample
+
+    marks = simple_sample(df, 40)
+    stress = [
+        anomaly.embedding_stress(anomaly.proximity_embed_2d(df, 40, steps=k), df, marks).first()["stress"] for k in (0, 200)
+    ]
+    assert stress[1] < 0.9 * stress[0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_layout_of_few_rows(spark, n):
+    df = spark.createDataFrame([(i, [i, 1]) for i in range(n)], "row_id bigint, leaves array<int>")
+    assert anomaly.proximity_embed_2d(df).count() == n
