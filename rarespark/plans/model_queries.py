@@ -54,17 +54,28 @@ def _folded(spark, sf, k=3):
 # --- neighbours ----------------------------------------------------------------------
 
 
-@query("knn_topk", f"""with {VECTORS}, m as (select * from vectors where y = 1),
+KNN_SQL = f"""with {VECTORS}, m as (select * from vectors where y = 1),
 d as (select a.row_id, b.row_id nbr, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
  lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double)))) distance
  from m a join m b on a.row_id <> b.row_id),
 r as (select *, row_number() over (partition by row_id order by distance, nbr) rk from d)
-select row_id, nbr, cast(rk as int) as "rank", round(distance, 6) distance from r where rk <= 5""")
+select row_id, nbr, cast(rk as int) as "rank", round(distance, 6) distance from r where rk <= 5"""
+
+
+@query("knn_topk", KNN_SQL)
 def knn_topk(spark, sf):
     minority = vectors(spark, sf).where("y = 1")
     return neighbors.knn_topk(minority, chunk_rows=SMALL_CHUNK).select("row_id", "nbr", "rank", r6("distance"))
 
 
+@query("knn_two_levels", KNN_SQL)
+def knn_two_levels(spark, sf):
+    """The same neighbours through cells of two levels, as tables of many rows need them."""
+    minority = vectors(spark, sf).where("y = 1")
+    near = neighbors.knn_topk(minority, chunk_rows=SMALL_CHUNK, pivots=2)
+    return near.select("row_id", "nbr", "rank", r6("distance"))
+
+
 SMOTE_SQL = f"""with {VECTORS}, m as (select * from vectors where y = 1),
 d as (select a.row_id, b.row_id nbr, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
  lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double)))) distance
