@@ -588,19 +588,25 @@ def tree_shap_sums(spark, sf):
     return model.transform(test).join(total, "row_id").select("row_id", r6(gap, "gap"))
 
 
+TWO_LEVELS = boosting.BoostParams(rounds=1, depth=2, bins=1024, min_child_weight=20.0)
+
+
 def _two_level_phi(spark, sf):
     """Attributions of all rows on a fitted tree of two levels, which SQL can grow too; to 9
     digits, so that ties are ties."""
     rows = _few_values(spark, sf)
-    params = boosting.BoostParams(rounds=1, depth=2, bins=1024, min_child_weight=20.0)
-    model = boosting.boosted_trees_fit(rows, FEW_VALUES, params)
+    model = boosting.boosted_trees_fit(rows, FEW_VALUES, TWO_LEVELS)
     phi_rows = explain.tree_shap(model, rows)
     return model, rows, phi_rows.withColumn("phi", F.round("phi", 9) + F.lit(0.0))
 
 
-def _few_values(spark, sf):
+def _labelled(spark, sf):
     hit = (F.col("f_qty") > 150) | (F.col("f_disc") > 0.09)
-    rows = sensor_table(spark, sf).withColumn("y", F.when(hit, 1).otherwise(0))
+    return sensor_table(spark, sf).withColumn("y", F.when(hit, 1).otherwise(0))
+
+
+def _few_values(spark, sf):
+    rows = _labelled(spark, sf)
     return prep.median_impute(rows, prep.fit_medians(rows, FEW_VALUES), FEW_VALUES)
 
 
@@ -613,6 +619,18 @@ def tree_shap_rows(spark, sf):
     return _two_level_phi(spark, sf)[2].select("row_id", "y", "feature", "value", r6("phi"))
 
 
+@query("boosted_pack_scores", f"""with {SHAP} select row_id, round(e, 6)+0.0 margin, round(1/(1 + exp(-e)), 6) proba
+from known where mask = 7""")
+def boosted_pack_scores(spark, sf):
+    """Raw rows, gaps included, scored by a pack that was written and read back."""
+    rows = _labelled(spark, sf)
+    medians = prep.fit_medians(rows, FEW_VALUES)
+    model = boosting.boosted_trees_fit(prep.median_impute(rows, medians, FEW_VALUES), FEW_VALUES, TWO_LEVELS)
+    path = scratch_path(spark, "pack")
+    boosting.BoostedPack(model, medians, TWO_LEVELS, "plain").save(spark, path)
+    return boosting.BoostedPack.load(spark, path).transform(rows).select("row_id", r6("margin"), r6("proba"))
+
+
 @query("shap_importance_fitted", f"""with {SHAP} select feature, round(avg(abs(phi)), 6) mean_abs from phi group by feature""")
 def shap_importance_fitted(spark, sf):
     """Importances from the attributions of a fitted model."""
