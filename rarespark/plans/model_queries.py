@@ -106,7 +106,7 @@ def smote_balance(spark, sf):
 
 @query("imbalance_compare")
 def imbalance_compare(spark, sf):
-    return training.imbalance_compare(_folded(spark, sf, 2), FEATURES, max_iter=50)
+    return training.imbalance_compare(_folded(spark, sf, FOLDS), FEATURES)
 
 
 # --- linear and forest ---------------------------------------------------------------
