@@ -373,3 +373,26 @@ def test_attributions_of_many_leaves_add_up(depth, monkeypatch):
                     weight = [1 / 4, 1 / 12, 1 / 12, 1 / 4][k]
                     want += weight * sum(known_margin(t, x[i], {*s, j}) - known_margin(t, x[i], set(s)) for t in trees)
             assert whole[i, j] == pytest.approx(want, abs=1e-9)
+
+
+def test_passes_read_blocks_of_rows(spark, small):
+    """A state row holds many rows, and its histograms are plain sums however few rows a node has."""
+    df, x, y = small
+    edges = boosting.bin_edges(df, COLS, 12)
+    state = boosting._start(df.repartition(2), COLS, edges, [0.0], "row_id", "y", None)
+    assert state.count() < 40
+    rng = np.random.default_rng(1)
+    feature, cut = np.full(64, -1), np.zeros(64, int)
+    feature[1:20], cut[1:20] = rng.integers(0, 3, 19), rng.integers(0, 8, 19)
+    build = tuple(range(32, 42))
+    task = boosting._Task(0, boosting.Fit(), np.zeros(3, np.int16), [], 0, 5, feature, cut, np.array([0, 2]), build)
+    node = np.ones(len(x), int)
+    for _ in range(5):
+        f = feature[node]
+        node = np.where(f >= 0, 2 * node + (x[np.arange(len(x)), np.maximum(f, 0)] > cut[node]), node)
+    found = boosting._histograms(state, [task], 12)
+    for i in build:
+        for j, f in enumerate((0, 2)):
+            mine = node == i
+            wanted = np.bincount(x[mine, f].astype(int), 0.5 - y[mine], 12)
+            assert np.allclose(found[0, i][0, j] if (0, i) in found else 0.0, wanted)
