@@ -21,6 +21,7 @@ ISO_TREES = 100
 ISO_ROWS = 256
 CONTAMINATION = 0.05
 BLOCK_CELLS = 4_000_000
+PLACE_CELLS = 32_000
 
 
 def _landmark_arrays(landmarks: DataFrame, id_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +125,13 @@ def _classical(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+    """Distances in the plane, an axis at a time."""
+    total = a[:, 0, None] - b[:, 0]
+    total *= total
+    other = a[:, 1, None] - b[:, 1]
+    other *= other
+    total += other
+    return np.sqrt(total, out=total)
 
 
 def _ratio(wanted: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -164,15 +171,18 @@ def scale_landmarks(d: np.ndarray, starts: int = EMBED_STARTS, steps: int = EMBE
 def place_rows(far: np.ndarray, marks: np.ndarray, start: np.ndarray, steps: int = EMBED_STEPS) -> np.ndarray:
     """Point of least stress to fixed landmarks for each row of distances ``far``, by the same
     majorisation, one row independent of the others. Rows that have come to rest are left."""
-    xy, live = start.copy(), np.arange(len(far))
+    xy, live, centre = start.copy(), np.arange(len(far)), marks.mean(axis=0)
+    here, wanted = start, far
     for _ in range(steps):
         if not len(live):
             break
-        here = xy[live]
-        ratio = _ratio(far[live], _distances(here, marks))
-        new = marks.mean(axis=0) + (ratio.sum(axis=1)[:, None] * here - ratio @ marks) / len(marks)
+        ratio = _ratio(wanted, _distances(here, marks))
+        new = centre + (ratio.sum(axis=1)[:, None] * here - ratio @ marks) / len(marks)
         xy[live] = new
-        live = live[np.abs(new - here).max(axis=1) > 1e-7]
+        moved = np.abs(new - here).max(axis=1) > 1e-7
+        here = new
+        if not moved.all():
+            live, here, wanted = live[moved], new[moved], wanted[moved]
     return xy
 
 
@@ -206,7 +216,8 @@ def proximity_embed_2d(
     turn = u @ v if steps else np.eye(2)
 
     def place(batches):
-        step = max(1, BLOCK_CELLS // (2 * len(ids)))
+        # blocks that stay in a core's cache through all the steps
+        step = max(1, PLACE_CELLS // len(ids))
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -227,18 +238,38 @@ def proximity_embed_2d(
 
 
 def embedding_stress(embedded: DataFrame, leaves: DataFrame, landmarks: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """Normalised stress between embedded and true distances to the landmarks."""
-    pairs = dissimilarity(proximity_to_landmarks(leaves, landmarks, id_col, absent=True))
-    a = embedded.select(F.col(id_col).alias("id_a"), F.col("x1").alias("a1"), F.col("x2").alias("a2"))
-    marks = landmarks.select(F.col(id_col).alias("id_b"))
-    b = embedded.select(F.col(id_col).alias("id_b"), F.col("x1").alias("b1"), F.col("x2").alias("b2")).join(
-        F.broadcast(marks), "id_b"
-    )
-    near = F.sqrt(F.pow(F.col("a1") - F.col("b1"), 2) + F.pow(F.col("a2") - F.col("b2"), 2))
-    both = pairs.join(a, "id_a").join(F.broadcast(b), "id_b")
-    return both.agg(
-        F.sqrt(F.sum(F.pow(near - F.col("dissimilarity"), 2)) / F.sum(F.pow("dissimilarity", F.lit(2)))).alias("stress")
-    )
+    """Normalised stress between embedded and true distances to the landmarks.
+
+    Each row meets its place once; the landmarks and their places, whose number is checked, go to
+    all tasks, which add up their rows' squares.
+    """
+    import pyarrow as pa
+
+    ids, marks = _landmark_arrays(landmarks, id_col)
+    trees = marks.shape[1] if len(ids) else 1
+    places = embedded.join(F.broadcast(landmarks.select(id_col)), id_col).select(id_col, "x1", "x2").collect()
+    # a landmark counts once for each of its places
+    pairs = [(j, r["x1"], r["x2"]) for r in places for j in np.flatnonzero(ids == r[id_col])]
+    at, where = np.array([p[0] for p in pairs], np.int64), np.array([p[1:] for p in pairs], float).reshape(-1, 2)
+
+    def squares(batches):
+        gap = whole = 0.0
+        step = max(1, BLOCK_CELLS // max(1, len(at), len(ids)))
+        for batch in batches if len(at) else ():
+            if not batch.num_rows:
+                continue
+            own, matrix = batch.column(0).to_numpy(), _leaf_matrix(batch.column(1))
+            xy = np.column_stack([batch.column(k).to_numpy() for k in (2, 3)])
+            for lo in range(0, batch.num_rows, step):
+                part = slice(lo, lo + step)
+                far = np.where(own[part, None] == ids, 0.0, 1.0 - _shared(matrix[part], marks) / trees)[:, at]
+                gap += float(((_distances(xy[part], where) - far) ** 2).sum())
+                whole += float((far**2).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([gap]), pa.array([whole])], names=["gap", "whole"])
+
+    rows = leaves.select(F.col(id_col).cast("bigint").alias(id_col), "leaves").join(embedded.select(id_col, "x1", "x2"), id_col)
+    sums = rows.mapInArrow(squares, "gap double, whole double")
+    return sums.agg(F.sqrt(F.sum("gap") / F.nullif(F.sum("whole"), F.lit(0.0))).alias("stress"))
 
 
 # --- isolation forest ----------------------------------------------------------------

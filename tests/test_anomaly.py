@@ -129,3 +129,16 @@ def test_refined_layout_has_less_stress(spark):
 def test_layout_of_few_rows(spark, n):
     df = spark.createDataFrame([(i, [i, 1]) for i in range(n)], "row_id bigint, leaves array<int>")
     assert anomaly.proximity_embed_2d(df).count() == n
+
+
+def test_stress_is_summed_where_the_rows_are(spark):
+    """Against plain numpy; no row per row and landmark is made."""
+    rng = np.random.default_rng(6)
+    leaves, xy = rng.integers(0, 3, (60, 8)), rng.random((60, 2))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(leaves)], "row_id bigint, leaves array<int>")
+    layout = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(xy)], "row_id bigint, x1 double, x2 double")
+    out = anomaly.embedding_stress(layout, df, df.where("row_id % 7 = 0"))
+    far = 1 - (leaves[:, None] == leaves[None, ::7]).mean(axis=2)
+    near = np.sqrt(((xy[:, None] - xy[None, ::7]) ** 2).sum(axis=2))
+    assert out.first()["stress"] == pytest.approx(np.sqrt(((near - far) ** 2).sum() / (far**2).sum()))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Join") == 1
