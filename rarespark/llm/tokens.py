@@ -3,15 +3,16 @@
 The public word vocabulary drops white space and never joins bytes across it, so a text's
 ids are those of its words in turn; a run of ASCII punctuation behind a letter or digit is
 a piece of its own. Corpora repeat their words, so a worker keeps the ids of the words and
-stems it has met, up to fixed numbers, and runs the tokenizer on new stems only.
+stems it has met lately, up to fixed numbers, and runs the tokenizer on new stems only. When
+a store is full, it is kept beside a new one until that is full too: frequent words stay.
 """
 
 from __future__ import annotations
 
 import os
+import sys
 import unicodedata
-
-import numpy as np
+from array import array
 
 VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 250_000
@@ -47,32 +48,48 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.stems: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
+        self.older_stems: dict[bytes, bytes] = {}
 
     def _stem(self, stem: bytes) -> bytes:
         """Words of plain letters are one piece, so they go straight to the merges."""
         found = self.stems.get(stem)
         if found is None:
-            text = stem.decode("utf-8")
+            found = self.older_stems.get(stem) or self._ids(stem)
+            if len(self.stems) >= KEPT_STEMS:
+                self.older_stems, self.stems = self.stems, {}
+            self.stems[stem] = found
+        return found
+
+    def _ids(self, stem: bytes) -> bytes:
+        text = stem.decode("utf-8")
+        if stem.isalpha() and stem.islower():  # ASCII letters
+            ids = [token.id for token in self.model.tokenize(text)]
+        else:
             low = text.lower()
             if low.isalpha() and max(text) < PLAIN_LETTERS and unicodedata.is_normalized("NFC", text):
                 piece = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
                 ids = [token.id for token in self.model.tokenize(piece)]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            if len(self.stems) >= KEPT_STEMS:
-                self.stems.clear()
-            found = self.stems[stem] = np.array(ids, "<u4").tobytes()
-        return found
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(PUNCTUATION)
-        tail = word[len(stem) :]
-        if tail and not (stem and _stays_a_letter(stem.decode("utf-8")[-1])):
-            stem, tail = word, b""
-        ids = self._stem(stem.lower())
-        if tail:
-            ids += self._stem(tail)
+        ids = self.older_words.get(word)
+        if ids is None:
+            stem = word.rstrip(PUNCTUATION)
+            tail = word[len(stem) :]
+            # an ASCII letter or digit stays one
+            if tail and not (stem[-1:].isalnum() or stem and _stays_a_letter(stem.decode("utf-8")[-1])):
+                stem, tail = word, b""
+            ids = self._stem(stem.lower())
+            if tail:
+                ids += self._stem(tail)
         if len(self) >= KEPT_WORDS:
+            self.older_words = dict(self)
             self.clear()
         self[word] = ids
         return ids

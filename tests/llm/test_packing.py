@@ -134,3 +134,15 @@ def test_histogram_answers_every_limit(spark, edge, encode):
     for share in (0.1, 0.5, 0.9, 1.0):
         want = min(x for x in sizes if sum(s <= x for s in sizes) >= share * len(sizes))
         assert token_histogram.quantile(report, share).first().context_limit == want
+
+
+def test_frequent_words_outlive_a_full_store(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
+    monkeypatch.setattr(tokens, "KEPT_STEMS", 50)
+    ids = tokens.WordIds(tokens.vocabulary())
+    asked = []
+    plain = ids._ids
+    ids._ids = lambda stem: asked.append(stem) or plain(stem)
+    for k in range(40):
+        ids.encode(" ".join(["often", *(f"w{k}x{j}" for j in range(10))]).encode())
+    assert asked.count(b"often") == 1 and len(ids) <= 50 and len(ids.older_words) <= 50 and len(ids.stems) <= 50
