@@ -226,22 +226,16 @@ def calibrate_across_folds(
     return done.groupBy(id_col, "y").agg(F.avg("calibrated").alias("calibrated"))
 
 
-def cv_calibration(
+def rated_by_fold(
     train: DataFrame,
     evaluate: DataFrame,
     fit_and_score: Callable[[DataFrame, DataFrame], DataFrame],
-    method: str,
     k: int = 5,
     fold_col: str = "fold",
     id_col: str = "row_id",
     score: str = "proba",
-    on_margin: bool | None = None,
 ) -> DataFrame:
-    """``calibrate_across_folds`` for a model that is fitted fold by fold.
-
-    ``fit_and_score(fit_rows, rows)`` returns ``rows`` with a score; one call per fold
-    scores the fold and the rows to evaluate together.
-    """
+    """Rows for ``calibrate_across_folds`` of a model that is fitted fold by fold."""
     parts = []
     for i in range(k):
         fit_rows = train.where(F.col(fold_col) != i)
@@ -250,10 +244,43 @@ def cv_calibration(
         )
         rated = fit_and_score(fit_rows, both).select(id_col, "y", "is_tune", score)
         parts.append(rated.withColumn(fold_col, F.lit(i)))
-    table = cut_lineage(reduce(DataFrame.unionByName, parts), "rated")
+    return cut_lineage(reduce(DataFrame.unionByName, parts), "rated")
+
+
+def cv_calibration(
+    train: DataFrame,
+    evaluate: DataFrame,
+    fit_and_score: Callable[[DataFrame, DataFrame], DataFrame],
+    method: str,
+    k: int = 5,
+    fold_col: str = "fold",
+    id_col: str = "row_id",
+    score: str = "proba",
+    on_margin: bool | None = None,
+) -> DataFrame:
+    """``calibrate_across_folds`` for a model that is fitted fold by fold.
+
+    ``fit_and_score(fit_rows, rows)`` returns ``rows`` with a score; one call per fold
+    scores the fold and the rows to evaluate together.
+    """
+    table = rated_by_fold(train, evaluate, fit_and_score, k, fold_col, id_col, score)
     return calibrate_across_folds(table, method, fold_col, id_col, score, "is_tune", on_margin)
 
 
+def cross_of(rated: Callable[[], DataFrame], id_col: str = "row_id") -> Callable[[str, DataFrame], DataFrame]:
+    """``cross`` for ``calibrate_if_needed``, from the rows for ``calibrate_across_folds`` of all
+    rows: the folds' models are fitted and score once, whatever rows are asked for."""
+    held: list[DataFrame] = []
+
+    def cross(method: str, df: DataFrame) -> DataFrame:
+        if not held:
+            held.append(rated())
+        rest = held[0].where("not is_tune").join(df.select(id_col), id_col, "left_semi")
+        return calibrate_across_folds(held[0].where("is_tune").unionByName(rest), method, id_col=id_col)
+
+    return cross
+
+
 def calibrate_if_needed(
     tune: DataFrame,
     evaluate: DataFrame,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from rarespark.operators import linear, training
+from pyspark.sql import functions as F
+
+from rarespark.operators import calibration, linear, training
 
 
 def _rows(spark, n=600):
@@ -14,6 +16,25 @@ def _rows(spark, n=600):
     return spark.createDataFrame(data, "row_id bigint, y int, a double, b double, fold int")
 
 
+def test_cross_fits_the_folds_once(spark):
+    rows = _rows(spark).withColumn("proba", F.lit(1.0) / (1.0 + F.exp(-3.0 * F.col("a"))))
+    calls = []
+
+    def rated():
+        calls.append(1)
+        own = rows.select("row_id", "y", "fold", "proba").withColumn("is_tune", F.lit(True))
+        rest = rows.select("row_id", "y", "proba").crossJoin(spark.range(3).select(F.col("id").cast("int").alias("fold")))
+        return own.unionByName(rest.withColumn("is_tune", F.lit(False)))
+
+    tune, held = rows.where("row_id % 5 <> 0"), rows.where("row_id % 5 = 0")
+    cross = calibration.cross_of(rated)
+    a, b, done = calibration.calibrate_if_needed(tune, held, "Elastic Net", limit=0.0, cross=cross)
+    assert done and len(calls) == 1
+    whole = {r.row_id: r.calibrated for r in calibration.calibrate_across_folds(rated(), "sigmoid").collect()}
+    got = [(r.row_id, r.calibrated) for r in a.unionByName(b).collect()]
+    assert len(got) == 600 and all(abs(whole[i] - v) < 1e-12 for i, v in got)
+
+
 def test_oversampling_is_compared_in_few_jobs(spark):
     """Both fits of a fold take some passes, not hundreds, and end where a long Spark fit does."""
     rows = _rows(spark)
