@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from rarespark.operators import calibration, linear, training
+from rarespark.operators import calibration, linear, prep, training
 
 
 def _rows(spark, n=600):
@@ -56,3 +58,39 @@ def test_plain_view_gives_each_row_the_same_weight(spark):
     slope = x.T @ (1 / (1 + np.exp(-x @ model.weights)) - y) / 600 + np.append(model.weights[:2], 0.0) / 600
     assert np.abs(slope).max() < 1e-8
     assert len(training.linear.View.plain(2, 600).columns(["a", "b"])) == 2
+
+
+def test_models_compared_share_the_medians_of_the_folds(spark, monkeypatch):
+    """Medians are found once, not for every fold of every model; the fits are those of a fit alone."""
+    rows = _rows(spark)
+    alone = {
+        "Elastic Net": lambda r: training.fit_elastic_net(r, ["a", "b"], 0.1, 0.5, 100),
+        "Random Forest": lambda r: training.fit_random_forest(r, ["a", "b"], trees=5, depth=4),
+    }
+    known = {
+        "Elastic Net": lambda r, m: training.fit_elastic_net(r, ["a", "b"], 0.1, 0.5, 100, medians=m),
+        "Random Forest": lambda r, m: training.fit_random_forest(r, ["a", "b"], trees=5, depth=4, medians=m),
+    }
+    want = {r.model: r for r in training.cv_comparison(rows, alone).drop("seconds").collect()}
+    calls, plain = [], prep.exact_quantiles
+    monkeypatch.setattr(prep, "exact_quantiles", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    got = {r.model: r for r in training.cv_comparison(rows, known, features=["a", "b"]).drop("seconds").collect()}
+    assert len(calls) == 1 and set(got) == set(want) == set(known)
+    for name, row in want.items():
+        assert all(abs(row[c] - got[name][c]) < 1e-9 for c in row.asDict() if c != "model")
+    assert got["Random Forest"].mcc_mean > 0.2
+
+
+def test_folds_are_fitted_side_by_side(spark):
+    """Two folds' fits wait for each other: they end only if both run at a time."""
+    meet = threading.Barrier(2, timeout=60)
+
+    def fit(fit_rows, medians):
+        if fit_rows.where("fold = 0").isEmpty() or fit_rows.where("fold = 1").isEmpty():
+            meet.wait()
+        return training.fit_elastic_net(fit_rows, ["a", "b"], max_iter=20, medians=medians)
+
+    rows = _rows(spark)
+    medians = prep.fold_medians(rows, ["a", "b"])
+    scores = training.cross_validated_scores(rows, fit, "m", medians=medians, parallelism=2)
+    assert sorted((r.row_id, r.fold) for r in scores.collect()) == [(i, i % 3) for i in range(600)]
